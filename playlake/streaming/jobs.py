@@ -102,11 +102,18 @@ def quarantine_stream(bronze: DataFrame, settings: Settings) -> DataFrame:
     return layers.quarantine(layers.classify(bronze, settings.contract_profile))
 
 
+def has_watermark(df: DataFrame, column: str = "event_ts") -> bool:
+    """True when ``column`` already carries an event-time watermark (a
+    chained query defines it once, at the dedupe)."""
+
+    return "spark.watermarkDelayMs" in df.schema[column].metadata
+
+
 def mart_stream(silver: DataFrame, mart: str, watermark_delay: str) -> DataFrame:
     """Update-mode mart over a watermarked Silver stream, with an
     ``event_date`` partition column for the stored table."""
 
-    wm = silver.withWatermark("event_ts", watermark_delay)
+    wm = silver if has_watermark(silver) else silver.withWatermark("event_ts", watermark_delay)
     if mart == "content_hourly":
         out = marts.content_hourly(wm, exact_viewers=False, title_scope="group")
         return out.withColumn("event_date", F.to_date("window_start"))
