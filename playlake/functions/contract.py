@@ -1,11 +1,11 @@
-"""Event contract v1 as Spark expressions.
+"""Event contract v1 as Spark SQL expressions.
 
 The strict contract reports every violated rule as an error code, in a fixed
 order, in an ``ARRAY<STRING>``; a row is valid when the array is empty. The
-rules are written once against a *field reader*, which answers three
-questions per field: its value if it is a JSON string, its value if it is a
-JSON number (booleans excluded), and whether it is present and not null.
-Two readers exist:
+rules are written once (``_rule_codes``) against a *field reader*, which
+answers three questions per field: its value if it is a JSON string, its
+value if it is a JSON number (booleans excluded), and whether it is present
+and not null. Two readers exist:
 
 * ``_variant_stage`` reads the raw payload through ``try_parse_json``; the
   variant keeps the JSON type, so ``"12"`` or ``true`` in a number field is
@@ -13,7 +13,11 @@ Two readers exist:
 * ``_typed_fields`` reads already typed columns (e.g. a decoded topic value
   or the fixture adapter); types are taken from the DataFrame schema.
 
-``lenient_condition`` keeps the weaker stream gate as a second profile.
+Expressions are generated as SQL text and applied with one ``selectExpr``
+per stage: the plan is built with a handful of JVM calls instead of one per
+expression node. Each stage materialises values the next one reads several
+times (parse once, look up each field once), and Catalyst keeps the stages
+apart because their outputs are reused.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlake import schema as S
-from playlake.functions.scalar import is_blank, parse_iso_ts
+from playlake.functions.scalar import blank_sql, iso_ts_sql, sql_literal
 
 _CHECKED_FIELDS = tuple(
     dict.fromkeys(S.REQUIRED_STRING_FIELDS + S.NON_NEGATIVE_NUMBER_FIELDS + ("schema_version",))
@@ -34,65 +38,58 @@ _NUMERIC_VARIANT = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
 _NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+def _in_list(values) -> str:
+    return "(" + ", ".join(sql_literal(v) for v in values) + ")"
+
+
 @dataclass(frozen=True)
 class Fields:
-    """Per-field columns a rule may use (all names refer to helper columns)."""
+    """Per-field SQL snippets a rule may use."""
 
-    text: dict[str, Column]
-    number: dict[str, Column]
-    present: dict[str, Column]
-    is_json: Column
-    is_object: Column
+    text: dict[str, str]
+    number: dict[str, str]
+    present: dict[str, str]
+    is_json: str
+    is_object: str
 
 
 def _variant_stage(df: DataFrame, raw: str) -> tuple[DataFrame, Fields, list[str]]:
-    """Parse once, then derive each checked field's JSON type and value.
-
-    The work is split into projections so the parse and the per-field type
-    lookup are evaluated once per row and reused by every rule.
-    """
-
-    helpers: list[str] = ["_v", "_json_ok"]
-    df = df.withColumns(
-        {
-            "_v": F.try_parse_json(F.col(raw)),
-            # try_parse_json accepts trailing text after a complete value; an
-            # array wrapper exposes it (length is NULL for invalid JSON).
-            "_json_ok": F.coalesce(
-                F.json_array_length(F.concat(F.lit("["), F.col(raw), F.lit("]"))) == 1,
-                F.lit(False),
-            ),
-        }
+    """Parse once, then derive each checked field's JSON type and value."""
+
+    r = f"`{raw}`"
+    df = df.selectExpr(
+        "*",
+        f"try_parse_json({r}) AS _v",
+        # try_parse_json accepts trailing text after a complete value; an
+        # array wrapper exposes it (length is NULL for invalid JSON).
+        f"coalesce(json_array_length(concat('[', {r}, ']')) = 1, false) AS _json_ok",
+    )
+    df = df.selectExpr(
+        "*",
+        "schema_of_variant(_v) AS _t_root",
+        *[f"try_variant_get(_v, '$.{f}', 'variant') AS _f_{f}" for f in _CHECKED_FIELDS],
     )
-    df = df.withColumns(
-        {f"_f_{f}": F.try_variant_get(F.col("_v"), f"$.{f}", "variant") for f in _CHECKED_FIELDS}
-        | {"_t_root": F.schema_of_variant(F.col("_v"))}
+    df = df.selectExpr("*", *[f"schema_of_variant(_f_{f}) AS _t_{f}" for f in _CHECKED_FIELDS])
+    numeric = _in_list(_NUMERIC_VARIANT)
+    df = df.selectExpr(
+        "*",
+        *[f"CASE WHEN _t_{f} = 'STRING' THEN try_variant_get(_f_{f}, '$', 'string') END AS _s_{f}"
+          for f in _CHECKED_FIELDS],
+        *[f"CASE WHEN _t_{f} IN {numeric} OR startswith(_t_{f}, 'DECIMAL') "
+          f"THEN try_variant_get(_f_{f}, '$', 'double') END AS _n_{f}" for f in _CHECKED_FIELDS],
+        *[f"coalesce(_t_{f} <> 'VOID', false) AS _p_{f}" for f in _CHECKED_FIELDS],
+        "_v IS NOT NULL AND _json_ok AS _is_json",
+        "coalesce(startswith(_t_root, 'OBJECT'), false) AS _is_object",
     )
-    helpers += [f"_f_{f}" for f in _CHECKED_FIELDS] + ["_t_root"]
-    df = df.withColumns({f"_t_{f}": F.schema_of_variant(F.col(f"_f_{f}")) for f in _CHECKED_FIELDS})
-    helpers += [f"_t_{f}" for f in _CHECKED_FIELDS]
-
-    def is_number(f: str) -> Column:
-        t = F.col(f"_t_{f}")
-        return t.isin(*_NUMERIC_VARIANT) | t.startswith("DECIMAL")
-
-    text = {
-        f: F.when(F.col(f"_t_{f}") == "STRING", F.try_variant_get(F.col(f"_f_{f}"), "$", "string"))
-        for f in _CHECKED_FIELDS
-    }
-    number = {
-        f: F.when(is_number(f), F.try_variant_get(F.col(f"_f_{f}"), "$", "double"))
-        for f in _CHECKED_FIELDS
-    }
-    present = {
-        f: F.coalesce(F.col(f"_t_{f}") != "VOID", F.lit(False)) for f in _CHECKED_FIELDS
-    }
+    helpers = ["_v", "_json_ok", "_t_root", "_is_json", "_is_object"]
+    for prefix in ("_f_", "_t_", "_s_", "_n_", "_p_"):
+        helpers += [prefix + f for f in _CHECKED_FIELDS]
     fields = Fields(
-        text=text,
-        number=number,
-        present=present,
-        is_json=F.col("_v").isNotNull() & F.col("_json_ok"),
-        is_object=F.coalesce(F.col("_t_root").startswith("OBJECT"), F.lit(False)),
+        text={f: f"_s_{f}" for f in _CHECKED_FIELDS},
+        number={f: f"_n_{f}" for f in _CHECKED_FIELDS},
+        present={f: f"_p_{f}" for f in _CHECKED_FIELDS},
+        is_json="_is_json",
+        is_object="_is_object",
     )
     return df, fields, helpers
 
@@ -102,66 +99,54 @@ def _typed_fields(df: DataFrame) -> Fields:
     text, number, present = {}, {}, {}
     for f in _CHECKED_FIELDS:
         dt = types.get(f)
-        if dt is None:
-            text[f] = F.lit(None).cast("string")
-            number[f] = F.lit(None).cast("double")
-            present[f] = F.lit(False)
-            continue
-        col = F.col(f)
-        text[f] = col if isinstance(dt, T.StringType) else F.lit(None).cast("string")
-        number[f] = col.cast("double") if isinstance(dt, _NUMERIC_TYPES) else F.lit(None).cast("double")
-        present[f] = col.isNotNull()
-    return Fields(text, number, present, F.lit(True), F.lit(True))
-
+        c = f"`{f}`"
+        text[f] = c if isinstance(dt, T.StringType) else "CAST(NULL AS STRING)"
+        number[f] = f"CAST({c} AS DOUBLE)" if isinstance(dt, _NUMERIC_TYPES) else "CAST(NULL AS DOUBLE)"
+        present[f] = f"({c} IS NOT NULL)" if dt is not None else "false"
+    return Fields(text, number, present, "true", "true")
 
-def _rule_codes(fx: Fields) -> list[Column]:
-    """One nullable code per rule, in contract order."""
 
-    codes: list[Column] = []
-
-    def code(bad: Column, name: str) -> Column:
-        return F.when(bad, F.lit(name))
+def _rule_codes(fx: Fields) -> list[str]:
+    """One nullable code per rule, in contract order (SQL text)."""
 
+    codes: list[str] = []
     for f in S.REQUIRED_STRING_FIELDS:
         v = fx.text[f]
-        codes.append(code(v.isNull() | is_blank(v), S.ERR_MISSING + f))
+        codes.append(f"CASE WHEN {v} IS NULL OR {blank_sql(v)} THEN {sql_literal(S.ERR_MISSING + f)} END")
     for f, domain in (
         ("event_type", S.EVENT_TYPES),
         ("device_type", S.DEVICE_TYPES),
         ("subscription_tier", S.SUBSCRIPTION_TIERS),
     ):
-        codes.append(code(~F.coalesce(fx.text[f].isin(*domain), F.lit(False)), S.ERR_UNSUPPORTED + f))
+        codes.append(
+            f"CASE WHEN NOT coalesce({fx.text[f]} IN {_in_list(domain)}, false) "
+            f"THEN {sql_literal(S.ERR_UNSUPPORTED + f)} END"
+        )
     for f in ("event_ts", "ingestion_ts"):
-        codes.append(code(parse_iso_ts(fx.text[f]).isNull(), S.ERR_INVALID + f))
+        codes.append(f"CASE WHEN ({iso_ts_sql(fx.text[f])}) IS NULL THEN {sql_literal(S.ERR_INVALID + f)} END")
 
-    def valid_number(f: str) -> Column:
+    def valid_number(f: str) -> str:
         n = fx.number[f]
-        return F.coalesce(n.isNotNull() & ~F.isnan(n) & (n >= 0), F.lit(False))
+        return f"coalesce({n} IS NOT NULL AND NOT isnan({n}) AND {n} >= 0, false)"
 
     for f in S.NON_NEGATIVE_NUMBER_FIELDS:
-        codes.append(code(fx.present[f] & ~valid_number(f), S.ERR_NEGATIVE + f))
+        codes.append(f"CASE WHEN {fx.present[f]} AND NOT {valid_number(f)} THEN {sql_literal(S.ERR_NEGATIVE + f)} END")
     codes.append(
-        code(
-            valid_number("watch_seconds")
-            & valid_number("rebuffer_seconds")
-            & (fx.number["rebuffer_seconds"] > fx.number["watch_seconds"]),
-            S.ERR_REBUFFER,
-        )
+        f"CASE WHEN {valid_number('watch_seconds')} AND {valid_number('rebuffer_seconds')} "
+        f"AND {fx.number['rebuffer_seconds']} > {fx.number['watch_seconds']} THEN {sql_literal(S.ERR_REBUFFER)} END"
     )
     codes.append(
-        code(
-            ~F.coalesce(fx.number["schema_version"] == F.lit(float(S.SUPPORTED_SCHEMA_VERSION)), F.lit(False)),
-            S.ERR_UNSUPPORTED + "schema_version",
-        )
+        f"CASE WHEN NOT coalesce({fx.number['schema_version']} = {float(S.SUPPORTED_SCHEMA_VERSION)}, false) "
+        f"THEN {sql_literal(S.ERR_UNSUPPORTED + 'schema_version')} END"
     )
     return codes
 
 
-def _errors(fx: Fields) -> Column:
+def _errors_sql(fx: Fields) -> str:
     return (
-        F.when(~fx.is_json, F.array(F.lit(S.ERR_INVALID_JSON)))
-        .when(~fx.is_object, F.array(F.lit(S.ERR_NOT_OBJECT)))
-        .otherwise(F.array_compact(F.array(*_rule_codes(fx))))
+        f"CASE WHEN NOT {fx.is_json} THEN array({sql_literal(S.ERR_INVALID_JSON)}) "
+        f"WHEN NOT {fx.is_object} THEN array({sql_literal(S.ERR_NOT_OBJECT)}) "
+        f"ELSE array_compact(array({', '.join(_rule_codes(fx))})) END"
     )
 
 
@@ -173,54 +158,46 @@ def with_errors_from_raw(df: DataFrame, raw: str = "raw_payload") -> DataFrame:
     meaningful on rows whose ``errors`` is empty.
     """
 
+    keep = [c for c in df.columns if c not in S.EVENT_FIELDS]
     df, fx, helpers = _variant_stage(df, raw)
-    typed: dict[str, Column] = {}
+    typed = []
     for field in S.event_schema().fields:
         f = field.name
         if isinstance(field.dataType, T.StringType):
-            typed[f] = F.try_variant_get(F.col("_v"), f"$.{f}", "string")
+            typed.append(f"try_variant_get(_v, '$.{f}', 'string') AS {f}")
         else:
-            typed[f] = fx.number[f].try_cast(field.dataType)
-    df = df.withColumns({"errors": _errors(fx)} | typed)
-    return df.drop(*helpers)
+            typed.append(f"try_cast({fx.number[f]} AS {field.dataType.simpleString()}) AS {f}")
+    return df.selectExpr(*[f"`{c}`" for c in keep], f"{_errors_sql(fx)} AS errors", *typed)
 
 
 def with_errors_typed(df: DataFrame) -> DataFrame:
     """Add ``errors`` to a frame whose event fields are already typed."""
 
-    return df.withColumn("errors", _errors(_typed_fields(df)))
+    return df.selectExpr("*", f"{_errors_sql(_typed_fields(df))} AS errors")
 
 
 def contract_errors_typed(df: DataFrame) -> Column:
-    return _errors(_typed_fields(df))
+    return F.expr(_errors_sql(_typed_fields(df)))
 
 
-def lenient_condition(event_ts: Column | None = None) -> Column:
-    """The weaker stream gate (profile 'lenient'), NULL-safe.
+def lenient_sql(event_ts: str = "event_ts") -> str:
+    """The weaker stream gate (profile 'lenient'), NULL-safe, as SQL.
 
     Works on ``from_json`` output: null checks on five ids, enum membership,
     watch and rebuffer defaulted to 0 and compared, version equal to 1. A
-    NULL verdict counts as invalid. ``event_ts`` is the parsed event time
-    (default: the ``event_ts`` column, already a TIMESTAMP).
+    NULL verdict counts as invalid. ``event_ts`` is the parsed event time.
     """
 
-    if event_ts is None:
-        event_ts = F.col("event_ts")
-
-    watch = F.coalesce(F.col("watch_seconds"), F.lit(0.0))
-    rebuffer = F.coalesce(F.col("rebuffer_seconds"), F.lit(0.0))
-    cond = (
-        F.col("event_id").isNotNull()
-        & F.col("event_type").isin(*S.EVENT_TYPES)
-        & event_ts.isNotNull()
-        & F.col("user_id").isNotNull()
-        & F.col("session_id").isNotNull()
-        & F.col("content_id").isNotNull()
-        & F.col("device_type").isin(*S.DEVICE_TYPES)
-        & F.col("subscription_tier").isin(*S.SUBSCRIPTION_TIERS)
-        & (watch >= 0)
-        & (rebuffer >= 0)
-        & (rebuffer <= watch)
-        & (F.col("schema_version") == S.SUPPORTED_SCHEMA_VERSION)
+    return (
+        "coalesce("
+        f"event_id IS NOT NULL AND event_type IN {_in_list(S.EVENT_TYPES)} AND ({event_ts}) IS NOT NULL "
+        "AND user_id IS NOT NULL AND session_id IS NOT NULL AND content_id IS NOT NULL "
+        f"AND device_type IN {_in_list(S.DEVICE_TYPES)} AND subscription_tier IN {_in_list(S.SUBSCRIPTION_TIERS)} "
+        "AND coalesce(watch_seconds, 0.0) >= 0 AND coalesce(rebuffer_seconds, 0.0) >= 0 "
+        "AND coalesce(rebuffer_seconds, 0.0) <= coalesce(watch_seconds, 0.0) "
+        f"AND schema_version = {S.SUPPORTED_SCHEMA_VERSION}, false)"
     )
-    return F.coalesce(cond, F.lit(False))
+
+
+def lenient_condition(event_ts: str = "event_ts") -> Column:
+    return F.expr(lenient_sql(event_ts))

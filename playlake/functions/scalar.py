@@ -15,26 +15,73 @@ ISO_TS_WITH_ZONE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+
 BLANK = r"(?U)^[\s\x1c-\x1f]*$"
 
 
-def parse_iso_ts(text: Column) -> Column:
-    """ISO-8601 text with a zone -> TIMESTAMP (UTC session), else NULL."""
+def sql_literal(value) -> str:
+    """A Python value as a Spark SQL literal (strings escaped)."""
+
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
+ISO_MINUTE_FORMAT = "yyyy-MM-dd'T'HH:mmXXX"
 
-    return F.when(
-        text.rlike(ISO_TS_WITH_ZONE),
-        F.coalesce(
-            F.try_to_timestamp(text),
-            F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mmXXX")),
-        ),
+
+def iso_ts_sql(text_sql: str) -> str:
+    """SQL: ISO-8601 text with a zone -> TIMESTAMP (UTC session), else NULL."""
+
+    return (
+        f"CASE WHEN {text_sql} RLIKE {sql_literal(ISO_TS_WITH_ZONE)} THEN coalesce("
+        f"try_to_timestamp({text_sql}), try_to_timestamp({text_sql}, {sql_literal(ISO_MINUTE_FORMAT)})) END"
     )
 
 
+def blank_sql(text_sql: str) -> str:
+    return f"{text_sql} RLIKE {sql_literal(BLANK)}"
+
+
+def parse_iso_ts(column: str) -> Column:
+    """ISO-8601 text with a zone -> TIMESTAMP (UTC session), else NULL."""
+
+    return F.expr(iso_ts_sql(f"`{column}`"))
+
+
 def iso_utc_text(ts: Column) -> Column:
     """TIMESTAMP -> ISO-8601 UTC text with microseconds and a 'Z'."""
 
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def is_blank(text: Column) -> Column:
-    return text.rlike(BLANK)
+def is_blank(column: str) -> Column:
+    return F.expr(blank_sql(f"`{column}`"))
+
+
+def dbl(x: float) -> str:
+    """A double literal in Spark SQL (a bare ``1.0`` would be DECIMAL)."""
+
+    return f"{float(x)!r}D"
+
+
+def ratio_or_zero_sql(numerator: str, denominator: str) -> str:
+    """Mart ratio: 0 when the divisor is 0 (never raises under ANSI)."""
+
+    return f"CASE WHEN {denominator} > 0 THEN {numerator} / {denominator} ELSE 0.0D END"
+
+
+def qoe_score_sql(avg_startup_ms: str, rebuffer_ratio: str, error_rate: str) -> str:
+    """0-100 explainable score; missing startup counts as no penalty."""
+
+    return (
+        f"greatest(0.0D, 100.0D"
+        f" - least(coalesce({avg_startup_ms}, 0.0D) / {dbl(S.QOE_STARTUP_DIVISOR)}, {dbl(S.QOE_STARTUP_CAP)})"
+        f" - least({rebuffer_ratio} * {dbl(S.QOE_REBUFFER_WEIGHT)}, {dbl(S.QOE_REBUFFER_CAP)})"
+        f" - least({error_rate} * {dbl(S.QOE_ERROR_WEIGHT)}, {dbl(S.QOE_ERROR_CAP)}))"
+    )
+
+
+def micros_sql(value: str, factor: float = 1_000_000.0) -> str:
+    """Non-negative time value -> integer micro-units (NULL -> 0)."""
+
+    return f"try_cast(round(coalesce({value}, 0.0D) * {dbl(factor)}) AS BIGINT)"
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
@@ -109,6 +156,26 @@ def round_half_even(x: Column, places: int) -> Column:
     return F.when(F.isnan(x) | (a == F.lit(float("inf"))), x).otherwise(rounded)
 
 
+def round_half_even_sql(x: str, places: int) -> str:
+    """SQL text of ``round_half_even`` (same arithmetic)."""
+
+    scale = float(10**places)
+    s_hi, s_lo = _split(scale)
+    a = f"abs({x})"
+    prod = f"({a} * {dbl(scale)})"
+    c = f"({a} * {dbl(_SPLIT)})"
+    a_hi = f"({c} - ({c} - {a}))"
+    a_lo = f"({a} - {a_hi})"
+    err = (f"((({a_hi} * {dbl(s_hi)} - {prod}) + {a_hi} * {dbl(s_lo)} + {a_lo} * {dbl(s_hi)})"
+           f" + {a_lo} * {dbl(s_lo)})")
+    units = f"CAST(floor({prod}) AS DOUBLE)"
+    half = f"(({prod} - {units}) - 0.5D)"
+    up = (f"CASE WHEN {half} > 0 THEN 1.0D WHEN {half} < 0 THEN 0.0D WHEN {err} > 0 THEN 1.0D "
+          f"WHEN {err} < 0 THEN 0.0D ELSE pmod({units}, 2.0D) END")
+    return (f"CASE WHEN isnan({x}) OR {a} = double('inf') THEN {x} "
+            f"ELSE signum({x}) * (({units} + {up}) / {dbl(scale)}) END")
+
+
 def micros(seconds: Column, factor: float = 1_000_000.0) -> Column:
     """Non-negative time value -> integer micro-units (NULL -> 0).
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from playlake import schema as S
 from playlake.functions.contract import lenient_condition, with_errors_from_raw, with_errors_typed
-from playlake.functions.scalar import parse_iso_ts
+from playlake.functions.scalar import iso_ts_sql, sql_literal
 
 
 def pin_columns(df: DataFrame, names: list[str]) -> DataFrame:
@@ -26,8 +26,9 @@ def pin_columns(df: DataFrame, names: list[str]) -> DataFrame:
     column stays above it and reads the computed value.
     """
 
-    others = [F.col(f"`{c}`") for c in df.columns if c not in names]
-    return df.select(*others, F.inline(F.array(F.struct(*[F.col(f"`{n}`") for n in names]))))
+    others = [f"`{c}`" for c in df.columns if c not in names]
+    fields = ", ".join(f"{sql_literal(n)}, `{n}`" for n in names)
+    return df.selectExpr(*others, f"inline(array(named_struct({fields})))")
 
 
 def bronze_from_topic(kafka_rows: DataFrame, run_id: str | None = None) -> DataFrame:
@@ -60,20 +61,19 @@ def classify(bronze: DataFrame, profile: str = "strict") -> DataFrame:
         df = bronze.withColumn("_event", parsed).select(
             *bronze.columns, *[F.col(f"_event.{f}").alias(f) for f in S.EVENT_FIELDS]
         )
-        ok = lenient_condition(F.try_to_timestamp(F.col("event_ts")))
+        ok = lenient_condition("try_to_timestamp(event_ts)")
         df = df.withColumn(
             "errors", F.when(ok, F.array().cast("array<string>")).otherwise(F.array(F.lit(S.QUARANTINE_REASON)))
         )
     else:
         raise ValueError(f"unknown contract profile {profile!r}")
-    df = df.withColumn("is_valid", F.size("errors") == 0)
-    return pin_columns(df, ["errors", "is_valid"])
+    return pin_columns(df.selectExpr("*", "size(errors) = 0 AS is_valid"), ["errors", "is_valid"])
 
 
 def classify_typed(typed: DataFrame) -> DataFrame:
     """Strict contract on already typed event columns (no JSON step)."""
 
-    df = with_errors_typed(typed).withColumn("is_valid", F.size("errors") == 0)
+    df = with_errors_typed(typed).selectExpr("*", "size(errors) = 0 AS is_valid")
     return pin_columns(df, ["errors", "is_valid"])
 
 
@@ -95,23 +95,30 @@ def to_silver_columns(
         "bronze_ingested_at": "timestamp",
         "run_id": "string",
     }
-    parse = parse_iso_ts if profile == "strict" else F.try_to_timestamp
-    event_ts = parse(F.col("event_ts"))
-    cols = []
+    if profile == "strict":
+        event_ts, ingestion_ts = iso_ts_sql("event_ts"), iso_ts_sql("ingestion_ts")
+    else:
+        event_ts, ingestion_ts = "try_to_timestamp(event_ts)", "try_to_timestamp(ingestion_ts)"
+    exprs = []
     for f in S.SILVER_FIELDS:
         if f == "event_ts":
-            cols.append(event_ts.alias("event_ts"))
+            exprs.append(f"{event_ts} AS event_ts")
         elif f == "source_ingestion_ts":
-            cols.append(parse(F.col("ingestion_ts")).alias(f))
+            exprs.append(f"{ingestion_ts} AS source_ingestion_ts")
         elif f == "silver_processed_at":
-            cols.append((processed_at if processed_at is not None else F.current_timestamp()).alias(f))
+            exprs.append("current_timestamp() AS silver_processed_at")
         elif f == "event_date":
-            cols.append(F.to_date(event_ts).alias(f))
+            exprs.append("to_date(event_ts) AS event_date")
         elif f in classified.columns:
-            cols.append(F.col(f))
+            exprs.append(f"`{f}`")
         else:
-            cols.append(F.lit(None).cast(meta_types[f]).alias(f))
-    return classified.select(*cols)
+            exprs.append(f"CAST(NULL AS {meta_types[f]}) AS `{f}`")
+    # Two steps so the parsed event_ts is computed once and reused.
+    out = classified.selectExpr(*exprs[:-1])
+    out = out.selectExpr("*", exprs[-1])
+    if processed_at is not None:
+        out = out.withColumn("silver_processed_at", processed_at)
+    return out
 
 
 def valid_rows(classified: DataFrame) -> DataFrame:
@@ -139,10 +146,9 @@ def dedupe_first_arrival(valid: DataFrame, order: tuple[str, ...] = S.ARRIVAL_OR
     Invalid rows never reach this point, so they never claim an id.
     """
 
-    w = Window.partitionBy("event_id").orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return valid.withColumn("_arrival_rank", F.row_number().over(w)).where(
-        F.col("_arrival_rank") == 1
-    ).drop("_arrival_rank")
+    by = ", ".join(f"`{c}` ASC NULLS LAST" for c in order)
+    ranked = valid.selectExpr("*", f"row_number() OVER (PARTITION BY event_id ORDER BY {by}) AS _arrival_rank")
+    return ranked.where("_arrival_rank = 1").drop("_arrival_rank")
 
 
 def silver_batch(

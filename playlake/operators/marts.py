@@ -19,22 +19,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake import schema as S
+from playlake.functions.scalar import sql_literal
 from playlake.operators.measures import finalise, mart_columns, measure_aggregates
 
 
 def _title_parts() -> list[Column]:
-    order = F.struct(F.col("event_ts"), F.col("event_id"))
-    return [F.max_by("content_title", order).alias("_title"), F.max(order).alias("_title_at")]
+    return [
+        F.expr("max_by(content_title, struct(event_ts, event_id)) AS _title"),
+        F.expr("max(struct(event_ts, event_id)) AS _title_at"),
+    ]
 
 
 def _with_title(df: DataFrame, title_scope: str) -> DataFrame:
     if title_scope == "run":
-        title = F.max_by("_title", "_title_at").over(Window.partitionBy("content_id"))
+        title = "max_by(_title, _title_at) OVER (PARTITION BY content_id)"
     elif title_scope == "group":
-        title = F.col("_title")
+        title = "_title"
     else:
         raise ValueError(f"unknown title scope {title_scope!r}")
-    return df.withColumn("content_title", F.coalesce(title, F.lit(S.UNKNOWN_TITLE)))
+    return df.selectExpr("*", f"coalesce({title}, {sql_literal(S.UNKNOWN_TITLE)}) AS content_title")
 
 
 def content_daily(silver: DataFrame, exact_viewers: bool = True, title_scope: str = "run") -> DataFrame:
@@ -47,7 +50,7 @@ def content_daily(silver: DataFrame, exact_viewers: bool = True, title_scope: st
         "subscription_tier",
         "device_type",
     ).agg(*measure_aggregates(exact_viewers), *_title_parts())
-    g = g.withColumn("event_date", F.to_date(F.col("_w.start")))
+    g = g.selectExpr("*", "to_date(_w.start) AS event_date")
     g = _with_title(g, title_scope)
     return finalise(g).select(*mart_columns(S.CONTENT_DAILY_KEYS, with_title=True))
 
@@ -58,7 +61,7 @@ def platform_hourly(silver: DataFrame, exact_viewers: bool = True) -> DataFrame:
     g = silver.groupBy(
         F.window("event_ts", "1 hour").alias("_w"), "country", "device_type"
     ).agg(*measure_aggregates(exact_viewers))
-    g = g.withColumn("window_start", F.col("_w.start"))
+    g = g.selectExpr("*", "_w.start AS window_start")
     return finalise(g).select(*mart_columns(S.PLATFORM_HOURLY_KEYS, with_title=False))
 
 
@@ -72,7 +75,7 @@ def content_hourly(silver: DataFrame, exact_viewers: bool = True, title_scope: s
         "subscription_tier",
         "device_type",
     ).agg(*measure_aggregates(exact_viewers), *_title_parts())
-    g = g.withColumns({"window_start": F.col("_w.start"), "window_end": F.col("_w.end")})
+    g = g.selectExpr("*", "_w.start AS window_start", "_w.end AS window_end")
     g = _with_title(g, title_scope)
     cols = mart_columns(S.CONTENT_HOURLY_KEYS, with_title=True)
     cols.insert(1, "window_end")
@@ -82,7 +85,7 @@ def content_hourly(silver: DataFrame, exact_viewers: bool = True, title_scope: s
 def latest_title(silver: DataFrame) -> DataFrame:
     """content_id -> title of its latest event, 'Unknown' if missing (A15)."""
 
-    order = F.struct(F.col("event_ts"), F.col("event_id"))
     return silver.groupBy("content_id").agg(
-        F.coalesce(F.max_by("content_title", order), F.lit(S.UNKNOWN_TITLE)).alias("content_title")
+        F.expr(f"coalesce(max_by(content_title, struct(event_ts, event_id)), {sql_literal(S.UNKNOWN_TITLE)})"
+               " AS content_title")
     )

@@ -14,48 +14,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlake import schema as S
-from playlake.functions.scalar import micros, qoe_score, ratio_or_zero, round_half_even
+from playlake.functions.scalar import micros_sql, qoe_score_sql, ratio_or_zero_sql, round_half_even_sql
 
 
-def measure_aggregates(exact_viewers: bool = True) -> list[Column]:
-    """Aggregates over Silver rows (A1, A2, A4/A5, A6, A7 parts)."""
+def measure_aggregates_sql(exact_viewers: bool = True) -> list[str]:
+    """Aggregates over Silver rows (A1, A2, A4/A5, A6, A7 parts), as SQL."""
 
-    et = F.col("event_type")
-    viewers = (
-        F.countDistinct("user_id") if exact_viewers else F.approx_count_distinct("user_id")
-    )
+    viewers = "count(DISTINCT user_id)" if exact_viewers else "approx_count_distinct(user_id)"
     return [
-        F.count(F.lit(1)).alias("event_count"),
-        F.count_if(et == "playback_started").alias("plays"),
-        viewers.alias("unique_viewers"),
-        F.count_if(et == "playback_completed").alias("completes"),
-        F.count_if(et == "playback_error").alias("playback_errors"),
-        F.coalesce(F.sum(micros(F.col("watch_seconds"))), F.lit(0)).alias("watch_micros"),
-        F.coalesce(F.sum(micros(F.col("rebuffer_seconds"))), F.lit(0)).alias("rebuffer_micros"),
-        F.coalesce(F.sum(micros(F.col("startup_ms"), 1000.0)), F.lit(0)).alias("startup_micros"),
-        F.count("startup_ms").alias("startup_samples"),
+        "count(1) AS event_count",
+        "count_if(event_type = 'playback_started') AS plays",
+        f"{viewers} AS unique_viewers",
+        "count_if(event_type = 'playback_completed') AS completes",
+        "count_if(event_type = 'playback_error') AS playback_errors",
+        f"coalesce(sum({micros_sql('watch_seconds')}), 0) AS watch_micros",
+        f"coalesce(sum({micros_sql('rebuffer_seconds')}), 0) AS rebuffer_micros",
+        f"coalesce(sum({micros_sql('startup_ms', 1000.0)}), 0) AS startup_micros",
+        "count(startup_ms) AS startup_samples",
     ]
 
 
+def measure_aggregates(exact_viewers: bool = True) -> list[Column]:
+    return [F.expr(a) for a in measure_aggregates_sql(exact_viewers)]
+
+
+FINALISE_SQL = [
+    "watch_micros / 3600000000.0D AS watch_hours",
+    f"{ratio_or_zero_sql('completes', 'plays')} AS completion_rate",
+    f"{ratio_or_zero_sql('playback_errors', 'plays')} AS error_rate",
+    f"{ratio_or_zero_sql('rebuffer_micros', 'watch_micros')} AS rebuffer_ratio",
+    "CASE WHEN startup_samples > 0 THEN (startup_micros / 1000.0D) / startup_samples END AS avg_startup_ms",
+]
+
+
 def finalise(df: DataFrame) -> DataFrame:
     """Rates guarded to 0 on a zero divisor, mean startup NULL without
     samples (0 inside the score), and the QoE score; all unrounded."""
 
-    df = df.withColumns(
-        {
-            "watch_hours": F.col("watch_micros") / F.lit(3_600_000_000.0),
-            "completion_rate": ratio_or_zero(F.col("completes"), F.col("plays")),
-            "error_rate": ratio_or_zero(F.col("playback_errors"), F.col("plays")),
-            "rebuffer_ratio": ratio_or_zero(F.col("rebuffer_micros"), F.col("watch_micros")),
-            "avg_startup_ms": F.when(
-                F.col("startup_samples") > 0,
-                (F.col("startup_micros") / F.lit(1000.0)) / F.col("startup_samples"),
-            ),
-        }
-    )
-    return df.withColumn(
-        "qoe_score", qoe_score(F.col("avg_startup_ms"), F.col("rebuffer_ratio"), F.col("error_rate"))
-    )
+    derived = {"watch_hours", "completion_rate", "error_rate", "rebuffer_ratio", "avg_startup_ms", "qoe_score"}
+    keep = [f"`{c}`" for c in df.columns if c not in derived]
+    df = df.selectExpr(*keep, *FINALISE_SQL)
+    return df.selectExpr("*", f"{qoe_score_sql('avg_startup_ms', 'rebuffer_ratio', 'error_rate')} AS qoe_score")
 
 
 def mart_columns(keys: tuple[str, ...], with_title: bool) -> list[str]:
@@ -70,15 +69,16 @@ def serve(mart: DataFrame) -> DataFrame:
     exact value), 0 for a missing mean startup and 'Unknown' for a missing
     title. Stored marts stay unrounded."""
 
-    out = mart.withColumns(
-        {
-            "watch_hours": round_half_even(F.col("watch_hours"), S.ROUND_HOURS),
-            "completion_rate": round_half_even(F.col("completion_rate"), S.ROUND_RATE),
-            "error_rate": round_half_even(F.col("error_rate"), S.ROUND_RATE),
-            "rebuffer_ratio": round_half_even(F.col("rebuffer_ratio"), S.ROUND_RATE),
-            "avg_startup_ms": round_half_even(F.coalesce(F.col("avg_startup_ms"), F.lit(0.0)), S.ROUND_STARTUP),
-            "qoe_score": round_half_even(F.col("qoe_score"), S.ROUND_SCORE),
-        }
+    rounding = {
+        "watch_hours": ("watch_hours", S.ROUND_HOURS),
+        "completion_rate": ("completion_rate", S.ROUND_RATE),
+        "error_rate": ("error_rate", S.ROUND_RATE),
+        "rebuffer_ratio": ("rebuffer_ratio", S.ROUND_RATE),
+        "avg_startup_ms": ("coalesce(avg_startup_ms, 0.0D)", S.ROUND_STARTUP),
+        "qoe_score": ("qoe_score", S.ROUND_SCORE),
+    }
+    out = mart.selectExpr(
+        *[f"{round_half_even_sql(*rounding[c])} AS {c}" if c in rounding else f"`{c}`" for c in mart.columns]
     )
     if "content_title" in mart.columns:
         out = out.withColumn("content_title", F.coalesce(F.col("content_title"), F.lit(S.UNKNOWN_TITLE)))

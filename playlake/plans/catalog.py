@@ -20,7 +20,7 @@ from playlake.functions.scalar import pseudonymous_id
 from playlake.operators import layers, marts, measures, quality
 from playlake.plans import analyses
 from playlake.sources.fixture import content_dimension_from_part, playback_raw, playback_typed
-from playlake.sources.tables import read_table
+from playlake.sources.tables import read_table, spread
 
 # Report parameters (constants so every run is reproducible).
 AS_OF_DATE = "2024-01-31"
@@ -36,28 +36,29 @@ UPSERT_UPDATES_FROM = "2024-01-15"
 
 
 def checked(df: DataFrame) -> DataFrame:
-    cols = []
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            c = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
         elif isinstance(f.dataType, T.DateType):
-            c = c.cast("string")
+            c = f"CAST({c} AS STRING)"
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), 6)
+            c = f"round(CAST({c} AS DOUBLE), 6)"
         elif isinstance(f.dataType, T.ArrayType):
-            c = F.concat_ws(",", c)
+            c = f"concat_ws(',', {c})"
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            c = c.cast("long")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            c = f"CAST({c} AS BIGINT)"
+        exprs.append(f"{c} AS `{f.name}`")
+    return df.selectExpr(*exprs)
 
 
 # ---- shared building blocks ------------------------------------------------
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events")
+    cols = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+    return spread(read_table(spark, sf_dir, "events").select(*cols))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlake.functions.scalar import iso_utc_text
+from playlake.functions.scalar import sql_literal
 
 # Fixed values of the fixture mapping (FIXTURES.md §2). The titles are our
 # own invented catalogue.
@@ -44,14 +44,10 @@ BAD_VERSION_EVERY = 97
 CONTENT_BASE = 101
 
 
-def _pick(values: tuple, index: Column) -> Column:
-    """values[index] for a 0-based integer column."""
+def _pick(values: tuple, index_sql: str) -> str:
+    """SQL: values[index] for a 0-based integer expression."""
 
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def prop_k(props: Column) -> Column:
-    return F.get_json_object(props, "$.k").try_cast("int")
+    return f"element_at(array({', '.join(sql_literal(v) for v in values)}), CAST({index_sql} AS INT) + 1)"
 
 
 def playback_typed(events: DataFrame, content_key: str = "catalogue") -> DataFrame:
@@ -59,68 +55,51 @@ def playback_typed(events: DataFrame, content_key: str = "catalogue") -> DataFra
 
     ``content_key='catalogue'`` maps ``k`` onto six titled contents;
     ``content_key='part'`` uses ``k`` itself as the content key (title left
-    NULL, to be joined from a content dimension).
+    NULL, to be joined from a content dimension). One narrow projection per
+    step, written as SQL expressions; no shuffle.
     """
 
-    e = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
-    e = e.withColumn("copy_no", F.explode(
-        F.when(F.col("event_id") % DUPLICATE_EVERY == 0, F.array(F.lit(0), F.lit(1)))
-        .otherwise(F.array(F.lit(0)))
-    ))
-    e = e.withColumn("k", prop_k(F.col("props"))).withColumn(
-        "ts_utc", F.col("ts").cast("timestamp")
-    )
-    etype = F.col("event_type")
-    is_click = etype == "click"
-    value = F.col("value")
-    k = F.col("k")
-    uid = F.col("user_id")
-    mapped_type = F.coalesce(
-        *[F.when(etype == src, F.lit(dst)) for src, dst in TYPE_MAP], etype
+    e = events.selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value", "props",
+        f"explode(CASE WHEN event_id % {DUPLICATE_EVERY} = 0 THEN array(0, 1) ELSE array(0) END) AS copy_no",
     )
+    e = e.selectExpr("*", "try_cast(get_json_object(props, '$.k') AS INT) AS k", "CAST(ts AS TIMESTAMP) AS ts_utc")
+    type_case = " ".join(f"WHEN {sql_literal(a)} THEN {sql_literal(b)}" for a, b in TYPE_MAP)
     if content_key == "part":
-        content_id = F.concat(F.lit("cnt_"), k.cast("string"))
-        title = F.lit(None).cast("string")
+        content_id, title = "concat('cnt_', CAST(k AS STRING))", "CAST(NULL AS STRING)"
     else:
-        content_id = F.concat(F.lit("cnt_"), (F.lit(CONTENT_BASE) + k % 6).cast("string"))
-        title = _pick(CATALOGUE_TITLES, k % 6)
-    watch = F.when(is_click, value).otherwise(F.lit(0.0))
-    return e.select(
-        F.concat(F.lit("evt_"), F.col("event_id").cast("string")).alias("event_id"),
-        mapped_type.alias("event_type"),
-        iso_utc_text(F.col("ts_utc")).alias("event_ts"),
-        iso_utc_text(
-            F.timestamp_add("SECOND", F.col("event_id") % 81, F.col("ts_utc"))
-        ).alias("ingestion_ts"),
-        F.concat(F.lit("usr_"), uid.cast("string")).alias("user_id"),
-        F.concat_ws("_", F.lit("prf"), uid.cast("string"), (F.col("event_id") % 3).cast("string")).alias(
-            "profile_id"
-        ),
-        F.concat_ws("_", F.lit("ses"), uid.cast("string"), F.date_format("ts_utc", "yyyyMMdd")).alias(
-            "session_id"
-        ),
-        content_id.alias("content_id"),
-        title.alias("content_title"),
-        _pick(DEVICES_BY_USER, uid % 4).alias("device_type"),
-        _pick(COUNTRIES_BY_USER, uid % 5).alias("country"),
-        _pick(TIERS_BY_USER, uid % 3).alias("subscription_tier"),
-        watch.alias("position_seconds"),
-        watch.alias("watch_seconds"),
-        F.when(etype == "view", F.lit(150.0) + F.lit(20.0) * value).alias("startup_ms"),
-        _pick(BITRATES, F.col("event_id") % 5).cast("double").alias("bitrate_kbps"),
-        F.when(is_click & (k == 99), value + F.lit(1.0))
-        .when(is_click & (k % 10 == 0), value / F.lit(10.0))
-        .otherwise(F.lit(0.0))
-        .alias("rebuffer_seconds"),
-        F.when(etype == "error", _pick(ERROR_CODES, F.col("event_id") % 3)).alias("error_code"),
-        F.when(F.col("event_id") % BAD_VERSION_EVERY == 0, F.lit(99)).otherwise(F.lit(1)).alias(
-            "schema_version"
-        ),
-        F.lit("events").alias("topic"),
-        F.col("copy_no").cast("int").alias("partition"),
-        F.col("event_id").cast("long").alias("offset"),
-        F.col("ts_utc").alias("broker_timestamp"),
-    ).withColumn("message_key", F.col("session_id"))
+        content_id = f"concat('cnt_', CAST({CONTENT_BASE} + k % 6 AS STRING))"
+        title = _pick(CATALOGUE_TITLES, "k % 6")
+    iso = sql_literal("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    session = "concat('ses_', CAST(user_id AS STRING), '_', date_format(ts_utc, 'yyyyMMdd'))"
+    watch = "CASE WHEN event_type = 'click' THEN value ELSE 0.0D END"
+    return e.selectExpr(
+        "concat('evt_', CAST(event_id AS STRING)) AS event_id",
+        f"CASE event_type {type_case} ELSE event_type END AS event_type",
+        f"date_format(ts_utc, {iso}) AS event_ts",
+        f"date_format(timestampadd(SECOND, event_id % 81, ts_utc), {iso}) AS ingestion_ts",
+        "concat('usr_', CAST(user_id AS STRING)) AS user_id",
+        "concat('prf_', CAST(user_id AS STRING), '_', CAST(event_id % 3 AS STRING)) AS profile_id",
+        f"{session} AS session_id",
+        f"{content_id} AS content_id",
+        f"{title} AS content_title",
+        f"{_pick(DEVICES_BY_USER, 'user_id % 4')} AS device_type",
+        f"{_pick(COUNTRIES_BY_USER, 'user_id % 5')} AS country",
+        f"{_pick(TIERS_BY_USER, 'user_id % 3')} AS subscription_tier",
+        f"{watch} AS position_seconds",
+        f"{watch} AS watch_seconds",
+        "CASE WHEN event_type = 'view' THEN 150.0D + 20.0D * value END AS startup_ms",
+        f"CAST({_pick(BITRATES, 'event_id % 5')} AS DOUBLE) AS bitrate_kbps",
+        "CASE WHEN event_type = 'click' AND k = 99 THEN value + 1.0D "
+        "WHEN event_type = 'click' AND k % 10 = 0 THEN value / 10.0D ELSE 0.0D END AS rebuffer_seconds",
+        f"CASE WHEN event_type = 'error' THEN {_pick(ERROR_CODES, 'event_id % 3')} END AS error_code",
+        f"CASE WHEN event_id % {BAD_VERSION_EVERY} = 0 THEN 99 ELSE 1 END AS schema_version",
+        "'events' AS topic",
+        "CAST(copy_no AS INT) AS partition",
+        "CAST(event_id AS BIGINT) AS offset",
+        "ts_utc AS broker_timestamp",
+        f"{session} AS message_key",
+    )
 
 
 def playback_raw(events: DataFrame, run_id: str = "fixture") -> DataFrame:
@@ -133,16 +112,16 @@ def playback_raw(events: DataFrame, run_id: str = "fixture") -> DataFrame:
     from playlake import schema as S
 
     typed = playback_typed(events)
-    payload = F.to_json(F.struct(*[F.col(f) for f in S.EVENT_FIELDS]), {"ignoreNullFields": "false"})
-    return typed.select(
-        F.col("message_key"),
-        payload.alias("raw_payload"),
+    payload = f"to_json(struct({', '.join(S.EVENT_FIELDS)}), map('ignoreNullFields', 'false'))"
+    return typed.selectExpr(
+        "message_key",
+        f"{payload} AS raw_payload",
         "topic",
-        "partition",
-        "offset",
+        "`partition`",
+        "`offset`",
         "broker_timestamp",
-        F.current_timestamp().alias("bronze_ingested_at"),
-        F.lit(run_id).alias("run_id"),
+        "current_timestamp() AS bronze_ingested_at",
+        f"{sql_literal(run_id)} AS run_id",
     )
 
 

@@ -19,3 +19,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     into the scan by Catalyst (see ``ReadSchema`` / ``PushedFilters``)."""
 
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give per-row CPU work (JSON, contract) at least one task per core.
+
+    Parquet splits at row-group boundaries, so a small file arrives as one
+    task. Only when the input has fewer partitions than the cluster's default
+    parallelism is it redistributed (round-robin, deterministic under task
+    retry); a large input already has many splits and is left alone, with no
+    shuffle added.
+    """
+
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
