@@ -8,14 +8,12 @@ refused.
 
 The content title is an attribute, never a key: the title of the latest
 event (by event_ts, event_id). ``title_scope='run'`` takes the latest over the
-whole input (batch only: a window over content_id on the small mart, not a
-second pass over Silver); ``'group'`` takes the latest within the group
-(streams).
+whole input (batch); ``'group'`` takes the latest within the group (streams).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlake import schema as S
@@ -24,20 +22,29 @@ from playlake.operators.measures import finalise, mart_columns, measure_aggregat
 
 
 def _title_parts() -> list[Column]:
-    return [
-        F.expr("max_by(content_title, struct(event_ts, event_id)) AS _title"),
-        F.expr("max(struct(event_ts, event_id)) AS _title_at"),
-    ]
+    return [F.expr("max_by(content_title, struct(event_ts, event_id)) AS _title")]
 
 
-def _with_title(df: DataFrame, title_scope: str) -> DataFrame:
+def _with_title(groups: DataFrame, silver: DataFrame, title_scope: str) -> DataFrame:
+    """Attach the content title (an attribute, never a key).
+
+    ``run``: the latest title of each content over the whole input, from a
+    separate per-content aggregate joined on content_id. The mart aggregate
+    itself then holds only counts and sums, so it runs as a hash aggregate
+    (a string ``max_by`` buffer would force a sort-based one over every
+    row). The title side has one row per content; AQE broadcasts it when its
+    measured size is under the broadcast threshold and shuffle-joins it
+    otherwise.
+    ``group``: the latest title within the group (streams, where a
+    run-wide dimension does not exist yet), carried in the aggregate.
+    """
+
     if title_scope == "run":
-        title = "max_by(_title, _title_at) OVER (PARTITION BY content_id)"
-    elif title_scope == "group":
-        title = "_title"
-    else:
-        raise ValueError(f"unknown title scope {title_scope!r}")
-    return df.selectExpr("*", f"coalesce({title}, {sql_literal(S.UNKNOWN_TITLE)}) AS content_title")
+        titled = groups.join(latest_title(silver), "content_id", "left")
+        return titled.withColumn("content_title", F.expr(f"coalesce(content_title, {sql_literal(S.UNKNOWN_TITLE)})"))
+    if title_scope == "group":
+        return groups.selectExpr("*", f"coalesce(_title, {sql_literal(S.UNKNOWN_TITLE)}) AS content_title")
+    raise ValueError(f"unknown title scope {title_scope!r}")
 
 
 def content_daily(silver: DataFrame, exact_viewers: bool = True, title_scope: str = "run") -> DataFrame:
@@ -49,9 +56,9 @@ def content_daily(silver: DataFrame, exact_viewers: bool = True, title_scope: st
         "country",
         "subscription_tier",
         "device_type",
-    ).agg(*measure_aggregates(exact_viewers), *_title_parts())
+    ).agg(*measure_aggregates(exact_viewers), *(_title_parts() if title_scope == "group" else []))
     g = g.selectExpr("*", "to_date(_w.start) AS event_date")
-    g = _with_title(g, title_scope)
+    g = _with_title(g, silver, title_scope)
     return finalise(g).select(*mart_columns(S.CONTENT_DAILY_KEYS, with_title=True))
 
 
@@ -65,7 +72,7 @@ def platform_hourly(silver: DataFrame, exact_viewers: bool = True) -> DataFrame:
     return finalise(g).select(*mart_columns(S.PLATFORM_HOURLY_KEYS, with_title=False))
 
 
-def content_hourly(silver: DataFrame, exact_viewers: bool = True, title_scope: str = "group") -> DataFrame:
+def content_hourly(silver: DataFrame, exact_viewers: bool = True, title_scope: str = "run") -> DataFrame:
     """Hourly content mart with window bounds (A18)."""
 
     g = silver.groupBy(
@@ -74,9 +81,9 @@ def content_hourly(silver: DataFrame, exact_viewers: bool = True, title_scope: s
         "country",
         "subscription_tier",
         "device_type",
-    ).agg(*measure_aggregates(exact_viewers), *_title_parts())
+    ).agg(*measure_aggregates(exact_viewers), *(_title_parts() if title_scope == "group" else []))
     g = g.selectExpr("*", "_w.start AS window_start", "_w.end AS window_end")
-    g = _with_title(g, title_scope)
+    g = _with_title(g, silver, title_scope)
     cols = mart_columns(S.CONTENT_HOURLY_KEYS, with_title=True)
     cols.insert(1, "window_end")
     return finalise(g).select(*cols)

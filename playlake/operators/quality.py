@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from playlake.functions.scalar import iso_ts_sql, sql_literal
+
 SUMMARY_REQUIRED = ("run_id", "input_records", "valid_records", "quarantined_records", "quality_pass_rate")
 DEFAULT_MIN_PASS_RATE = 0.98
 RECONCILIATION_TOLERANCE = 0.0001
@@ -28,15 +30,61 @@ def _one_row(metrics: list[tuple[str, DataFrame]]) -> DataFrame:
     return long.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n, _ in metrics])
 
 
-def run_summary(
-    classified: DataFrame,
-    silver: DataFrame,
-    content_daily: DataFrame,
-    platform_hourly: DataFrame,
-    run_id: str,
-) -> DataFrame:
+def run_summary(classified: DataFrame, run_id: str, order: tuple[str, ...] = ("topic", "partition", "offset")) -> DataFrame:
     """Counts in / valid / duplicate / quarantined / mart rows and the pass
-    rate valid / input (duplicates lower it), rounded to 4 places."""
+    rate valid / input (duplicates lower it), rounded to 4 places.
+
+    One pass over the classified rows: arrivals are ranked per event id
+    among valid rows (the Silver rule: first arrival wins), and a single
+    aggregate takes every count. Mart row counts are the distinct grouping
+    keys of the first arrivals, which is exactly the number of mart rows.
+    """
+
+    by = ", ".join(f"`{c}` ASC NULLS LAST" for c in order)
+    ranked = classified.selectExpr(
+        "is_valid",
+        "event_id",
+        "event_ts",
+        "content_id",
+        "country",
+        "subscription_tier",
+        "device_type",
+        f"CASE WHEN is_valid THEN row_number() OVER (PARTITION BY is_valid, event_id ORDER BY {by}) END AS _arrival",
+    )
+    ts = iso_ts_sql("event_ts")
+    first = "is_valid AND _arrival = 1"
+    counts = ranked.selectExpr("*", f"CASE WHEN {first} THEN {ts} END AS _ts").agg(
+        F.expr("count(1) AS input_records"),
+        F.expr(f"count_if({first}) AS valid_records"),
+        F.expr(f"count_if(is_valid AND _arrival > 1) AS duplicate_records"),
+        F.expr("count_if(NOT is_valid) AS quarantined_records"),
+        F.expr(
+            "count(DISTINCT CASE WHEN _ts IS NOT NULL THEN struct(to_date(_ts), content_id, country, "
+            "subscription_tier, device_type) END) AS gold_content_daily_rows"
+        ),
+        F.expr(
+            "count(DISTINCT CASE WHEN _ts IS NOT NULL THEN struct(date_trunc('hour', _ts), country, device_type) END)"
+            " AS gold_platform_hourly_rows"
+        ),
+    )
+    return counts.selectExpr(
+        f"{sql_literal(run_id)} AS run_id",
+        "input_records",
+        "valid_records",
+        "duplicate_records",
+        "quarantined_records",
+        "gold_content_daily_rows",
+        "gold_platform_hourly_rows",
+        "coalesce(round(try_divide(CAST(valid_records AS DOUBLE), CAST(input_records AS DOUBLE)), 4), 0.0D)"
+        " AS quality_pass_rate",
+    )
+
+
+def run_summary_from_tables(
+    classified: DataFrame, silver: DataFrame, content_daily: DataFrame, platform_hourly: DataFrame, run_id: str
+) -> DataFrame:
+    """The same summary from already written layers (batch run): counts of
+    the stored tables, cheap because each is a separate small aggregate."""
 
     counts = classified.agg(
         F.count(F.lit(1)).alias("input_records"),
@@ -53,18 +101,16 @@ def run_summary(
             ("gold_platform_hourly_rows", platform_hourly.agg(F.count(F.lit(1)).alias("value"))),
         ]
     )
-    return wide.select(
-        F.lit(run_id).alias("run_id"),
+    return wide.selectExpr(
+        f"{sql_literal(run_id)} AS run_id",
         "input_records",
         "valid_records",
-        (F.col("valid_candidates") - F.col("valid_records")).alias("duplicate_records"),
+        "valid_candidates - valid_records AS duplicate_records",
         "quarantined_records",
         "gold_content_daily_rows",
         "gold_platform_hourly_rows",
-        F.coalesce(
-            F.round(F.try_divide(F.col("valid_records").cast("double"), F.col("input_records").cast("double")), 4),
-            F.lit(0.0),
-        ).alias("quality_pass_rate"),
+        "coalesce(round(try_divide(CAST(valid_records AS DOUBLE), CAST(input_records AS DOUBLE)), 4), 0.0D)"
+        " AS quality_pass_rate",
     )
 
 

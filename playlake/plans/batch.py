@@ -58,7 +58,7 @@ def run_pipeline(
     platform_hourly = marts.platform_hourly(silver).withColumn("event_date", F.to_date("window_start"))
     platform_hourly.write.mode("overwrite").format(fmt).partitionBy("event_date").save(out.platform_hourly)
 
-    summary = quality.run_summary(
+    summary = quality.run_summary_from_tables(
         classified,
         silver,
         spark.read.format(fmt).load(out.content_daily),

@@ -20,6 +20,7 @@ from playlake.functions.scalar import pseudonymous_id
 from playlake.operators import layers, marts, measures, quality
 from playlake.plans import analyses
 from playlake.sources.fixture import content_dimension_from_part, playback_raw, playback_typed
+from playlake.session import materialize
 from playlake.sources.tables import read_table, spread
 
 # Report parameters (constants so every run is reproducible).
@@ -73,16 +74,25 @@ def classified_typed(spark: SparkSession, sf_dir: str, content_key: str = "catal
     return layers.classify_typed(playback_typed(events(spark, sf_dir), content_key))
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as a lazy plan (for queries that read it once)."""
+
     return layers.silver_batch(classified_typed(spark, sf_dir))
 
 
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written once and read back, for queries that read it more
+    than once (marts with their title dimension, reconciliation)."""
+
+    return materialize(silver_plan(spark, sf_dir), "silver")
+
+
 def content_daily_mart(spark, sf_dir):
     return marts.content_daily(silver(spark, sf_dir))
 
 
 def platform_hourly_mart(spark, sf_dir):
-    return marts.platform_hourly(silver(spark, sf_dir))
+    return marts.platform_hourly(silver_plan(spark, sf_dir))
 
 
 def _event_cols(df: DataFrame) -> DataFrame:
@@ -135,12 +145,12 @@ def q_quarantine_lenient(spark, sf_dir):
 
 
 def q_dedupe_first_arrival(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    s = silver_plan(spark, sf_dir)
     return checked(s.select("event_id", "topic", "partition", "offset", "event_ts", "event_date"))
 
 
 def q_duplicate_count(spark, sf_dir):
-    return checked(quality.duplicate_rate(classified_typed(spark, sf_dir), silver(spark, sf_dir)))
+    return checked(quality.duplicate_rate(classified_typed(spark, sf_dir), silver_plan(spark, sf_dir)))
 
 
 def q_pseudonymize(spark, sf_dir):
@@ -169,7 +179,7 @@ def q_content_daily_served(spark, sf_dir):
 
 
 def q_title_latest(spark, sf_dir):
-    return marts.latest_title(silver(spark, sf_dir))
+    return marts.latest_title(silver_plan(spark, sf_dir))
 
 
 def q_title_join(spark, sf_dir):
@@ -213,7 +223,7 @@ def q_tier_comparison(spark, sf_dir):
 
 
 def q_session_funnel(spark, sf_dir):
-    return checked(analyses.session_funnel(silver(spark, sf_dir), FUNNEL_DAY))
+    return checked(analyses.session_funnel(silver_plan(spark, sf_dir), FUNNEL_DAY))
 
 
 def _dashboard(spark, sf_dir):
@@ -244,10 +254,8 @@ def q_mart_detail(spark, sf_dir):
     return checked(analyses.mart_detail(_dashboard(spark, sf_dir)))
 
 
-def _summary(spark, sf_dir, classified: DataFrame | None = None) -> DataFrame:
-    c = classified if classified is not None else classified_raw(spark, sf_dir)
-    s = layers.silver_batch(c)
-    return quality.run_summary(c, s, marts.content_daily(s), marts.platform_hourly(s), RUN_ID)
+def _summary(spark, sf_dir) -> DataFrame:
+    return quality.run_summary(classified_raw(spark, sf_dir), RUN_ID)
 
 
 def q_run_summary(spark, sf_dir):
@@ -273,11 +281,11 @@ def q_reconciliation(spark, sf_dir):
 
 
 def q_key_skew(spark, sf_dir):
-    return checked(quality.key_skew(silver(spark, sf_dir)))
+    return checked(quality.key_skew(silver_plan(spark, sf_dir)))
 
 
 def q_ingestion_lag(spark, sf_dir):
-    return checked(quality.ingestion_lag(silver(spark, sf_dir)))
+    return checked(quality.ingestion_lag(silver_plan(spark, sf_dir)))
 
 
 def q_upsert_result(spark, sf_dir):

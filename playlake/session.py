@@ -93,3 +93,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written intermediate."""
 
     return f"{checkpoint_root(spark)}/{name}"
+
+
+def materialize(df, name: str, partition_by: str | None = None):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return the table read back.
+
+    Used where one derived frame (e.g. Silver) feeds several branches of a
+    plan: each branch then scans the stored columns it needs instead of
+    recomputing the upstream work, and the lineage is cut, so a lost
+    executor re-reads the table rather than replaying the parse. Each call
+    writes a fresh folder (concurrent callers never share one).
+    """
+
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    return spark.read.parquet(path)
