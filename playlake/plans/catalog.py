@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from playlake import schema as S
 from playlake.functions.scalar import pseudonymous_id
 from playlake.operators import layers, marts, measures, quality
-from playlake.plans import analyses
+from playlake.plans import analyses, sql_reports
 from playlake.sources.fixture import content_dimension_from_part, playback_raw, playback_typed
 from playlake.session import materialize
 from playlake.sources.tables import read_table, spread
@@ -226,6 +226,22 @@ def q_session_funnel(spark, sf_dir):
     return checked(analyses.session_funnel(silver_plan(spark, sf_dir), FUNNEL_DAY))
 
 
+def q_top_content_by_day_sql(spark, sf_dir):
+    return checked(sql_reports.top_content_by_day(spark, content_daily_mart(spark, sf_dir), AS_OF_DATE))
+
+
+def q_qoe_regression_sql(spark, sf_dir):
+    return checked(sql_reports.qoe_regression(spark, platform_hourly_mart(spark, sf_dir), AS_OF_TS))
+
+
+def q_tier_comparison_sql(spark, sf_dir):
+    return checked(sql_reports.tier_comparison(spark, content_daily_mart(spark, sf_dir), TIER_START, TIER_END))
+
+
+def q_session_funnel_sql(spark, sf_dir):
+    return checked(sql_reports.session_funnel(spark, silver_plan(spark, sf_dir), FUNNEL_DAY))
+
+
 def _dashboard(spark, sf_dir):
     return analyses.dashboard_filter(content_daily_mart(spark, sf_dir), DASHBOARD_COUNTRIES, DASHBOARD_DEVICES)
 
@@ -329,6 +345,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "qoe_regression_timeframe": q_qoe_regression_timeframe,
     "tier_comparison": q_tier_comparison,
     "session_funnel": q_session_funnel,
+    "top_content_by_day_sql": q_top_content_by_day_sql,
+    "qoe_regression_sql": q_qoe_regression_sql,
+    "tier_comparison_sql": q_tier_comparison_sql,
+    "session_funnel_sql": q_session_funnel_sql,
     "kpi_totals": q_kpi_totals,
     "top_titles": q_top_titles,
     "device_qoe": q_device_qoe,
