@@ -159,6 +159,13 @@ def enforce_gate(status: DataFrame) -> dict:
     return record
 
 
+def publish_audit(status: DataFrame, path: str) -> None:
+    """Append the gate's status row (status, run_id, rate, reason,
+    checked_at) to an audit table, PASS or FAIL."""
+
+    status.write.mode("append").option("ignoreNullFields", "false").json(path)
+
+
 def reconciliation(silver: DataFrame, marts: dict[str, DataFrame], tolerance: float = RECONCILIATION_TOLERANCE) -> DataFrame:
     """Per mart: Silver events vs the sum of the mart's event_count."""
 

@@ -322,6 +322,71 @@ def q_approx_viewers(spark, sf_dir):
     return checked(marts.content_hourly(silver(spark, sf_dir), exact_viewers=False))
 
 
+# ---- streaming queries -------------------------------------------------------
+
+
+def _stream_settings(spark: SparkSession, sf_dir: str):
+    """Land the raw fixture events as NDJSON files, one per event week in time
+    order, the retried copies last; return settings reading them one file
+    per micro-batch (availableNow)."""
+
+    import uuid
+
+    from playlake.config import Settings
+    from playlake.session import scratch_path
+    from playlake.sources.files import write_raw_ndjson
+
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
+    b = bronze(spark, sf_dir).withColumn("_week", F.date_trunc("week", "broker_timestamp"))
+    # One value per event week: a short, bounded list.
+    weeks = [r[0] for r in b.where("`partition` = 0").select("_week").distinct().orderBy("_week").collect()]
+    groups = [b.where((F.col("partition") == 0) & (F.col("_week") == w)) for w in weeks]
+    groups.append(b.where(F.col("partition") > 0))
+    for i, g in enumerate(groups):
+        write_raw_ndjson(g.orderBy("partition", "offset").coalesce(1), f"{root}/landing/{i:04d}")
+    return Settings(
+        landing_path=f"{root}/landing/*",
+        checkpoint_root=f"{root}/checkpoints",
+        trigger_interval=None,
+        max_files_per_trigger=1,
+        silver_path=f"{root}/silver",
+        gold_paths={"platform_hourly": f"{root}/gold_platform_hourly"},
+    )
+
+
+def q_stream_dedupe(spark, sf_dir):
+    """Silver stream (strict contract, dedupe within a 15-minute watermark)
+    over the landing files; equals the batch first-arrival Silver."""
+
+    from playlake.streaming import jobs
+
+    st = _stream_settings(spark, sf_dir)
+    silver_s = jobs.silver_stream(jobs.bronze_source(spark, st), st)
+    q = (
+        silver_s.writeStream.format("parquet")
+        .option("checkpointLocation", jobs.checkpoint_for(spark, st, "silver"))
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start(st.silver_path)
+    )
+    q.awaitTermination()
+    out = spark.read.parquet(st.silver_path)
+    return checked(out.select("event_id", "event_ts", "event_date", "user_id", "content_id", "event_type"))
+
+
+def q_stream_platform_hourly(spark, sf_dir):
+    """Bronze -> dedupe -> hourly mart in one stateful query, upserted per
+    micro-batch; equals the batch mart (viewers left out: approximate)."""
+
+    from playlake.streaming import jobs
+
+    st = _stream_settings(spark, sf_dir)
+    jobs.start_direct_gold(spark, st, "platform_hourly").awaitTermination()
+    gold = spark.read.parquet(st.gold_paths["platform_hourly"])
+    cols = [c for c in S.PLATFORM_HOURLY_KEYS + S.MEASURES + S.RECOMBINABLE if c != "unique_viewers"]
+    return checked(gold.select(*cols))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_projection": q_bronze_projection,
     "contract_errors_typed": q_contract_errors_typed,
@@ -362,4 +427,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingestion_lag": q_ingestion_lag,
     "upsert_result": q_upsert_result,
     "approx_viewers": q_approx_viewers,
+    "stream_dedupe": q_stream_dedupe,
+    "stream_platform_hourly": q_stream_platform_hourly,
 }
