@@ -23,6 +23,10 @@ class Settings:
     starting_offsets: str = "earliest"
     max_offsets_per_trigger: int | None = None
     max_files_per_trigger: int | None = None
+    # Spread each micro-batch over this many tasks before parsing (for small
+    # landing files that arrive as one task each); None keeps the source's
+    # own partitioning (e.g. one task per topic partition).
+    source_partitions: int | None = None
     bronze_path: str = "out/bronze"
     silver_path: str = "out/silver"
     quarantine_path: str = "out/quarantine"
@@ -53,7 +57,7 @@ class Settings:
             raw = os.environ.get(prefix + name.upper())
             if raw is None or name == "gold_paths":
                 continue
-            if name in ("max_offsets_per_trigger", "max_files_per_trigger"):
+            if name in ("max_offsets_per_trigger", "max_files_per_trigger", "source_partitions"):
                 kw[name] = int(raw)
             else:
                 kw[name] = raw

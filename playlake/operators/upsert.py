@@ -80,14 +80,14 @@ def merge_into_path(
             updates.write.format("delta").partitionBy(partition_by).mode("overwrite").save(path)
         return
 
-    if not _path_exists(spark, path):
-        updates.write.format(fmt).partitionBy(partition_by).mode("overwrite").save(path)
-        return
     # Only the partitions present in the batch are read and rewritten; the
     # list is one value per touched day, bounded by the watermark horizon.
     touched = [r[0] for r in updates.select(partition_by).distinct().collect()]
     if not touched:
         return
+    if not _path_exists(spark, path):
+        updates.write.format(fmt).partitionBy(partition_by).mode("overwrite").save(path)
+        return
     current = spark.read.schema(updates.schema).format(fmt).load(path).where(F.col(partition_by).isin(touched))
     merged = upsert_frame(current, updates, keys)
     checkpoint_root(spark)  # make sure the shared checkpoint folder is set
@@ -104,15 +104,21 @@ def merge_into_path(
 
 def batch_upsert_writer(path: str, keys: list[str], partition_by: str, fmt: str = "parquet"):
     """foreachBatch callback: stamp lineage columns and upsert; empty batches
-    are skipped, so a replayed empty batch is a no-op."""
+    are skipped, so a replayed empty batch is a no-op.
+
+    The micro-batch frame is persisted for the duration of the callback:
+    the upsert takes several actions (touched days, merge, write), and each
+    would otherwise re-run the micro-batch plan, stateful operators and all.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stamped = batch.withColumns(
             {"last_updated_at": F.current_timestamp(), "source_batch_id": F.lit(int(batch_id)).cast("long")}
-        )
-        if stamped.isEmpty():
-            return
-        merge_into_path(spark, stamped, path, keys, partition_by, fmt)
+        ).persist()
+        try:
+            merge_into_path(spark, stamped, path, keys, partition_by, fmt)
+        finally:
+            stamped.unpersist()
 
     return write

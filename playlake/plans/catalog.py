@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -337,13 +337,18 @@ def _stream_settings(spark: SparkSession, sf_dir: str):
     from playlake.sources.files import write_raw_ndjson
 
     root = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
-    b = bronze(spark, sf_dir).withColumn("_week", F.date_trunc("week", "broker_timestamp"))
-    # One value per event week: a short, bounded list.
-    weeks = [r[0] for r in b.where("`partition` = 0").select("_week").distinct().orderBy("_week").collect()]
-    groups = [b.where((F.col("partition") == 0) & (F.col("_week") == w)) for w in weeks]
-    groups.append(b.where(F.col("partition") > 0))
+    # Group number: the event week (epoch weeks, rising with time) for first
+    # copies, the retried copies after every week.
+    staged = bronze(spark, sf_dir).selectExpr(
+        "raw_payload",
+        "CASE WHEN `partition` = 0 THEN floor(unix_seconds(broker_timestamp) / 604800) "
+        "ELSE 9223372036854775807 END AS _grp",
+    )
+    staged.select("raw_payload", "_grp").write.partitionBy("_grp").parquet(f"{root}/staged")
+    groups = sorted(r[0] for r in spark.read.parquet(f"{root}/staged").select("_grp").distinct().collect())
     for i, g in enumerate(groups):
-        write_raw_ndjson(g.orderBy("partition", "offset").coalesce(1), f"{root}/landing/{i:04d}")
+        part = spark.read.parquet(f"{root}/staged").where(F.col("_grp") == g)
+        write_raw_ndjson(part.coalesce(1), f"{root}/landing/{i:04d}")
     return Settings(
         landing_path=f"{root}/landing/*",
         checkpoint_root=f"{root}/checkpoints",
@@ -351,6 +356,7 @@ def _stream_settings(spark: SparkSession, sf_dir: str):
         max_files_per_trigger=1,
         silver_path=f"{root}/silver",
         gold_paths={"platform_hourly": f"{root}/gold_platform_hourly"},
+        source_partitions=spark.sparkContext.defaultParallelism,
     )
 
 

@@ -18,9 +18,13 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Large state (dedupe ids within the watermark horizon) lives in RocksDB
+    # off the JVM heap; commits write a change log instead of a snapshot of
+    # every partition each micro-batch.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
 }
 

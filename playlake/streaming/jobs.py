@@ -55,13 +55,17 @@ def bronze_source(spark: SparkSession, settings: Settings) -> DataFrame:
     if settings.source == "kafka":
         from playlake.sources.kafka import read_topic_stream
 
-        return read_topic_stream(
+        rows = read_topic_stream(
             spark, settings.bootstrap_servers, settings.topic, settings.starting_offsets,
             settings.max_offsets_per_trigger,
         )
-    from playlake.sources.files import bronze_file_stream
+    else:
+        from playlake.sources.files import bronze_file_stream
 
-    return bronze_file_stream(spark, settings.landing_path, settings.max_files_per_trigger)
+        rows = bronze_file_stream(spark, settings.landing_path, settings.max_files_per_trigger)
+    if settings.source_partitions:
+        rows = rows.repartition(settings.source_partitions)
+    return rows
 
 
 def table_stream(spark: SparkSession, path: str, schema, settings: Settings, max_files: int | None = None) -> DataFrame:
