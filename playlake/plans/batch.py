@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.operators import layers, marts, quality
+from playlake.session import ensure_semantics
 from playlake.sources import files
 
 
@@ -39,6 +40,7 @@ def run_pipeline(
     """Materialise every layer under ``output_dir``; return the summary row
     (also written as JSON to ``output_dir/run_summary``)."""
 
+    ensure_semantics(spark)
     out = RunPaths(output_dir)
     bronze = bronze.withColumn("ingest_date", F.to_date("bronze_ingested_at"))
     bronze.write.mode("overwrite").format(fmt).partitionBy("ingest_date").save(out.bronze)

@@ -20,7 +20,7 @@ from playlake.functions.scalar import pseudonymous_id
 from playlake.operators import layers, marts, measures, quality
 from playlake.plans import analyses, sql_reports
 from playlake.sources.fixture import content_dimension_from_part, playback_raw, playback_typed
-from playlake.session import materialize
+from playlake.session import ensure_semantics, materialize
 from playlake.sources.tables import read_table, spread
 
 # Report parameters (constants so every run is reproducible).
@@ -58,6 +58,7 @@ def checked(df: DataFrame) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_semantics(spark)
     cols = ["event_id", "ts", "user_id", "event_type", "value", "props"]
     return spread(read_table(spark, sf_dir, "events").select(*cols))
 

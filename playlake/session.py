@@ -29,6 +29,23 @@ SESSION_DEFAULTS: dict[str, str] = {
 }
 
 
+# Runtime settings the results depend on (not tuning): UTC days and hours,
+# and the last of repeated JSON keys wins, as in Python's decoder.
+SEMANTIC_CONF: dict[str, str] = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.variant.allowDuplicateKeys": "true",
+}
+
+
+def ensure_semantics(spark: SparkSession) -> SparkSession:
+    """Set the settings results depend on, on a session built elsewhere."""
+
+    for key, value in SEMANTIC_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def build_session(
     app_name: str = "playlake",
     master: str | None = None,

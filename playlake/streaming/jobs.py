@@ -26,7 +26,7 @@ from playlake import schema as S
 from playlake.config import Settings
 from playlake.operators import layers, marts
 from playlake.operators.upsert import batch_upsert_writer
-from playlake.session import checkpoint_root
+from playlake.session import checkpoint_root, ensure_semantics
 
 MART_KEYS = {
     "content_hourly": list(S.CONTENT_HOURLY_KEYS),
@@ -52,6 +52,7 @@ def _trigger(writer, settings: Settings):
 def bronze_source(spark: SparkSession, settings: Settings) -> DataFrame:
     """Raw events as a stream, in the Bronze layout."""
 
+    ensure_semantics(spark)
     if settings.source == "kafka":
         from playlake.sources.kafka import read_topic_stream
 
@@ -72,6 +73,7 @@ def table_stream(spark: SparkSession, path: str, schema, settings: Settings, max
     """Read an upstream layer as a stream (explicit schema: an empty or not
     yet created upstream folder is legal)."""
 
+    ensure_semantics(spark)
     reader = spark.readStream.format(settings.table_format).schema(schema)
     if max_files or settings.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files or settings.max_files_per_trigger))
@@ -181,6 +183,7 @@ def start_silver(spark: SparkSession, settings: Settings) -> tuple[StreamingQuer
 def start_gold(spark: SparkSession, settings: Settings, mart: str = "content_hourly") -> StreamingQuery:
     """Stateful mart over the Silver table, upserted per micro-batch."""
 
+    ensure_semantics(spark)
     silver = table_stream(spark, settings.silver_path, S.silver_schema(), settings)
     out = mart_stream(silver, mart, settings.watermark_delay)
     writer = batch_upsert_writer(settings.gold_paths[mart], MART_KEYS[mart], "event_date", settings.table_format)

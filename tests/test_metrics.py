@@ -71,3 +71,17 @@ def test_recombine_is_exact(spark):
     rolled = measures.recombine(hourly, keys).select(*keys, "event_count", "watch_micros", "rebuffer_ratio", "qoe_score")
     daily = marts.content_daily(silver).select(*keys, "event_count", "watch_micros", "rebuffer_ratio", "qoe_score")
     assert rolled.exceptAll(daily).count() == 0 and daily.exceptAll(rolled).count() == 0
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    """A session in another zone gets the same UTC days and hours."""
+
+    import __spark_entry__ as E
+
+    expected = sorted(tuple(r) for r in E.queries()["platform_hourly"](spark, SF).collect())
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = sorted(tuple(r) for r in E.queries()["platform_hourly"](spark, SF).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == expected
