@@ -39,20 +39,10 @@ def blank_sql(text_sql: str) -> str:
     return f"{text_sql} RLIKE {sql_literal(BLANK)}"
 
 
-def parse_iso_ts(column: str) -> Column:
-    """ISO-8601 text with a zone -> TIMESTAMP (UTC session), else NULL."""
 
-    return F.expr(iso_ts_sql(f"`{column}`"))
 
 
-def iso_utc_text(ts: Column) -> Column:
-    """TIMESTAMP -> ISO-8601 UTC text with microseconds and a 'Z'."""
 
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-
-
-def is_blank(column: str) -> Column:
-    return F.expr(blank_sql(f"`{column}`"))
 
 
 def dbl(x: float) -> str:
@@ -84,10 +74,6 @@ def micros_sql(value: str, factor: float = 1_000_000.0) -> str:
     return f"try_cast(round(coalesce({value}, 0.0D) * {dbl(factor)}) AS BIGINT)"
 
 
-def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
-    """Mart ratio: 0 when the divisor is 0 (never raises under ANSI)."""
-
-    return F.when(denominator > 0, numerator / denominator).otherwise(F.lit(0.0))
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
@@ -176,14 +162,6 @@ def round_half_even_sql(x: str, places: int) -> str:
             f"ELSE signum({x}) * (({units} + {up}) / {dbl(scale)}) END")
 
 
-def micros(seconds: Column, factor: float = 1_000_000.0) -> Column:
-    """Non-negative time value -> integer micro-units (NULL -> 0).
-
-    Time measures are summed as integers so totals are exact and do not
-    depend on how rows are partitioned or retried.
-    """
-
-    return F.round(F.coalesce(seconds, F.lit(0.0)) * F.lit(factor)).try_cast("long")
 
 
 def pseudonymous_id(prefix: str, value: Column) -> Column:
@@ -196,9 +174,4 @@ def event_date(ts: Column) -> Column:
     return F.to_date(ts)
 
 
-def event_hour(ts: Column) -> Column:
-    return F.date_trunc("hour", ts)
-
 
-def nonneg_or_zero(x: Column) -> Column:
-    return F.coalesce(x, F.lit(0.0))

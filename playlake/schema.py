@@ -50,21 +50,6 @@ QOE_ERROR_WEIGHT, QOE_ERROR_CAP = 100.0, 30.0
 ROUND_RATE, ROUND_HOURS, ROUND_STARTUP, ROUND_SCORE = 4, 4, 2, 2
 # ---------------------------------------------------------------------------
 
-STRING_FIELDS = (
-    "event_id",
-    "event_type",
-    "event_ts",
-    "ingestion_ts",
-    "user_id",
-    "profile_id",
-    "session_id",
-    "content_id",
-    "content_title",
-    "device_type",
-    "country",
-    "subscription_tier",
-    "error_code",
-)
 
 
 def event_schema() -> T.StructType:

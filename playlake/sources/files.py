@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlake import schema as S
 from playlake.session import checkpoint_root
 
 
@@ -166,5 +165,3 @@ def bronze_file_stream(spark: SparkSession, path: str, max_files_per_trigger: in
         F.lit(None).cast("string").alias("run_id"),
     )
 
-
-BRONZE_COLUMNS = [f.name for f in S.bronze_schema().fields]

@@ -13,7 +13,7 @@ Arrival coordinates: ``topic`` = 'events', ``partition`` = copy number,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlake.functions.scalar import sql_literal
