@@ -110,13 +110,16 @@ def session_funnel(silver: DataFrame, day: str, median_accuracy: int = 1_000_000
     failed, and the median watch time per session, for one event day.
 
     Two chained aggregations (session, then device); both are partial
-    aggregates before their shuffle. The day filter is also written as an
-    ``event_ts`` range so Parquet statistics and partitions prune.
+    aggregates before their shuffle. The day filter is written on the
+    ``event_date`` partition column and as an ``event_ts`` range, so stored
+    Silver prunes partitions and row groups (``event_date`` is the UTC date
+    of ``event_ts`` by construction).
     """
 
     d = _date(day)
     day_rows = silver.where(
-        (F.col("event_ts") >= d.cast("timestamp"))
+        (F.col("event_date") == d)  # partition pruning on stored Silver
+        & (F.col("event_ts") >= d.cast("timestamp"))
         & (F.col("event_ts") < F.date_add(d, 1).cast("timestamp"))
         & (F.to_date("event_ts") == d)
     )
