@@ -34,45 +34,46 @@ def run_summary(classified: DataFrame, run_id: str, order: tuple[str, ...] = ("t
     """Counts in / valid / duplicate / quarantined / mart rows and the pass
     rate valid / input (duplicates lower it), rounded to 4 places.
 
-    One pass over the classified rows: arrivals are ranked per event id
-    among valid rows (the Silver rule: first arrival wins), and a single
-    aggregate takes every count. Mart row counts are the distinct grouping
-    keys of the first arrivals, which is exactly the number of mart rows.
+    One pass over the classified rows, two aggregates, no window:
+    1. per event id: how many valid and invalid copies arrived, and the mart
+       keys of the first valid arrival (``min_by`` over the arrival order,
+       the Silver rule). Copies of one id are combined map-side before the
+       shuffle, so a retry storm on a single id costs one row per map task;
+    2. over those per-id rows: every count, with the mart row counts as the
+       distinct grouping keys of first arrivals (exactly the mart rows).
     """
 
-    by = ", ".join(f"`{c}` ASC NULLS LAST" for c in order)
-    ranked = classified.selectExpr(
-        "is_valid",
-        "event_id",
-        "event_ts",
-        "content_id",
-        "country",
-        "subscription_tier",
-        "device_type",
-        f"CASE WHEN is_valid THEN row_number() OVER (PARTITION BY is_valid, event_id ORDER BY {by}) END AS _arrival",
-    )
+    arrival = "struct(" + ", ".join(f"`{c}`" for c in order) + ")"
     ts = iso_ts_sql("event_ts")
-    first = "is_valid AND _arrival = 1"
-    counts = ranked.selectExpr("*", f"CASE WHEN {first} THEN {ts} END AS _ts").agg(
-        F.expr("count(1) AS input_records"),
-        F.expr(f"count_if({first}) AS valid_records"),
-        F.expr(f"count_if(is_valid AND _arrival > 1) AS duplicate_records"),
-        F.expr("count_if(NOT is_valid) AS quarantined_records"),
+    keys = (
+        f"struct(to_date({ts}) AS day, date_trunc('hour', {ts}) AS hour, content_id, country, "
+        "subscription_tier, device_type)"
+    )
+    per_id = classified.groupBy("event_id").agg(
+        F.expr("count_if(is_valid) AS valid_copies"),
+        F.expr("count_if(NOT is_valid) AS invalid_copies"),
+        F.expr(f"min_by(CASE WHEN is_valid THEN {keys} END, CASE WHEN is_valid THEN {arrival} END) AS k"),
+    )
+    counts = per_id.agg(
+        F.expr("sum(valid_copies + invalid_copies) AS input_records"),
+        F.expr("count_if(valid_copies > 0) AS valid_records"),
+        F.expr("sum(valid_copies) - count_if(valid_copies > 0) AS duplicate_records"),
+        F.expr("sum(invalid_copies) AS quarantined_records"),
         F.expr(
-            "count(DISTINCT CASE WHEN _ts IS NOT NULL THEN struct(to_date(_ts), content_id, country, "
-            "subscription_tier, device_type) END) AS gold_content_daily_rows"
+            "count(DISTINCT CASE WHEN valid_copies > 0 THEN struct(k.day, k.content_id, k.country, "
+            "k.subscription_tier, k.device_type) END) AS gold_content_daily_rows"
         ),
         F.expr(
-            "count(DISTINCT CASE WHEN _ts IS NOT NULL THEN struct(date_trunc('hour', _ts), country, device_type) END)"
+            "count(DISTINCT CASE WHEN valid_copies > 0 THEN struct(k.hour, k.country, k.device_type) END)"
             " AS gold_platform_hourly_rows"
         ),
     )
     return counts.selectExpr(
         f"{sql_literal(run_id)} AS run_id",
-        "input_records",
+        "coalesce(input_records, 0) AS input_records",
         "valid_records",
-        "duplicate_records",
-        "quarantined_records",
+        "coalesce(duplicate_records, 0) AS duplicate_records",
+        "coalesce(quarantined_records, 0) AS quarantined_records",
         "gold_content_daily_rows",
         "gold_platform_hourly_rows",
         "coalesce(round(try_divide(CAST(valid_records AS DOUBLE), CAST(input_records AS DOUBLE)), 4), 0.0D)"

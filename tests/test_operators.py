@@ -101,3 +101,32 @@ def test_publish_audit(spark, tmp_path):
     quality.publish_audit(quality.gate(summary, 0.5), str(tmp_path / "audit"))
     rows = spark.read.json(str(tmp_path / "audit")).select("status", "run_id").collect()
     assert sorted(tuple(r) for r in rows) == [("FAIL", "audit-run"), ("PASS", "audit-run")]
+
+
+def test_run_summary_retry_storm(spark):
+    """One id arriving thousands of times (plus garbage lines with no id):
+    counts stay exact; dedupe keeps one copy."""
+
+    base = catalog.bronze(spark, SF)
+    storm_row = base.where("`partition` = 0").orderBy("offset").limit(1)
+    one = storm_row.first()
+    storm = spark.range(3000).select(
+        F.lit(one["message_key"]).alias("message_key"), F.lit(one["raw_payload"]).alias("raw_payload"),
+        F.lit(one["topic"]).alias("topic"), F.lit(2).alias("partition"), F.col("id").alias("offset"),
+        F.lit(one["broker_timestamp"]).alias("broker_timestamp"), F.current_timestamp().alias("bronze_ingested_at"),
+        F.lit(one["run_id"]).alias("run_id"))
+    garbage = spark.range(500).selectExpr(
+        "CAST(NULL AS STRING) AS message_key", "'{oops' AS raw_payload", "'t' AS topic", "CAST(3 AS INT) AS partition",
+        "id AS offset", "CAST(NULL AS TIMESTAMP) AS broker_timestamp", "current_timestamp() AS bronze_ingested_at",
+        "'r' AS run_id")
+    classified = layers.classify(base.unionByName(storm).unionByName(garbage))
+    s = quality.run_summary(classified, "storm").first()
+    plain = quality.run_summary(layers.classify(base), "plain").first()
+    first_valid = layers.classify(storm_row).first()["is_valid"]
+    assert s["input_records"] == plain["input_records"] + 3500
+    assert s["quarantined_records"] == plain["quarantined_records"] + 500 + (0 if first_valid else 3000)
+    assert s["valid_records"] == plain["valid_records"]
+    assert s["duplicate_records"] == plain["duplicate_records"] + (3000 if first_valid else 0)
+    assert s["gold_content_daily_rows"] == plain["gold_content_daily_rows"]
+    silver = layers.silver_batch(classified)
+    assert silver.count() == plain["valid_records"]
