@@ -133,6 +133,15 @@ def q_quarantine_strict(spark, sf_dir):
     return checked(q.select("topic", "partition", "offset", "errors", "quarantine_reason"))
 
 
+def q_quarantine_replay(spark, sf_dir):
+    """Quarantined raw payloads replayed through the same contract: every
+    row is rejected again with the same error list (E6)."""
+
+    q = layers.quarantine(classified_raw(spark, sf_dir))
+    again = layers.classify(q.drop("errors", "quarantine_reason", "quarantined_at"), "strict")
+    return checked(again.select("topic", "partition", "offset", "errors", "is_valid"))
+
+
 def q_silver_lenient(spark, sf_dir):
     s = layers.silver_batch(layers.classify(bronze(spark, sf_dir), "lenient"), profile="lenient")
     return checked(s.drop("silver_processed_at", "bronze_ingested_at"))
@@ -177,6 +186,16 @@ def q_content_daily_served(spark, sf_dir):
     return checked(measures.serve(content_daily_mart(spark, sf_dir)))
 
 
+def q_hourly_to_daily_rollup(spark, sf_dir):
+    """content_hourly rolled up to days from its stored integer parts: counts
+    and rates equal content_daily's exactly; viewers become hour segments."""
+
+    hourly = marts.content_hourly(silver_plan(spark, sf_dir)).withColumn("event_date", F.to_date("window_start"))
+    keys = list(S.CONTENT_DAILY_KEYS)
+    rolled = measures.recombine(hourly, keys).withColumnRenamed("unique_viewers", "viewer_hour_segments")
+    return checked(rolled)
+
+
 def q_title_latest(spark, sf_dir):
     return marts.latest_title(silver_plan(spark, sf_dir))
 
@@ -398,6 +417,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contract_errors_raw": q_contract_errors_raw,
     "silver_strict": q_silver_strict,
     "quarantine_strict": q_quarantine_strict,
+    "quarantine_replay": q_quarantine_replay,
     "silver_lenient": q_silver_lenient,
     "quarantine_lenient": q_quarantine_lenient,
     "dedupe_first_arrival": q_dedupe_first_arrival,
@@ -407,6 +427,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "platform_hourly": q_platform_hourly,
     "content_hourly": q_content_hourly,
     "content_daily_served": q_content_daily_served,
+    "hourly_to_daily_rollup": q_hourly_to_daily_rollup,
     "title_latest": q_title_latest,
     "title_join": q_title_join,
     "dim_join_part": q_dim_join_part,
