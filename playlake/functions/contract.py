@@ -158,7 +158,7 @@ def with_errors_from_raw(df: DataFrame, raw: str = "raw_payload") -> DataFrame:
     meaningful on rows whose ``errors`` is empty.
     """
 
-    keep = [c for c in df.columns if c not in S.EVENT_FIELDS]
+    keep = [c for c in df.columns if c not in S.EVENT_FIELDS and c not in ("errors", "is_valid")]
     df, fx, helpers = _variant_stage(df, raw)
     typed = []
     for field in S.event_schema().fields:
@@ -173,7 +173,8 @@ def with_errors_from_raw(df: DataFrame, raw: str = "raw_payload") -> DataFrame:
 def with_errors_typed(df: DataFrame) -> DataFrame:
     """Add ``errors`` to a frame whose event fields are already typed."""
 
-    return df.selectExpr("*", f"{_errors_sql(_typed_fields(df))} AS errors")
+    keep = [f"`{c}`" for c in df.columns if c not in ("errors", "is_valid")]
+    return df.selectExpr(*keep, f"{_errors_sql(_typed_fields(df))} AS errors")
 
 
 def contract_errors_typed(df: DataFrame) -> Column:

@@ -58,8 +58,9 @@ def classify(bronze: DataFrame, profile: str = "strict") -> DataFrame:
         df = with_errors_from_raw(bronze, "raw_payload")
     elif profile == "lenient":
         parsed = F.from_json(F.col("raw_payload"), S.event_schema())
+        keep = [c for c in bronze.columns if c not in S.EVENT_FIELDS and c not in ("errors", "is_valid")]
         df = bronze.withColumn("_event", parsed).select(
-            *bronze.columns, *[F.col(f"_event.{f}").alias(f) for f in S.EVENT_FIELDS]
+            *keep, *[F.col(f"_event.{f}").alias(f) for f in S.EVENT_FIELDS]
         )
         ok = lenient_condition("try_to_timestamp(event_ts)")
         df = df.withColumn(
