@@ -69,11 +69,23 @@ def bronze_source(spark: SparkSession, settings: Settings) -> DataFrame:
     return rows
 
 
+def _ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create an upstream table folder if it does not exist yet, so a
+    downstream query can start before the upstream one has committed."""
+
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        fs.mkdirs(hpath)
+
+
 def table_stream(spark: SparkSession, path: str, schema, settings: Settings, max_files: int | None = None) -> DataFrame:
     """Read an upstream layer as a stream (explicit schema: an empty or not
     yet created upstream folder is legal)."""
 
     ensure_semantics(spark)
+    _ensure_dir(spark, path)
     reader = spark.readStream.format(settings.table_format).schema(schema)
     if max_files or settings.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files or settings.max_files_per_trigger))

@@ -187,3 +187,13 @@ def test_multi_hop_jobs(spark, tmp_path):
     run_all_hops()  # nothing new: every hop finds its checkpoint up to date
     gold2 = spark.read.parquet(st.gold_paths["content_hourly"]).drop("last_updated_at", "source_batch_id")
     assert sorted(tuple(r) for r in gold2.collect()) == snapshot
+
+
+def test_downstream_starts_before_upstream_exists(spark, tmp_path):
+    """run_all order: Gold may start before Silver has written anything."""
+
+    st = _settings(tmp_path).with_(silver_path=str(tmp_path / "not_yet"),
+                                   gold_paths={"platform_hourly": str(tmp_path / "gold")})
+    q = jobs.start_gold(spark, st, "platform_hourly")
+    q.awaitTermination()
+    assert q.exception() is None
