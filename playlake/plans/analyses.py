@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from playlake import schema as S
 from playlake.functions.scalar import safe_ratio, weighted_mean
 
 
@@ -124,9 +125,15 @@ def session_funnel(silver: DataFrame, day: str, median_accuracy: int = 1_000_000
         & (F.to_date("event_ts") == d)
     )
     et = F.col("event_type")
+    # Silver rows passed the contract, so device_type is one of the enum
+    # values (listed in sorted order): the smallest index is the smallest
+    # name, and an integer minimum keeps the session aggregate hash-based
+    # (a string minimum would force a sort-based aggregate over the day).
+    devices = F.array(*[F.lit(d) for d in S.DEVICE_TYPES])
     sessions = day_rows.groupBy("session_id").agg(
-        F.min("content_id").alias("content_id"),
-        F.min("device_type").alias("device_type"),
+        F.element_at(devices, F.min(F.array_position(devices, F.col("device_type"))).cast("int")).alias(
+            "device_type"
+        ),
         F.min("event_ts").alias("session_started_at"),
         (F.count_if(et == "playback_started") > 0).alias("started"),
         (F.count_if(et == "playback_progress") > 0).alias("progressed"),

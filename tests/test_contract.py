@@ -133,3 +133,10 @@ def test_errors_typed_match_raw(spark):
     raw = catalog.classified_raw(spark, "/root/testdata/sf0.001").select("event_id", "partition", "errors")
     assert typed.exceptAll(raw).count() == 0
     assert raw.exceptAll(typed).count() == 0
+
+
+def test_device_domain_is_sorted():
+    """The session funnel takes the minimum device by its index in this
+    list; that equals the minimum name only while the list is sorted."""
+
+    assert list(S.DEVICE_TYPES) == sorted(S.DEVICE_TYPES)
