@@ -58,12 +58,13 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = winnowing.add_fingerprint(docs, "text", "fp").withColumn("own", winnowing.hashes("fp"))
-    rows = winnowing.with_next(docs, "doc_id", ["text", "own"]).withColumn("n_chars", F.length("text").cast("bigint"))
+    docs = winnowing.add_codes(docs, "text", "fp")
+    rows = winnowing.with_next(docs, "doc_id", ["text", "fp"]).withColumn("n_chars", F.length("text").cast("bigint"))
     third = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - third), F.substr(F.col("__next.text"), F.lit(1), third))
-    rows = rows.select("doc_id", "n_chars", "fp", "own", F.col("__next.own").alias("next"), edited.alias("edited"))
-    rows = winnowing.add_fingerprint(rows, "edited", "edited_fp").withColumn("other", winnowing.hashes("edited_fp"))
+    rows = rows.select("doc_id", "n_chars", "fp", F.col("__next.fp").alias("next_fp"), edited.alias("edited"))
+    rows = winnowing.add_codes(rows, "edited", "edited_fp")
+    rows = rows.withColumns({"own": winnowing.hashes("fp"), "other": winnowing.hashes("edited_fp"), "next": winnowing.hashes("next_fp")})
     return rows.select(
         "doc_id",
         "n_chars",

@@ -22,8 +22,9 @@ def tokens(text: Column, piece: int = PIECE) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(rf"([\p{{L}}\p{{M}}\p{{N}}]{{1,{piece}}}|[^\p{{L}}\p{{M}}\p{{N}}\s]{{1,{piece}}})"), F.lit(1))
 
 
-def add_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = WINDOW) -> DataFrame:
-    """``df`` with ``out``: array of (hash, position) in order of position; empty without tokens.
+def add_codes(df: DataFrame, text: str, out: str, k: int = K, w: int = WINDOW) -> DataFrame:
+    """``df`` with ``out``: the chosen (hash, position) pairs in order of position, each
+    as one long; empty without tokens.
 
     A text of fewer than k tokens has one k-gram of all of them; fewer than w k-grams are
     one window.  The helper columns are each used twice, which keeps Spark from moving
@@ -36,17 +37,30 @@ def add_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = WIN
     df = df.withColumn("__h", F.when(F.size("__t") > 0, rolled).otherwise(F.array().cast("array<bigint>")))
     wide = F.transform(F.sequence(F.lit(1), F.size("__h") - F.lit(w - 1)), lambda i: F.array_min(F.slice("__h", i, F.lit(w))))
     least = F.when(F.size("__h") >= w, F.array_distinct(wide)).when(F.size("__h") > 0, F.array(F.array_min("__h"))).otherwise(F.col("__h"))
-    pair = lambda x: F.struct(F.shiftrightunsigned(x, 31).alias("hash"), (F.lit(POSITIONS) - F.pmod(x, F.lit(1 << 31))).cast("int").alias("position"))
-    return df.withColumn(out, F.transform(least, pair)).drop("__t", "__h")
+    return df.withColumn(out, least).drop("__t", "__h")
+
+
+def hash_of(code: Column) -> Column:
+    return F.shiftrightunsigned(code, 31)
+
+
+def position_of(code: Column) -> Column:
+    return (F.lit(POSITIONS) - F.pmod(code, F.lit(1 << 31))).cast("int")
+
+
+def add_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = WINDOW) -> DataFrame:
+    """``df`` with ``out``: array of (hash, position) in order of position."""
+    pair = lambda x: F.struct(hash_of(x).alias("hash"), position_of(x).alias("position"))
+    return add_codes(df, text, out, k, w).withColumn(out, F.transform(out, pair))
 
 
-def hashes(fingerprint: str) -> Column:
-    return F.array_distinct(F.transform(fingerprint, lambda x: x["hash"]))
+def hashes(codes: str) -> Column:
+    return F.array_distinct(F.transform(codes, hash_of))
 
 
-def text_form(fingerprint: str) -> Column:
+def text_form(codes: str) -> Column:
     """Hashes in order of position, eight hex digits each, with their positions."""
-    return F.array_join(F.transform(fingerprint, lambda x: F.concat(F.lower(F.lpad(F.hex(x["hash"]), 8, "0")), F.lit("@"), x["position"].cast("string"))), " ")
+    return F.array_join(F.transform(codes, lambda x: F.concat(F.lower(F.lpad(F.hex(hash_of(x)), 8, "0")), F.lit("@"), position_of(x).cast("string"))), " ")
 
 
 def likeness(a: str, b: str) -> Column:
