@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return ngram_join.keep_one(docs, ngram_join.ngram_join(docs)).select(*docs.columns)
+    return ngram_join.keep_one(docs, materialize(ngram_join.ngram_join(docs), "joined")).select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

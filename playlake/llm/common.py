@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -44,6 +47,9 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(root.parent).as_posix())
     sc.addPyFile(str(folder / f"{root.name}.zip"))
     _SHIPPED.add(sc.applicationId)
+    # whole texts travel to the workers: fewer rows at a time than Spark's default
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -55,6 +61,37 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a filter at most: 16 MB.
+FILTER_BITS = 27
+
+
+def hash_filter(hashes: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A test whether a 64-bit hash may be in a column of them: true for all that are, and for
+    few others.  It keeps rows that a join cannot match out of its shuffle.
+
+    The filter is one bit array of at most 2**FILTER_BITS bits, whatever the number of
+    hashes; beyond some ten million it lets more through, which costs time, not results.
+    """
+    spark = hashes.sparkSession
+    ship(spark)
+    n = hashes.count()
+    bits = min(FILTER_BITS, max(16, int(16 * n).bit_length()))
+    at = F.shiftrightunsigned(F.col(column), 64 - bits)
+    rows = hashes.select(F.shiftright(at, 6).alias("w"), at.bitwiseAND(F.lit(63)).cast("int").alias("b"))
+    rows = rows.groupBy("w").agg(F.expr("bit_or(shiftleft(1L, b))").alias("m")).toArrow()  # 2**bits / 64 rows at most
+    words = np.zeros(1 << (bits - 6), np.int64)
+    words[rows.column("w").to_numpy()] = rows.column("m").to_numpy()
+    shared = spark.sparkContext.broadcast(words.view(np.uint64))
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        k = h.to_numpy().astype(np.int64).view(np.uint64) >> np.uint64(64 - bits)
+        word = shared.value[(k >> np.uint64(6)).astype(np.int64)]
+        return pd.Series((word >> (k & np.uint64(63)) & np.uint64(1)) > 0)
+
+    return maybe
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the least node of its component.
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
-from playlake.llm.common import connected_components, materialize, ship
+from playlake.llm.common import connected_components, hash_filter, materialize, ship
 
 #: Units of one block, and bytes of text of one block; a group is two blocks at most.
 BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20
@@ -162,11 +162,12 @@ def likely_pairs(hashes: int, threshold: float) -> Callable:
 
 def candidates(units: DataFrame, bands: int, rows: int, threshold: float) -> DataFrame:
     """Edges (a, b) of keys that connect all units of a common bucket which may be similar."""
-    # one long per band: the band's hash already depends on its number
-    cut = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.substring("bands", i * 8 + 1, F.lit(8)), i))
-    flat = units.where("n > 0").select("key", F.explode(cut).alias("bucket"))
+    # one long per band, and one for the key: a clash makes a candidate more, not a link
+    cut = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.substring("bands", i * 4 + 1, F.lit(4)), i))
+    units = units.withColumn("k", F.xxhash64("key"))
+    flat = units.where("n > 0").select("k", F.explode(cut).alias("bucket"))
     shared = flat.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    members = flat.join(shared, "bucket").join(units.select("key", "sig"), "key")
+    members = flat.join(shared, "bucket").join(units.select("k", "key", "sig"), "k")
     split = in_blocks(members, "bucket", F.ceil(F.col("m") / BLOCK_ROWS).cast("int"))
     return by_group(split.select("bucket", "bi", "bj", "key", "sig"), "bucket").mapInArrow(
         likely_pairs(bands * rows, threshold), "a binary, b binary"
@@ -257,7 +258,9 @@ def linked_groups(
     for x in same[1:]:
         on &= x
     texts = units.select(*unit_ids, F.coalesce(text, F.lit("")).alias("text"))
-    texts = placed.alias("p").join(texts.alias("u"), on)
+    placed = materialize(placed, "placed")
+    maybe = hash_filter(placed.select(F.xxhash64(*[f"__{c}" for c in unit_ids]).alias("x")), "x")
+    texts = placed.alias("p").join(texts.where(maybe(F.xxhash64(*unit_ids))).alias("u"), on)
     split = in_blocks(texts, "root", nb).select("root", "bi", "bj", "blk", "key", "copies", "text")
     found = by_group(split, "root").mapInArrow(verified_links(ngram, threshold), "a binary, b binary, links bigint")
     found = materialize(found, "links")

@@ -26,7 +26,8 @@ def fold(key: Column, folds: int) -> Column:
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, group and number of links of every document."""
-    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+    out = ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "class_id", "n_links", "copies", "class_key", "group_key")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playlake.llm import near
 from playlake.llm import words as W
-from playlake.llm.common import materialize
+from playlake.llm.common import hash_filter, materialize
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.9999
 #: A paragraph of fewer words is never a repeat: headings, greetings and short lines stay.
@@ -63,14 +63,16 @@ def substring_dedup(
         F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("pos")))).alias("__removed"),
         F.array_sort(F.collect_set("first.id")).alias("__kept_in"),
     )
-    out = docs.withColumn("__hash", F.xxhash64(text))
-    out = out.join(per_doc, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")), "left")
-    rest = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("__removed", i))
-    cut = F.when(F.size("__removed") > 0, F.array_join(rest, "\n")).otherwise(F.col(text))
-    empty = F.array().cast("array<int>")
-    return out.select(
-        *[(cut if c == text else F.col(f"`{c}`")).alias(c) for c in docs.columns],
-        F.coalesce("__n_shared", F.lit(0)).alias("__n_shared"),
-        F.coalesce("__removed", empty).alias("__removed"),
-        F.coalesce("__kept_in", F.array().cast(docs.select(F.array(id_col)).dtypes[0][1])).alias("__kept_in"),
+    per_doc = materialize(per_doc, "marks")
+    maybe = hash_filter(per_doc.select(F.xxhash64("__id", "__h").alias("x")), "x")
+    rows_ = docs.withColumn("__hash", F.xxhash64(text)).withColumn("__maybe", maybe(F.xxhash64(id_col, "__hash")))
+    rest = rows_.where("__maybe").join(per_doc, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")), "left")
+    lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("__removed", i))
+    cut = F.when(F.size("__removed") > 0, F.array_join(lines, "\n")).otherwise(F.col(text))
+    kinds = dict(per_doc.dtypes)
+    none = {"__n_shared": F.lit(0).cast(kinds["__n_shared"]), "__removed": F.array().cast(kinds["__removed"]), "__kept_in": F.array().cast(kinds["__kept_in"])}
+    marked_rows = rest.select(
+        *[(cut if c == text else F.col(f"`{c}`")).alias(c) for c in docs.columns], *[F.coalesce(c, v).alias(c) for c, v in none.items()]
     )
+    other = rows_.where("not __maybe").select(*[F.col(f"`{c}`") for c in docs.columns], *[v.alias(c) for c, v in none.items()])
+    return other.unionAll(marked_rows)

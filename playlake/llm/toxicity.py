@@ -322,7 +322,8 @@ def fit(
     part = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
     share = F.when(F.col("y") == 1, F.lit(max_toxic / n1)).otherwise(F.lit(max_other / n0))
     picked = known.where(part < share * 1_000_000)
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(picked, "id").where("text is not null")
+    # about max_toxic + max_other rows of an id and a label: small for any table
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(picked), "id").where("text is not null")
     shared = spark.sparkContext.broadcast(model)
     counted = sample.where("y = 1").select("text").mapInArrow(toxic_features(shared), "feature bigint, n bigint")
     counted = counted.groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS)

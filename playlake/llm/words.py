@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SEED = np.uint64(0xD6E8FEB86659FD93)
@@ -159,7 +159,7 @@ def unit_hash(values: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
     return mix((pre[at[1:]] - pre[at[:-1]]) * scale[at[:-1]] + size * _SEED)
 
 
-def choose_bands(threshold: float, recall: float, most: int = 128) -> tuple[int, int]:
+def choose_bands(threshold: float, recall: float, most: int = 80) -> tuple[int, int]:
     """(bands, rows): the most selective banding that finds a pair of similarity
     ``threshold`` with probability ``recall`` using at most ``most`` hashes."""
     best = (most, 1)
@@ -172,10 +172,10 @@ def choose_bands(threshold: float, recall: float, most: int = 128) -> tuple[int,
 
 
 def minhash(h: np.ndarray, at: np.ndarray, bands: int, rows: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """Band hashes (units x bands) of each unit's set of hashes, and one byte of each
+    """32-bit band hashes (units x bands) of each unit's set of hashes, and one byte of each
     MinHash value (units x bands*rows); a unit without any hash gets zeros."""
     units = len(at) - 1
-    out, sig = np.zeros((units, bands), np.uint64), np.zeros((units, bands * rows), np.uint8)
+    out, sig = np.zeros((units, bands), np.uint32), np.zeros((units, bands * rows), np.uint8)
     some = np.flatnonzero(np.diff(at) > 0)
     if len(some) == 0:
         return out, sig
@@ -193,5 +193,5 @@ def minhash(h: np.ndarray, at: np.ndarray, bands: int, rows: int, seed: int = 1)
             least = np.minimum.reduceat(buf, starts).astype(np.uint64)
             acc = mix(acc * _BASE + least)
             sig[some, band * rows + row] = (mix(least) >> np.uint64(56)).astype(np.uint8)
-        out[some, band] = acc
+        out[some, band] = (acc >> np.uint64(32)).astype(np.uint32)
     return out, sig
