@@ -60,9 +60,14 @@ def _variant_stage(df: DataFrame, raw: str) -> tuple[DataFrame, Fields, list[str
     df = df.selectExpr(
         "*",
         f"try_parse_json({r}) AS _v",
-        # try_parse_json accepts trailing text after a complete value; an
-        # array wrapper exposes it (length is NULL for invalid JSON).
-        f"coalesce(json_array_length(concat('[', {r}, ']')) = 1, false) AS _json_ok",
+        # try_parse_json accepts trailing text after a complete value. Inside
+        # [payload, hash of payload] such text shows: a payload that closes the
+        # array leaves no second element or one that is not its own hash.
+        f"concat('[', {r}, ',\"', md5({r}), '\"]') AS _wrapped",
+    )
+    df = df.selectExpr(
+        "*",
+        f"coalesce(json_array_length(_wrapped) = 2 AND get_json_object(_wrapped, '$[1]') = md5({r}), false) AS _json_ok",
     )
     df = df.selectExpr(
         "*",
@@ -81,7 +86,7 @@ def _variant_stage(df: DataFrame, raw: str) -> tuple[DataFrame, Fields, list[str
         "_v IS NOT NULL AND _json_ok AS _is_json",
         "coalesce(startswith(_t_root, 'OBJECT'), false) AS _is_object",
     )
-    helpers = ["_v", "_json_ok", "_t_root", "_is_json", "_is_object"]
+    helpers = ["_v", "_wrapped", "_json_ok", "_t_root", "_is_json", "_is_object"]
     for prefix in ("_f_", "_t_", "_s_", "_n_", "_p_"):
         helpers += [prefix + f for f in _CHECKED_FIELDS]
     fields = Fields(
@@ -127,7 +132,7 @@ def _rule_codes(fx: Fields) -> list[str]:
 
     def valid_number(f: str) -> str:
         n = fx.number[f]
-        return f"coalesce({n} IS NOT NULL AND NOT isnan({n}) AND {n} >= 0, false)"
+        return f"coalesce({n} IS NOT NULL AND NOT isnan({n}) AND {n} >= 0 AND {n} <= {S.MAX_NUMBER!r}D, false)"
 
     for f in S.NON_NEGATIVE_NUMBER_FIELDS:
         codes.append(f"CASE WHEN {fx.present[f]} AND NOT {valid_number(f)} THEN {sql_literal(S.ERR_NEGATIVE + f)} END")

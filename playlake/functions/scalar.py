@@ -29,9 +29,11 @@ ISO_MINUTE_FORMAT = "yyyy-MM-dd'T'HH:mmXXX"
 def iso_ts_sql(text_sql: str) -> str:
     """SQL: ISO-8601 text with a zone -> TIMESTAMP (UTC session), else NULL."""
 
+    # One spelling for the parser: 'T' between date and time, a colon in the offset.
+    plain = f"regexp_replace(replace({text_sql}, ' ', 'T'), '([+-][0-9][0-9])([0-9][0-9])$', '$1:$2')"
     return (
         f"CASE WHEN {text_sql} RLIKE {sql_literal(ISO_TS_WITH_ZONE)} THEN coalesce("
-        f"try_to_timestamp({text_sql}), try_to_timestamp({text_sql}, {sql_literal(ISO_MINUTE_FORMAT)})) END"
+        f"try_to_timestamp({plain}), try_to_timestamp({plain}, {sql_literal(ISO_MINUTE_FORMAT)})) END"
     )
 
 

@@ -21,6 +21,13 @@ from playlake.session import ensure_semantics
 from playlake.sources import files
 
 
+def replace_table(df: DataFrame, path: str, fmt: str, partition_by: str) -> None:
+    """Write a partitioned table in place of whatever stood at ``path``: no
+    partition of an earlier run stays, whatever the session's overwrite mode."""
+
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).partitionBy(partition_by).save(path)
+
+
 @dataclass(frozen=True)
 class RunPaths:
     root: str
@@ -43,22 +50,22 @@ def run_pipeline(
     ensure_semantics(spark)
     out = RunPaths(output_dir)
     bronze = bronze.withColumn("ingest_date", F.to_date("bronze_ingested_at"))
-    bronze.write.mode("overwrite").format(fmt).partitionBy("ingest_date").save(out.bronze)
+    replace_table(bronze, out.bronze, fmt, "ingest_date")
 
     classified = layers.classify(spark.read.format(fmt).load(out.bronze), profile)
-    classified.write.mode("overwrite").format(fmt).partitionBy("ingest_date").save(out.classified)
+    replace_table(classified, out.classified, fmt, "ingest_date")
     classified = spark.read.format(fmt).load(out.classified)
 
     silver = layers.silver_batch(classified, profile=profile)
-    silver.write.mode("overwrite").format(fmt).partitionBy("event_date").save(out.silver)
+    replace_table(silver, out.silver, fmt, "event_date")
     silver = spark.read.format(fmt).load(out.silver)
 
     layers.quarantine(classified).write.mode("overwrite").format(fmt).save(out.quarantine)
 
     content_daily = marts.content_daily(silver)
-    content_daily.write.mode("overwrite").format(fmt).partitionBy("event_date").save(out.content_daily)
+    replace_table(content_daily, out.content_daily, fmt, "event_date")
     platform_hourly = marts.platform_hourly(silver).withColumn("event_date", F.to_date("window_start"))
-    platform_hourly.write.mode("overwrite").format(fmt).partitionBy("event_date").save(out.platform_hourly)
+    replace_table(platform_hourly, out.platform_hourly, fmt, "event_date")
 
     summary = quality.run_summary_from_tables(
         classified,

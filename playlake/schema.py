@@ -191,3 +191,8 @@ def mart_schema(keys: tuple[str, ...], with_title: bool = False) -> T.StructType
     for m in RECOMBINABLE:
         fields.append(T.StructField(m, T.LongType()))
     return T.StructType(fields)
+
+# Largest number the contract takes: its micro-units fit a BIGINT, so that no
+# mart ever has to leave a value out. Beyond it, and for infinity, a row goes
+# to quarantine with the code of its number field.
+MAX_NUMBER = 9.0e12

@@ -10,10 +10,13 @@ offset plus its position in the split.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playlake.functions.scalar import BLANK
 from playlake.session import checkpoint_root
 
 
@@ -52,7 +55,7 @@ def read_ndjson_bronze(spark: SparkSession, path: str, run_id: str) -> DataFrame
         splits = F.broadcast(splits)
     numbered = lines.join(splits, ["file", "block"])
     numbered = numbered.withColumn("_line_no", F.col("_line_base") + (F.col("_row") - F.col("_first_row")) + 1)
-    return numbered.where(F.length(F.trim(F.col("line"))) > 0).select(
+    return numbered.where(~F.col("line").rlike(BLANK)).select(
         F.lit(None).cast("string").alias("message_key"),
         F.trim(F.col("line")).alias("raw_payload"),
         F.col("file").alias("topic"),
@@ -130,8 +133,9 @@ def compact(spark: SparkSession, path: str, partition_by: str, fmt: str = "parqu
 
     from playlake.session import scratch_path
 
-    staging = scratch_path(spark, "compact-" + path.rstrip("/").split("/")[-1])
-    spark.read.format(fmt).load(path).write.mode("overwrite").format(fmt).partitionBy(partition_by).save(staging)
+    # A folder of its own for each call: tables of one name must not meet.
+    staging = scratch_path(spark, f"compact-{uuid.uuid4().hex}")
+    spark.read.format(fmt).load(path).write.format(fmt).partitionBy(partition_by).save(staging)
     staged = spark.read.format(fmt).load(staging)
     (
         # Deterministic bucket per row, so a retried map task routes rows the
@@ -154,7 +158,7 @@ def bronze_file_stream(spark: SparkSession, path: str, max_files_per_trigger: in
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(path)
-    return lines.where(F.length(F.trim(F.col("value"))) > 0).select(
+    return lines.where(~F.col("value").rlike(BLANK)).select(
         F.lit(None).cast("string").alias("message_key"),
         F.trim(F.col("value")).alias("raw_payload"),
         F.col("_metadata.file_path").alias("topic"),

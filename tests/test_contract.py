@@ -52,6 +52,10 @@ CASES = [
     ("valid", event(), [], True),
     ("not_json", "not json", ["invalid_json"], False),
     ("trailing_text", event() + " x", ["invalid_json"], True),
+    ("closes_array", event() + "]", ["invalid_json"], True),
+    ("closes_array_text", event() + "] junk", ["invalid_json"], True),
+    ("closes_array_more", event() + '],{"a":1}', ["invalid_json"], True),
+    ("second_element", event() + ',{"a":1}]', ["invalid_json"], True),
     ("array", "[1]", ["record_must_be_an_object"], False),
     ("null", "null", ["record_must_be_an_object"], False),
     ("string", '"s"', ["record_must_be_an_object"], False),
@@ -66,6 +70,12 @@ CASES = [
     ("ts_time_only", event(event_ts="10:30:00Z"), ["invalid:event_ts"], True),
     ("ts_null", event(event_ts=None), ["missing_or_invalid:event_ts", "invalid:event_ts"], False),
     ("ts_offset", event(event_ts="2026-07-01T23:30:00-02:00"), [], True),
+    # the lenient gate takes what Spark's own parser takes
+    ("ts_space_minutes", event(event_ts="2026-07-01 10:30+05:30"), [], False),
+    ("ts_plain_offset", event(event_ts="2026-07-01T10:30+0530"), [], False),
+    ("ts_plain_offset_seconds", event(event_ts="2026-07-01 10:30:01.5+0530"), [], True),
+    ("watch_infinite", event().replace('"watch_seconds": 60.0', '"watch_seconds": 1e400'), [NEG + "watch_seconds"], True),
+    ("watch_beyond", event(watch_seconds=1e13), [NEG + "watch_seconds"], True),
     ("watch_text", event(watch_seconds="12"), [NEG + "watch_seconds"], True),
     ("watch_bool", event(watch_seconds=True), [NEG + "watch_seconds"], True),
     ("watch_nan", event().replace('"watch_seconds": 60.0', '"watch_seconds": NaN'), ["invalid_json"], True),

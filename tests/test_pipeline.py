@@ -121,3 +121,29 @@ def test_replay_quarantine_through_contract(run, spark):
     again = layers.classify(q.drop("errors", "quarantine_reason", "quarantined_at"), "strict")
     assert again.where("is_valid").count() == 0
     assert again.select("offset", "errors").exceptAll(q.select("offset", "errors")).count() == 0
+
+
+def test_second_run_replaces_the_first(spark, tmp_path):
+    """Two runs into one folder, on other days: only the second one counts."""
+
+    bronze = catalog.bronze(spark, SF)
+    out = str(tmp_path / "out")
+    batch.run_pipeline(spark, bronze.where("offset % 3 = 0"), out, "first")
+    row = batch.run_pipeline(spark, bronze.where("offset % 50 = 1"), out, "second").first()
+    assert row["input_records"] == bronze.where("offset % 50 = 1").count()
+    assert row["valid_records"] + row["duplicate_records"] + row["quarantined_records"] == row["input_records"]
+    assert 0 <= row["quality_pass_rate"] <= 1 and row["duplicate_records"] >= 0
+
+
+def test_compaction_keeps_tables_of_one_name_apart(spark, tmp_path):
+    for name, days in (("a", ["d1", "d2"]), ("b", ["d3"])):
+        spark.createDataFrame([(d, i) for d in days for i in range(3)], "day string, x int").write.partitionBy("day").parquet(str(tmp_path / name / "silver"))
+    for name in ("a", "b"):
+        files.compact(spark, str(tmp_path / name / "silver"), "day")
+    rows = {n: {r["day"] for r in spark.read.parquet(str(tmp_path / n / "silver")).collect()} for n in ("a", "b")}
+    assert rows == {"a": {"d1", "d2"}, "b": {"d3"}}
+
+
+def test_blank_lines_are_no_records(spark, tmp_path):
+    (tmp_path / "in.ndjson").write_text('{"a":1}\n\t\n  \n \t \n{"a":2}\n')
+    assert files.read_ndjson_bronze(spark, str(tmp_path / "in.ndjson"), "r").count() == 2
