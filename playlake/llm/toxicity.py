@@ -353,7 +353,10 @@ def fit(
     x = curve_input(seen.column("top").to_numpy(), seen.column("marks").to_numpy())
     # the sample's shares differ from the labels': shift the curve back to their odds
     shift = np.log((n1 / n0) / (t / c))
-    model.curve = logistic(x, y) + np.array([shift, 0.0, 0.0])
+    curve = logistic(x, y)
+    if curve[1:].min() < 0:  # more or stronger marks must not lower a score: the strongest alone decides
+        curve = np.append(logistic(x[:, :2], y), 0.0)
+    model.curve = curve + np.array([shift, 0.0, 0.0])
     return model
 
 
