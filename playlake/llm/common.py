@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -52,11 +53,34 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recording(paths: list[str]) -> Iterator[None]:
+    """Note the tables that ``materialize`` writes meanwhile."""
+    _RECORDS.append(paths)
+    try:
+        yield
+    finally:
+        _RECORDS.pop()
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete noted tables; frames that read them must have been written by now."""
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    paths.clear()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet into the shared folder and read it back: its lineage
     ends there, so a lost executor costs a reread and no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _RECORDS:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -8,6 +8,7 @@ from llm_helpers import prose, shingles, similarity, word_list
 
 import __spark_entry__
 import corpus_pipeline
+from playlake.llm.common import materialize
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,9 +21,9 @@ def test_stages_on_planted_rows(spark, make_docs, tmp_path):
     docs = make_docs(texts)
     spark.createDataFrame([(1, leak)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     stages = dict(corpus_pipeline.STAGES)
-    kept = stages["ngram_join"](spark, docs, str(tmp_path)).cache()
+    kept = materialize(stages["ngram_join"](spark, docs, str(tmp_path)), "kept")
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3, 4, 5, 6, 8]
-    cut = stages["substring_dedup"](spark, kept, str(tmp_path)).cache()
+    cut = materialize(stages["substring_dedup"](spark, kept, str(tmp_path)), "cut")
     rows = {r["doc_id"]: r for r in cut.collect()}
     assert cut.columns == docs.columns and rows[3]["text"] == clean[2] and rows[2]["text"] == texts[2]
     assert all(r["n_chars"] == (len(r["text"]) if r["text"] is not None else None) for r in rows.values())
@@ -36,7 +37,7 @@ def stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = [("documents", docs)]
     for name, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, SF).cache()
+        docs = materialize(stage(spark, docs, SF), name)
         out.append((name, docs))
     return dict(out)
 
@@ -51,6 +52,11 @@ def test_no_pair_of_kept_documents_is_similar(stages):
         assert any(similarity(sets[i], sets[j]) >= 0.8 for j in before if j != i)
 
 
+def test_run_equals_the_stages(spark, stages):
+    got = corpus_pipeline.run(spark, SF)
+    assert sorted(map(str, got.collect())) == sorted(map(str, stages["packing"].collect()))
+
+
 def test_columns_and_full_cover(stages):
     names = ["doc_id", "text", "lang", "source", "n_chars"]
     assert all(stages[s].columns == names for s, _ in corpus_pipeline.STAGES[:-1])
