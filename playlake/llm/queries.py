@@ -195,7 +195,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated paragraphs, and where they are kept."""
     out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
-        "doc_id", F.col("__n_shared").alias("n_shared"), F.size("__removed").alias("n_removed"), F.col("__removed").alias("removed"), F.col("__kept_in").alias("kept_in"), "text"
+        "doc_id", F.col("__n_shared").alias("n_shared"), F.size("__removed").alias("n_removed"), F.col("__removed").alias("removed"),
+        F.size("__passages").alias("n_passages"), F.col("__kept_in").alias("kept_in"), "text"
     )
 
 

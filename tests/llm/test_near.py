@@ -6,7 +6,7 @@ import numpy as np
 from llm_helpers import prose, shingles, similarity, word_list
 from pyspark.sql import functions as F
 
-from playlake.llm import near
+from playlake.llm import near, passages
 from playlake.llm import words as W
 from playlake.llm.common import connected_components
 from playlake.llm.ngram_join import keep_one, ngram_join
@@ -130,3 +130,30 @@ def test_substring_dedup_edges(spark, make_docs):
     assert out.columns[:5] == docs.columns
     # null ids come first, equal rows count as one document
     assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == [(0, line), (1, "x"), (1, "x")]
+
+
+def test_substring_dedup_cuts_passages_inside_lines(make_docs):
+    passage = " ".join(prose(3, 70))
+    own = [" ".join(prose(80 + i, 90)) for i in range(8)]
+    texts = [f"é {a} {passage[: len(passage) // 2]}{sep}{passage[len(passage) // 2 :]} {b}" for a, b, sep in zip(own[:4], own[4:], ["", "", "", ""])]
+    texts += [f"{own[0][:60]} and {' '.join(prose(200, 80))}", " ".join(prose(201, 500)), None, ""]
+    texts.append(" ".join([*prose(300, 40), *prose(3, 70)[5:65], *prose(301, 40)]))  # a part of the passage only
+    rows = {r["doc_id"]: r for r in substring_dedup(make_docs(texts)).collect()}
+    assert [rows[i]["text"] for i in (0, 4, 5, 6, 7)] == [texts[i] for i in (0, 4, 5, 6, 7)]
+    windows = [{tuple(w[k : k + 47]) for k in range(len(w) - 46)} for w in (word_list(rows[i]["text"]) for i in range(len(texts)))]
+    for i in range(len(texts)):
+        assert not any(windows[i] & windows[j] for j in range(i)), i
+    for i in (1, 2, 3):  # nothing else went
+        left = word_list(rows[i]["text"])
+        assert left[:91] == word_list("é " + own[i]) and left[-90:] == word_list(own[4 + i]) and len(left) < 181 + 31
+
+
+def test_sampled_windows_equal_brute_force():
+    rng = np.random.default_rng(5)
+    h = rng.integers(1, 50, 400).astype(np.uint64)
+    at = np.array([0, 0, 15, 31, 200, 216, 400])
+    want = set()
+    for i, j in zip(at[:-1], at[1:]):
+        for s in range(i, j - 15):
+            want |= {k for k in range(s, s + 16) if h[k] == h[s : s + 16].min()}
+    assert passages.sampled(h, at, 16).tolist() == sorted(want)
