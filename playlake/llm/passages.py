@@ -60,7 +60,7 @@ def window_rows(n: int, span: int) -> Callable:
 
 
 def run_rows(n: int, span: int) -> Callable:
-    """id, h, pos and end (code points) and text of each run; rows in: id, h, hits (pos, times), text."""
+    """id, h, pos and end (code points) and text of each run; rows in: id, h, hits (pos, where), text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,9 +72,9 @@ def run_rows(n: int, span: int) -> Callable:
                 points = np.concatenate([[0], np.cumsum((b.raw & 0xC0) != 0x80)])
                 row, pos, end, texts = [], [], [], []
                 for r, hits in enumerate(batch.column("hits").slice(i, j - i).to_pylist()):
-                    first, last, times = None, None, None
-                    for x in [*sorted((x["pos"], x["times"]) for x in hits), (None, None)]:
-                        if first is not None and (x[0] is None or x[1] != times or x[0] > last + span):
+                    first, last, where = None, None, None
+                    for x in [*sorted((x["pos"], x["where"]) for x in hits), (None, None)]:
+                        if first is not None and (x[0] is None or x[1] != where or x[0] > last + span):
                             p, q = int(b.start[b.first[r] + first]), int(b.end[b.first[r] + last + n - 1])
                             row.append(i + r)
                             pos.append(int(points[p] - points[b.at[r]]))
@@ -82,7 +82,7 @@ def run_rows(n: int, span: int) -> Callable:
                             texts.append(b.raw[p:q].tobytes().decode("utf-8", "replace"))
                             first = None
                         if x[0] is not None:
-                            first, last, times = x[0] if first is None else first, x[0], x[1]
+                            first, last, where = x[0] if first is None else first, x[0], x[1]
                 at = pa.array(row, pa.int64())
                 out = [batch.column("id").take(at), batch.column("h").take(at), pa.array(pos, pa.int32()), pa.array(end, pa.int32()), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(out, names=["id", "h", "pos", "end", "text"])
@@ -94,7 +94,7 @@ def passages(docs: DataFrame, id_col: str, text: str, n: int = WINDOW, span: int
     """id, h (hash of the whole text), pos, end and text of each run of repeated windows.
 
     pos and end are code points, from 0.  A run joins neighbouring sampled windows that
-    occur equally often, so that a passage has equal runs in all its copies; runs of a
+    occur in the same texts, so that a passage has equal runs in all its copies; runs of a
     text may overlap.  Texts of fewer than n + span - 1 words have none, null texts too.
     """
     ship(docs.sparkSession)
@@ -104,7 +104,11 @@ def passages(docs: DataFrame, id_col: str, text: str, n: int = WINDOW, span: int
     often = materialize(counted.where("times > 1"), "windows")
     maybe = hash_filter(often.select(F.xxhash64("hash").alias("x")), "x")
     found = src.mapInArrow(window_rows(n, span), f"id {kind}, h bigint, pos int, hash bigint").where(maybe(F.xxhash64("hash")))
-    hits = found.join(often, "hash").groupBy("id", "h").agg(F.collect_set(F.struct("pos", "times")).alias("hits"))
+    found = materialize(found, "found")
+    # 28 bits a row: the sum cannot overflow
+    place = F.sum(F.xxhash64("id", "h").bitwiseAND(F.lit((1 << 28) - 1))).alias("where")
+    often = found.groupBy("hash").agg(F.count("*").alias("times"), place).where("times > 1").drop("times")
+    hits = found.join(often, "hash").groupBy("id", "h").agg(F.collect_set(F.struct("pos", "where")).alias("hits"))
     hits = materialize(hits.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "hits"), "hits")
     held = hash_filter(hits.select(F.xxhash64("__id", "__h").alias("x")), "x")
     whole = src.where(held(F.xxhash64("id", "h"))).join(hits, F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")))
