@@ -116,28 +116,52 @@ def hash_filter(hashes: DataFrame, column: str) -> Callable[[Column], Column]:
     return maybe
 
 
+def join_hot(rows: DataFrame, per_key: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join rows with an aggregate of one row a key, where a key may hold a third of the rows.
+
+    An aggregate by the key is already dealt out by it, and Spark then joins without an
+    exchange of its own, whose large partitions it could not split at run time.  The second
+    join column, a function of the key, makes it deal out both sides for the join.
+    """
+    left = rows.withColumn("__deal", F.xxhash64(F.lit("join"), key))
+    right = per_key.withColumn("__deal", F.xxhash64(F.lit("join"), key))
+    return left.join(right, [key, "__deal"], how).drop("__deal")
+
+
+def all_stars(edges: DataFrame) -> bool:
+    """Whether each left node (a) has one right node (b) only, and no right node is a left one."""
+    none = F.lit(None).cast(edges.schema["b"].dataType).alias("to")
+    ends = F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("to")), F.struct(F.col("b").alias("node"), none))
+    node = edges.select(F.inline(ends)).groupBy("node")
+    node = node.agg(F.min("to").alias("low"), F.max("to").alias("high"), F.count("to").alias("left"), F.count("*").alias("all"))
+    return not node.where("low <> high or (left > 0 and left < all)").take(1)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the least node of its component.
 
-    Alternates large-star and small-star steps: each keeps the components and moves
-    edges towards the least neighbour, so the number of rounds grows with the
-    logarithm of the largest component, not with its diameter.  All steps are
-    grouped minima and joins; nothing is collected but a count and a checksum.
+    Alternates large-star and small-star steps until only stars are left: each keeps the
+    components and moves edges towards the least neighbour, so the number of rounds grows
+    with the logarithm of the largest component, not with its diameter.  Edges run from the
+    greater node a to the lesser one b, so a node's least neighbour is the minimum over its
+    rows as a.  All steps are grouped minima and joins; nothing is collected but whether a
+    node is left that breaks the stars.  A round's table is deleted when the next is written.
     Loops and nulls are ignored; an empty frame gives an empty result.
     """
-    e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    e = materialize(e.where("a <> b").distinct(), "edges")
-    before = None
-    while True:
-        both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    spark = edges.sparkSession
+    e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    last: list[str] = []
+    with recording(last):
+        e = materialize(e.distinct(), "edges")
+    while not all_stars(e):
+        least = e.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("m"))
+        large = e.join(least, "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = materialize(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    pairs = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        written: list[str] = []
+        with recording(written):
+            e = materialize(small.union(low.select("a", F.col("m").alias("b"))), "edges")
+        drop_tables(spark, last)
+        last = written
+    pairs = e.select(F.col("a").alias("node"), F.col("b").alias("root")).distinct()
     return pairs.union(pairs.select(F.col("root").alias("node"), "root").distinct())

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
-from playlake.llm.common import connected_components, hash_filter, materialize, ship
+from playlake.llm.common import connected_components, hash_filter, join_hot, materialize, ship
 
 #: Units of one block, and bytes of text of one block; a group is two blocks at most.
 BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20
@@ -252,7 +252,7 @@ def linked_groups(
     members = comp.join(distinct.select("key", "copies", "size", "rep"), F.col("node") == F.col("key"))
     total = members.groupBy("root").agg(F.count("*").alias("m"), F.sum("size").alias("b"))
     nb = F.ceil(F.greatest(F.col("m") / BLOCK_ROWS, F.col("b") / BLOCK_BYTES)).cast("int")
-    placed = members.join(total, "root").select("root", "key", "copies", "m", "b", *[F.col("rep")[c].alias(f"__{c}") for c in unit_ids])
+    placed = join_hot(members, total, "root").select("root", "key", "copies", "m", "b", *[F.col("rep")[c].alias(f"__{c}") for c in unit_ids])
     same = [F.col(f"u.{c}").eqNullSafe(F.col(f"p.__{c}")) for c in unit_ids]
     on = same[0]
     for x in same[1:]:

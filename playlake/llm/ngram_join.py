@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playlake.llm import near
 from playlake.llm import words as W
-from playlake.llm.common import hash_filter, materialize
+from playlake.llm.common import hash_filter, join_hot, materialize
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.9999
 
@@ -41,7 +41,7 @@ def ngram_join(
     rows_ = materialize(rows_.select("id", "h", "key", "copies", "links", "root"), "classes")
     first = rows_.groupBy("root").agg(F.min("id").alias("class_id"), F.min(F.struct("id", "h")).alias("first"))
     # a group of null ids and others: the nulls come first in the struct, class_id ignores them
-    return rows_.join(first, "root").select(
+    return join_hot(rows_, first, "root").select(
         F.col("id").alias(id_col),
         "class_id",
         F.col("links").alias("n_links"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playlake.llm import near
 from playlake.llm import words as W
-from playlake.llm.common import drop_tables, hash_filter, materialize, recording
+from playlake.llm.common import drop_tables, hash_filter, join_hot, materialize, recording
 from playlake.llm.passages import passages
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.9999
@@ -37,7 +37,7 @@ def repeats(units: DataFrame, ngram: int, threshold: float, recall: float, min_w
     found = sig.select("id", "h", "pos", "key").join(classes.where("links > 0").select("key", "root"), "key")
     found = materialize(found.select("id", "h", "pos", "root"), "classes")
     first = found.groupBy("root").agg(F.min(F.struct("id", "h", "pos")).alias("first"))
-    return found.join(first, "root").select("id", "h", "pos", (F.struct("id", "h", "pos") != F.col("first")).alias("gone"), F.col("first.id").alias("kept"))
+    return join_hot(found, first, "root").select("id", "h", "pos", (F.struct("id", "h", "pos") != F.col("first")).alias("gone"), F.col("first.id").alias("kept"))
 
 
 def marked(docs: DataFrame, id_col: str, text: str, per_doc: DataFrame, cut: Column, added: list[str]) -> DataFrame:
