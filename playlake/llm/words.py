@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SEED = np.uint64(0xD6E8FEB86659FD93)
