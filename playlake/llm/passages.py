@@ -27,6 +27,8 @@ WINDOW, SPAN = 32, 16
 def sampled(h: np.ndarray, at: np.ndarray, span: int) -> np.ndarray:
     """Indexes of the hashes that are the least of some ``span`` neighbours in their unit."""
     n = len(h)
+    if n < span:
+        return np.zeros(0, np.int64)
     whole = np.zeros(n, bool)  # a stretch of span hashes begins here
     for i, j in zip(at[:-1], at[1:]):
         whole[i : max(i, j - span + 1)] = True

@@ -11,18 +11,17 @@ from playlake.llm.common import drop_tables, hash_filter, join_hot, materialize,
 from playlake.llm.passages import passages
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.9999
-#: A paragraph of fewer words is never a repeat: headings, greetings and short lines stay.
-MIN_WORDS = 25
+#: A paragraph of fewer words has no whole n-gram and is never a repeat: headings and greetings stay.
+MIN_WORDS = NGRAM
+#: Characters of a word, as in ``words``.
+WORD = r"0-9A-Za-z\x{80}-\x{10FFFF}"
 
 
 def paragraphs(docs: DataFrame, id_col: str, text: str, min_words: int) -> DataFrame:
-    """id, h (hash of the whole text), pos and text of each line that may have min_words words.
-
-    A line of w words has 2w - 1 characters at least, so the filter loses none.
-    """
+    """id, h (hash of the whole text), pos and text of each line of min_words words or more."""
     src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), F.split(text, "\n").alias("lines"))
     flat = src.select("id", "h", F.posexplode("lines").alias("pos", "text"))
-    return flat.where(F.length("text") >= 2 * min_words - 1)
+    return flat.where(F.col("text").rlike(f"^(?:[^{WORD}]*+[{WORD}]++){{{min_words}}}"))
 
 
 def repeats(units: DataFrame, ngram: int, threshold: float, recall: float, min_words: int) -> DataFrame:

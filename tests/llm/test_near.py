@@ -121,6 +121,29 @@ def test_substring_dedup_cuts_repeats(make_docs):
     assert rows[1]["__kept_in"] == [0] and rows[0]["__kept_in"] == [0] and rows[3]["__removed"] == []
 
 
+def test_substring_dedup_of_short_lines_equals_brute_force(make_docs):
+    lines = [" ".join(prose(400 + k, k)) for k in range(1, 25)]  # 1 to 24 words
+    notices = [" ".join(prose(500, 24)), " ".join(prose(500, 25))]  # similar: 20 of 21 n-grams
+    texts = []
+    for i in range(6):
+        own = " ".join(prose(600 + i, 30))
+        texts.append("\n".join([own, *lines[i::2], notices[i % 2], f"{own} tail", lines[(7 * i) % 24].upper()]))
+    first: list[set] = []
+    want = []
+    for t in texts:
+        left = []
+        for line in t.split("\n"):
+            s = shingles(line)
+            whole = len(word_list(line)) >= 5
+            if not (whole and any(similarity(s, x) >= 0.8 for x in first)):
+                left.append(line)
+            if whole:
+                first.append(s)
+        want.append("\n".join(left))
+    rows = {r["doc_id"]: r["text"] for r in substring_dedup(make_docs(texts)).collect()}
+    assert [rows[i] for i in range(6)] == want and want[5] != texts[5]
+
+
 def test_substring_dedup_edges(spark, make_docs):
     assert substring_dedup(make_docs([])).count() == 0
     line = " ".join(prose(9, 30))
