@@ -97,6 +97,8 @@ class Model:
 
 
 OUTER = " \t\r\n.,;:?!\"')]}([{"
+#: What is stripped before a token: no look-alikes.
+LEAD = " \t\r\n.,;:?\"'[{"
 SEPARATED = re.compile(r"(?<!\S)(?:\S[ ._\-*~]){3,}\S(?!\S)")
 TOKEN = re.compile(r"\S+")
 STRETCHED = re.compile(r"([^\W\d_])\1\1")
@@ -149,47 +151,77 @@ def viterbi(places: list[list[str]], logp: Callable[[int, int, int], float]) ->
 def restore(text: str, logp: Callable[[int, int, int], float], known: dict[str, str]) -> str:
     """The text, followed by the likeliest readings of its disguised tokens."""
     low = text.lower()
-    found = [re.sub(r"[ ._\-*~]", "", m.group()) if m.group()[1] != "*" else m.group()[::2] for m in SEPARATED.finditer(low)]
+    found = []
+    for m in SEPARATED.finditer(low):
+        every = re.sub(r"[._\-~]", "", m.group()[::2])  # a star may separate letters or stand for one
+        bare = re.sub(r"[ ._\-*~]", "", m.group())
+        found += [every] if every == bare or m.group()[1] == "*" else [every, bare]
     for m in TOKEN.finditer(low):
-        t = INNER.sub("", m.group().rstrip(OUTER).lstrip(" \t\r\n.,;:?\"'[{"))
+        t = INNER.sub("", m.group().rstrip(OUTER).lstrip(LEAD))
         if t and (not t.isalpha() or t != m.group().strip(OUTER) or STRETCHED.search(t)):
             found.append(t)
     out = []
     for t in found:
+        t = t.rstrip(OUTER).lstrip(LEAD)
+        if len(t) < 2:  # no word
+            continue
         word = known.get(t)
         if word is None:
             lattice = readings(t)
-            word = viterbi(lattice, logp) if lattice else t
+            word = viterbi(lattice, logp) if lattice else t if t.isalpha() else ""
             if len(known) < 200_000:
                 known[t] = word
-        out.append(word)
+        if word:
+            out.append(word)
     return f"{text}\n{' '.join(out)}" if out else text
 
 
-_SYMBOL = np.zeros(256, bool)
-for _c in "@$!|+(<*._-~'/0123456789":
-    _SYMBOL[ord(_c)] = True
-_SYMBOL[0xE2] = True  # first byte of the euro sign
-_ALPHA = W.WORD_BYTE.copy()
-for _c in b"0123456789":
-    _ALPHA[_c] = 0
+# Classes of bytes.  Characters beyond ASCII count as letters here; ``odd`` judges them.
+_SPACE, _LETTER, _OUTER, _ODD = range(4)
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[[*range(9, 14), *range(28, 33)]] = _SPACE
+_KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = _LETTER
+_KIND[[ord(c) for c in OUTER if not c.isspace()]] = _OUTER
+_LEADS = np.zeros(256, bool)
+_LEADS[[ord(c) for c in LEAD if not c.isspace()]] = True
+ASCII = re.compile(r"[\x00-\x7F]+")
+
+
+def odd(text: str) -> bool:
+    """Whether a text has a character beyond ASCII that is no letter, or stretched or separated letters."""
+    low = text.lower()
+    rest = ASCII.sub("", low)
+    return bool(rest and not rest.isalpha() or STRETCHED.search(low) or SEPARATED.search(low))
 
 
 def disguised(b: W.Batch) -> np.ndarray:
-    """Documents that may hold a disguised token: only they take the slow path of ``restore``."""
+    """Documents that may hold a disguised token: ``restore`` changes no other ones."""
     raw, n = b.raw, len(b.at) - 1
-    alpha = _ALPHA[raw]
-    hit = np.zeros(len(raw), bool)
-    word = alpha > 0
-    # a look-alike or separator beside a letter and no end of a token after it
-    hit[1:-1] |= _SYMBOL[raw[1:-1]] & (word[2:] | (word[:-2] & (W.WORD_BYTE[raw[2:]] > 0)))
-    hit[2:] |= (alpha[2:] > 0) & (alpha[2:] == alpha[1:-1]) & (alpha[1:-1] == alpha[:-2])
-    digit_end = (raw[1:] >= 48) & (raw[1:] <= 57) & word[:-1]
-    hit[1:] |= digit_end
-    flag = np.add.reduceat(hit, b.at[:-1]) > 0 if n else np.zeros(0, bool)
-    one = (b.end - b.start) <= 2
-    run = one[:-3] & one[1:-2] & one[2:-1] & one[3:] if len(one) > 3 else np.zeros(0, bool)
-    flag[np.searchsorted(b.at, b.start[:-3][run], "right") - 1] = True
+    if not n:
+        return np.zeros(0, bool)
+    kind, low = _KIND[raw], W.WORD_BYTE[raw]
+    kind[b.at[1:] - 1] = _SPACE  # the zero byte after each document
+    edge = np.array([_SPACE], np.uint8)
+    before, after = np.concatenate([edge, kind[:-1]]), np.concatenate([kind[1:], edge])
+    lead = np.concatenate([[False], _LEADS[raw[:-1]]])
+    # a digit or symbol, unless it stands alone but for punctuation
+    hit = (kind == _ODD) & ~(((before == _SPACE) | lead) & ((after == _SPACE) | (after == _OUTER)))
+    # punctuation inside a token, or before it where it is not stripped
+    hit |= (kind == _OUTER) & ((after == _LETTER) | (after == _ODD)) & ~(_LEADS[raw] & (before == _SPACE))
+    # a full stop after a single character
+    hit[2:-1] |= (raw[2:-1] == ord(".")) & (kind[1:-2] != _SPACE) & (kind[3:] != _SPACE) & ((kind[:-3] == _SPACE) | (kind[:-3] > _LETTER))
+    hit[1:2] |= (raw[1:2] == ord(".")) & (kind[:1] != _SPACE)
+    hit[2:] |= (kind[2:] == _LETTER) & (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2])
+    # three single characters between blanks; punctuation may stand around them
+    if len(raw) > 4:
+        first = (kind != _SPACE) & ((before == _SPACE) | (before == _OUTER)) & (after == _SPACE)
+        middle = (kind != _SPACE) & (before == _SPACE) & (after == _SPACE)
+        last = (kind != _SPACE) & (before == _SPACE) & ((after == _SPACE) | (after == _OUTER))
+        hit[4:] |= first[:-4] & middle[2:-2] & last[4:]
+    flag = np.add.reduceat(hit, b.at[:-1]) > 0
+    beyond = np.add.reduceat(raw >= 128, b.at[:-1]) > 0
+    for i in np.flatnonzero(beyond & ~flag):
+        flag[i] = odd(raw[b.at[i] : b.at[i + 1] - 1].tobytes().decode("utf-8", "replace"))
     return flag
 
 

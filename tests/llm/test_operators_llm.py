@@ -14,6 +14,7 @@ from llm_helpers import prose, word_list
 from pyspark.sql import functions as F
 
 from playlake.llm import chat, decontaminate, language, packing, queries, revisits, sharding, toxicity, winnowing
+from playlake.llm import words as W
 from playlake.llm.tokens import BatchEncoder
 
 SF = "/root/testdata/sf0.001"
@@ -98,6 +99,18 @@ def test_viterbi_decode_equals_all_paths(toxic_model):
     assert toxicity.readings("plain") is None
 
 
+def test_restore_changes_no_text_that_is_not_flagged():
+    rng = random.Random(3)
+    texts = ["as$", "a$$", "you dumba$$", "sh!+", "b!+(#", "s h * t", "a b c d", "ооо", "i—d", "a!.!.b", "5", "(5)", "plain words, \"quoted\" ones."]
+    for alphabet in ("ab $!+(.\"", "aAiIsS  01$!@+(*<|._-~'/,;:?)]}[{\"#\n\x01\t", "aé€—\u00a0 оK²1$.!*\u0301", "ab .!, ", "a "):
+        texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 14))) for _ in range(20_000)]
+    flag = toxicity.disguised(W.word_batch([t.encode() for t in texts]))
+    known: dict[str, str] = {}
+    changed = [toxicity.restore(t, lambda a, b, c: -float(c), known) != t for t in texts]
+    assert not [t for t, f, c in zip(texts, flag, changed) if c and not f]
+    assert all(changed[:6]) and not flag[10] and not flag[12]
+
+
 def test_disguised_words_are_restored_and_scored(spark, toxic_model):
     clean = " ".join(["the thing and that erst"] * 8)
     texts = [f"{clean} {w} {clean}" for w in ("idiot", "1d10t", "i d i o t", "idiooooot", "i.d.i.o.t", "IDIOT")] + [clean, "", None, "%%%"]
