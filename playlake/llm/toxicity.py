@@ -99,7 +99,7 @@ class Model:
 OUTER = " \t\r\n.,;:?!\"')]}([{"
 #: What is stripped before a token: no look-alikes.
 LEAD = " \t\r\n.,;:?\"'[{"
-SEPARATED = re.compile(r"(?<!\S)(?:\S[ ._\-*~]){3,}\S(?!\S)")
+SEPARATED = re.compile(r"(?<![^\s.,;:?!\"')\]}(\[{])(?:\S[ ._\-*~]){2,}\S(?![^\s.,;:?!\"')\]}(\[{])")
 TOKEN = re.compile(r"\S+")
 STRETCHED = re.compile(r"([^\W\d_])\1\1")
 INNER = re.compile(r"(?<=\w)[._\-~'/]+(?=\w)")
@@ -130,6 +130,35 @@ def readings(token: str) -> list[list[str]] | None:
     return None if plain or not places else places
 
 
+def letters(c: str) -> frozenset[str]:
+    """The letters that a character may stand for."""
+    return frozenset(LOOKALIKE.get(c) or (c if c.isalpha() else ""))
+
+
+def collapsed(token: str) -> list[list[str]] | None:
+    """The lattice of a token in which each run that holds a look-alike, and whose characters may all
+    stand for one letter, is that letter once or twice; None if it has no such run.
+
+    It stands beside ``readings``, which reads each look-alike by itself: '111' may be 'ill' or a long 'i'.
+    """
+    some = False
+    places: list[list[str]] = []
+    i, n = 0, len(token)
+    while i < n:
+        same, j = letters(token[i]), i + 1
+        while j < n and same & letters(token[j]):
+            same, j = same & letters(token[j]), j + 1
+        run, i = token[i:j], j
+        if len(run) >= 2 and not run.isalpha():
+            places.append([x for c in sorted(same) for x in (c, c + c)])
+            some = True
+        elif len(run) >= 3:
+            places.append([run[0], run[0] * 2])
+        else:
+            places += [sorted(letters(c)) for c in run if letters(c)]
+    return places if some else None
+
+
 def viterbi(places: list[list[str]], logp: Callable[[int, int, int], float]) -> str:
     """The likeliest path through a lattice; between equal ones the first in character order."""
     best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
@@ -169,6 +198,8 @@ def restore(text: str, logp: Callable[[int, int, int], float], known: dict[str,
         if word is None:
             lattice = readings(t)
             word = viterbi(lattice, logp) if lattice else t if t.isalpha() else ""
+            if short := collapsed(t):
+                word = " ".join(dict.fromkeys([word, viterbi(short, logp)]))
             if len(known) < 200_000:
                 known[t] = word
         if word:

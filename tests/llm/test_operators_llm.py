@@ -111,6 +111,24 @@ def test_restore_changes_no_text_that_is_not_flagged():
     assert all(changed[:6]) and not flag[10] and not flag[12]
 
 
+def test_stretched_look_alikes_and_short_separated_words(spark, toxic_model):
+    for token, word in {"id1111ot": "idiot", "cl0000wn": "clown", "clo0own": "clown", "1d1i!0o0t": "idiot", "k111": "kill"}.items():
+        for lattice in (toxicity.readings(token), toxicity.collapsed(token)):
+            paths = {"".join(p) for p in itertools.product(*lattice)}
+            assert toxicity.viterbi(lattice, toxic_model.logp) in paths
+        both = paths | {"".join(p) for p in itertools.product(*toxicity.readings(token))}
+        assert word in both, token
+    assert toxicity.collapsed("idiooot") is None and toxicity.collapsed("1d10t") is None
+    flat = lambda a, b, c: 0.0
+    for text, word in {"a b c": "abc", "so 'a.b.c', or": "abc", "x a b c d.": "xabcd", "a @ b": "aab", "s h * t": "shut"}.items():
+        assert word in toxicity.restore(text, flat, {}).split("\n")[1].split(), text
+    clean = " ".join(["the thing and that erst"] * 8)
+    texts = [f"{clean} {w} {clean}" for w in ("id1111ot", "idi0o0ot", "!!d!!!o0t", "i d i o t.")] + [clean]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, toxic_model, ["doc_id"]).collect()}
+    assert [rows[i] for i in range(5)] == [1, 1, 1, 1, 0]
+
+
 def test_disguised_words_are_restored_and_scored(spark, toxic_model):
     clean = " ".join(["the thing and that erst"] * 8)
     texts = [f"{clean} {w} {clean}" for w in ("idiot", "1d10t", "i d i o t", "idiooooot", "i.d.i.o.t", "IDIOT")] + [clean, "", None, "%%%"]
