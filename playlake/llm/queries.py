@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlake.llm import chat, decontaminate, language, ngram_join, packing, revisits, sharding, substring_dedup, toxicity, winnowing
+from playlake.llm import chat, decontaminate, extraction, filter_audit, language, merkle, ngram_join, packing, revisits, sharding, substring_dedup, toxicity, winnowing
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -200,6 +200,33 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = extraction.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), extraction.fit(), ["page_id", "url"])
+    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, for each source."""
+    masks = filter_audit.document_masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(masks, list("ABCDE"), ["good", "toxic"])
+
+
+def manifest_leaves(docs: DataFrame) -> DataFrame:
+    """doc_id, tree, node and given: each document's digest, and that of its text in lower
+    case where 3 divides the CRC-32 of its id."""
+    fields = lambda text: merkle.digest(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text)
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    given = F.when(fold(F.col("doc_id"), 3) == 0, fields(low))
+    return docs.select("doc_id", merkle.tree_name(F.col("lang")).alias("tree"), fields(F.col("text")).alias("node"), given.alias("given"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document against the manifest's root, a third of them tampered with."""
+    out = merkle.proofs(manifest_leaves(table(spark, sf_dir, "documents")), ["doc_id"])
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -213,13 +240,96 @@ QUERIES = {
         op8_packing,
         op9_revisits,
         op10_substring_dedup,
+        op11_extract,
+        op12_filter_audit,
+        op13_merkle,
     )
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+_BYTES = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR) END"
+_LEAF = "sha256(" + " || ".join(_BYTES.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+
 ORACLE = {
+    "op12_filter_audit": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+            FROM labels GROUP BY doc_id),
+        d AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+                + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+                + CASE WHEN 100 * len(regexp_extract_all(body, '[A-Z]')) > 2 * length(body) THEN 4 ELSE 0 END
+                + CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 8 ELSE 0 END
+                + CASE WHEN t.doc_id > min(t.doc_id) OVER (PARTITION BY body) THEN 16 ELSE 0 END AS mask
+            FROM t LEFT JOIN l USING (doc_id)),
+        c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY part, mask),
+        f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS name, unnest([1, 2, 4, 8, 16]) AS bit),
+        o AS (
+            SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM f a, f b, f c, f d, f e
+            WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+        s AS (
+            SELECT filter_order, k AS step, bits[k] AS bit,
+                CAST(coalesce(list_sum(bits[1:k - 1]), 0) AS INTEGER) AS prior FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS k)),
+        r AS (
+            SELECT part, filter_order, step, bit,
+                sum(CASE WHEN (mask & (prior | bit)) = 0 THEN n ELSE 0 END) AS kept,
+                sum(CASE WHEN (mask & prior) = 0 AND (mask & bit) <> 0 THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN (mask & prior) <> 0 AND (mask & bit) <> 0 THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN (mask & prior) = 0 AND (mask & bit) <> 0 THEN good ELSE 0 END) AS good_lost,
+                sum(CASE WHEN (mask & prior) = 0 AND (mask & bit) <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+            FROM c, s GROUP BY ALL)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+            CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+            CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+        FROM r""",
+    "op13_merkle": rf"""
+        WITH RECURSIVE
+        leaf AS (
+            SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree, {_LEAF.format("text")} AS leaf,
+                {_LEAF.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS low FROM documents),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaf),
+        bits AS (
+            SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384)) ORDER BY b) AS t FROM range(256) r(b)),
+        crc AS (
+            SELECT DISTINCT doc_id, xor(list_reduce(
+                list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295) AS crc FROM documents, bits),
+        node(tree, level, pos, n, h) AS (
+            SELECT tree, 0, pos, n, leaf FROM placed
+            UNION ALL
+            SELECT tree, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM node WHERE n > 1 GROUP BY tree, level, pos // 8, n),
+        roots AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1),
+        high(level, pos, n, h) AS (
+            SELECT 0, pos, n, h FROM roots
+            UNION ALL
+            SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY level, pos // 8, n),
+        side AS (
+            SELECT c.tree, c.level, c.pos, string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos < c.pos) AS l, string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos > c.pos) AS r
+            FROM node c JOIN node s ON c.tree = s.tree AND c.level = s.level AND c.pos // 8 = s.pos // 8 WHERE c.n > 1 GROUP BY c.tree, c.level, c.pos),
+        up AS (
+            SELECT c.level, c.pos, string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos < c.pos) AS l, string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos > c.pos) AS r
+            FROM high c JOIN high s ON c.level = s.level AND c.pos // 8 = s.pos // 8 WHERE c.n > 1 GROUP BY c.level, c.pos),
+        low_path(doc_id, tree, level, pos, h, proof) AS (
+            SELECT doc_id, tree, 0, pos, CASE WHEN crc % 3 = 0 THEN low ELSE leaf END, '' FROM placed JOIN crc USING (doc_id)
+            UNION ALL
+            SELECT p.doc_id, p.tree, p.level + 1, p.pos // 8, sha256(coalesce(s.l, '') || p.h || coalesce(s.r, '')), p.proof || coalesce(s.l, '') || coalesce(s.r, '')
+            FROM low_path p JOIN side s ON p.tree = s.tree AND p.level = s.level AND p.pos = s.pos),
+        subroot AS (SELECT tree, max(level) AS top FROM node GROUP BY tree),
+        high_path(doc_id, level, pos, h, proof) AS (
+            SELECT p.doc_id, 0, r.pos, p.h, p.proof FROM low_path p JOIN subroot t ON p.tree = t.tree AND p.level = t.top JOIN roots r ON r.tree = p.tree
+            UNION ALL
+            SELECT p.doc_id, p.level + 1, p.pos // 8, sha256(coalesce(s.l, '') || p.h || coalesce(s.r, '')), p.proof || coalesce(s.l, '') || coalesce(s.r, '')
+            FROM high_path p JOIN up s ON p.level = s.level AND p.pos = s.pos)
+        SELECT d.doc_id, d.leaf, r.h AS subroot, top.h AS root, sha256(p.proof) AS proof_sha256, p.h AS folded_root, p.h = top.h AS verified
+        FROM placed d JOIN roots r USING (tree) JOIN high_path p USING (doc_id) JOIN high top ON top.n = 1 AND top.level = p.level""",
     "op6_chat_format": r"""
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
