@@ -182,27 +182,30 @@ def with_errors_typed(df: DataFrame) -> DataFrame:
     return df.selectExpr(*keep, f"{_errors_sql(_typed_fields(df))} AS errors")
 
 
-def contract_errors_typed(df: DataFrame) -> Column:
-    return F.expr(_errors_sql(_typed_fields(df)))
+# The lenient profile: columns of ``from_json`` output that may not be null, and times of
+# which the second may not exceed the first; missing times count as 0.
+LENIENT_REQUIRED = ("event_id", "user_id", "session_id", "content_id")
+LENIENT_ENUMS = {"event_type": S.EVENT_TYPES, "device_type": S.DEVICE_TYPES, "subscription_tier": S.SUBSCRIPTION_TIERS}
+LENIENT_TIMES = ("watch_seconds", "rebuffer_seconds")
 
 
 def lenient_sql(event_ts: str = "event_ts") -> str:
-    """The weaker stream gate (profile 'lenient'), NULL-safe, as SQL.
+    """The weaker stream gate (profile 'lenient') as SQL; a NULL verdict counts as invalid.
 
-    Works on ``from_json`` output: null checks on five ids, enum membership,
-    watch and rebuffer defaulted to 0 and compared, version equal to 1. A
-    NULL verdict counts as invalid. ``event_ts`` is the parsed event time.
+    ``event_ts`` is the parsed event time. Times have no upper bound but what the marts can
+    sum exactly; infinity and NaN are beyond it.
     """
 
-    return (
-        "coalesce("
-        f"event_id IS NOT NULL AND event_type IN {_in_list(S.EVENT_TYPES)} AND ({event_ts}) IS NOT NULL "
-        "AND user_id IS NOT NULL AND session_id IS NOT NULL AND content_id IS NOT NULL "
-        f"AND device_type IN {_in_list(S.DEVICE_TYPES)} AND subscription_tier IN {_in_list(S.SUBSCRIPTION_TIERS)} "
-        "AND coalesce(watch_seconds, 0.0) >= 0 AND coalesce(rebuffer_seconds, 0.0) >= 0 "
-        "AND coalesce(rebuffer_seconds, 0.0) <= coalesce(watch_seconds, 0.0) "
-        f"AND schema_version = {S.SUPPORTED_SCHEMA_VERSION}, false)"
-    )
+    times = [f"coalesce({c}, 0.0D)" for c in LENIENT_TIMES]
+    rules = [
+        *[f"{c} IS NOT NULL" for c in (*LENIENT_REQUIRED, f"({event_ts})")],
+        *[f"{c} IN {_in_list(values)}" for c, values in LENIENT_ENUMS.items()],
+        *[f"{t} BETWEEN 0.0D AND {S.MAX_SUMMED!r}D" for t in times],
+        f"coalesce(startup_ms, 0.0D) <= {S.MAX_SUMMED!r}D",
+        f"{times[1]} <= {times[0]}",
+        f"schema_version = {S.SUPPORTED_SCHEMA_VERSION}",
+    ]
+    return f"coalesce({' AND '.join(rules)}, false)"
 
 
 def lenient_condition(event_ts: str = "event_ts") -> Column:

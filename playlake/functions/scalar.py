@@ -41,12 +41,6 @@ def blank_sql(text_sql: str) -> str:
     return f"{text_sql} RLIKE {sql_literal(BLANK)}"
 
 
-
-
-
-
-
-
 def dbl(x: float) -> str:
     """A double literal in Spark SQL (a bare ``1.0`` would be DECIMAL)."""
 
@@ -71,11 +65,13 @@ def qoe_score_sql(avg_startup_ms: str, rebuffer_ratio: str, error_rate: str) ->
 
 
 def micros_sql(value: str, factor: float = 1_000_000.0) -> str:
-    """Non-negative time value -> integer micro-units (NULL -> 0)."""
-
-    return f"try_cast(round(coalesce({value}, 0.0D) * {dbl(factor)}) AS BIGINT)"
+    """Non-negative time value -> whole micro-units (NULL -> 0), DECIMAL(28,0).
 
+    Any value up to ``schema.MAX_SUMMED`` fits, and a sum (DECIMAL(38,0)) has room for
+    10^10 of the largest: no value is ever left out and no sum overflows.
+    """
 
+    return f"CAST(round(coalesce({value}, 0.0D) * {dbl(factor)}) AS DECIMAL(28, 0))"
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
@@ -90,20 +86,6 @@ def weighted_mean(value: Column, weight: Column) -> Column:
     return F.try_divide(F.sum(value * weight), F.sum(weight).cast("double"))
 
 
-def qoe_score(avg_startup_ms: Column, rebuffer_ratio: Column, error_rate: Column) -> Column:
-    """0-100 explainable score; missing startup counts as no penalty."""
-
-    startup_penalty = F.least(
-        F.coalesce(avg_startup_ms, F.lit(0.0)) / F.lit(S.QOE_STARTUP_DIVISOR),
-        F.lit(S.QOE_STARTUP_CAP),
-    )
-    rebuffer_penalty = F.least(rebuffer_ratio * F.lit(S.QOE_REBUFFER_WEIGHT), F.lit(S.QOE_REBUFFER_CAP))
-    error_penalty = F.least(error_rate * F.lit(S.QOE_ERROR_WEIGHT), F.lit(S.QOE_ERROR_CAP))
-    return F.greatest(
-        F.lit(0.0), F.lit(100.0) - startup_penalty - rebuffer_penalty - error_penalty
-    )
-
-
 _SPLIT = 134217729.0  # 2**27 + 1, Veltkamp splitting constant
 
 
@@ -113,40 +95,16 @@ def _split(v: float) -> tuple[float, float]:
     return hi, v - hi
 
 
-def round_half_even(x: Column, places: int) -> Column:
-    """Round the exact binary value of a double to ``places`` decimals, ties
-    to even: the result Python's ``round(x, places)`` gives.
+def round_half_even_sql(x: str, places: int) -> str:
+    """SQL: the exact binary value of a double rounded to ``places`` decimals, ties to
+    even: the result Python's ``round(x, places)`` gives.
 
-    Spark's ``round`` rounds the JDK's decimal text of the double half-up,
-    which disagrees with the exact value near ties. Here ``|x| * 10^places``
-    is formed with its exact rounding error (Dekker's product), so the
-    fraction is compared with 0.5 exactly; only built-in arithmetic is used.
+    Spark's ``round`` rounds the JDK's decimal text of the double half-up, which
+    disagrees with the exact value near ties. Here ``|x| * 10^places`` is formed with
+    its exact rounding error (Dekker's product), so the fraction is compared with 0.5
+    exactly; only built-in arithmetic is used.
     """
 
-    scale = float(10**places)
-    s_hi, s_lo = _split(scale)
-    a = F.abs(x)
-    prod = a * F.lit(scale)
-    c = a * F.lit(_SPLIT)
-    a_hi = c - (c - a)
-    a_lo = a - a_hi
-    err = ((a_hi * F.lit(s_hi) - prod) + a_hi * F.lit(s_lo) + a_lo * F.lit(s_hi)) + a_lo * F.lit(s_lo)
-    units = F.floor(prod).cast("double")
-    half = (prod - units) - F.lit(0.5)
-    up = (
-        F.when(half > 0, 1.0)
-        .when(half < 0, 0.0)
-        .when(err > 0, 1.0)
-        .when(err < 0, 0.0)
-        .otherwise(F.pmod(units, F.lit(2.0)))
-    )
-    rounded = F.signum(x) * ((units + up) / F.lit(scale))
-    return F.when(F.isnan(x) | (a == F.lit(float("inf"))), x).otherwise(rounded)
-
-
-def round_half_even_sql(x: str, places: int) -> str:
-    """SQL text of ``round_half_even`` (same arithmetic)."""
-
     scale = float(10**places)
     s_hi, s_lo = _split(scale)
     a = f"abs({x})"
@@ -164,16 +122,7 @@ def round_half_even_sql(x: str, places: int) -> str:
             f"ELSE signum({x}) * (({units} + {up}) / {dbl(scale)}) END")
 
 
-
-
 def pseudonymous_id(prefix: str, value: Column) -> Column:
     """prefix + '_' + first 12 hex digits of SHA-256 of the text."""
 
     return F.concat(F.lit(prefix + "_"), F.substring(F.sha2(value.cast("string"), 256), 1, 12))
-
-
-def event_date(ts: Column) -> Column:
-    return F.to_date(ts)
-
-
-

@@ -34,15 +34,13 @@ def pin_columns(df: DataFrame, names: list[str]) -> DataFrame:
 def bronze_from_topic(kafka_rows: DataFrame, run_id: str | None = None) -> DataFrame:
     """Broker rows (binary key/value + coordinates) -> Bronze layout."""
 
+    broker = {"message_key": "key", "raw_payload": "value", "broker_timestamp": "timestamp"}
+    stamps = {"bronze_ingested_at": F.current_timestamp(), "run_id": F.lit(run_id)}
     return kafka_rows.select(
-        F.col("key").cast("string").alias("message_key"),
-        F.col("value").cast("string").alias("raw_payload"),
-        F.col("topic"),
-        F.col("partition").cast("int").alias("partition"),
-        F.col("offset").cast("long").alias("offset"),
-        F.col("timestamp").alias("broker_timestamp"),
-        F.current_timestamp().alias("bronze_ingested_at"),
-        F.lit(run_id).cast("string").alias("run_id"),
+        *[
+            stamps.get(f.name, F.col(broker.get(f.name, f.name))).cast(f.dataType).alias(f.name)
+            for f in S.bronze_schema().fields
+        ]
     )
 
 

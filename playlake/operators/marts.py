@@ -3,8 +3,8 @@
 Each mart is one ``groupBy(window(event_ts, ...), keys).agg(measures)`` and
 therefore runs unchanged on a batch or a watermarked stream. Exact viewers in
 batch (one extra shuffle on keys + user_id, which also spreads a hot key over
-many reducers), approximate viewers on streams, where exact distinct is
-refused.
+many reducers), a viewers sketch and its estimate on streams, where exact
+distinct is refused.
 
 The content title is an attribute, never a key: the title of the latest
 event (by event_ts, event_id). ``title_scope='run'`` takes the latest over the
@@ -59,7 +59,7 @@ def content_daily(silver: DataFrame, exact_viewers: bool = True, title_scope: st
     ).agg(*measure_aggregates(exact_viewers), *(_title_parts() if title_scope == "group" else []))
     g = g.selectExpr("*", "to_date(_w.start) AS event_date")
     g = _with_title(g, silver, title_scope)
-    return finalise(g).select(*mart_columns(S.CONTENT_DAILY_KEYS, with_title=True))
+    return finalise(g).select(*mart_columns(S.CONTENT_DAILY_KEYS, with_title=True, exact_viewers=exact_viewers))
 
 
 def platform_hourly(silver: DataFrame, exact_viewers: bool = True) -> DataFrame:
@@ -69,7 +69,7 @@ def platform_hourly(silver: DataFrame, exact_viewers: bool = True) -> DataFrame:
         F.window("event_ts", "1 hour").alias("_w"), "country", "device_type"
     ).agg(*measure_aggregates(exact_viewers))
     g = g.selectExpr("*", "_w.start AS window_start")
-    return finalise(g).select(*mart_columns(S.PLATFORM_HOURLY_KEYS, with_title=False))
+    return finalise(g).select(*mart_columns(S.PLATFORM_HOURLY_KEYS, with_title=False, exact_viewers=exact_viewers))
 
 
 def content_hourly(silver: DataFrame, exact_viewers: bool = True, title_scope: str = "run") -> DataFrame:
@@ -84,7 +84,7 @@ def content_hourly(silver: DataFrame, exact_viewers: bool = True, title_scope: s
     ).agg(*measure_aggregates(exact_viewers), *(_title_parts() if title_scope == "group" else []))
     g = g.selectExpr("*", "_w.start AS window_start", "_w.end AS window_end")
     g = _with_title(g, silver, title_scope)
-    cols = mart_columns(S.CONTENT_HOURLY_KEYS, with_title=True)
+    cols = mart_columns(S.CONTENT_HOURLY_KEYS, with_title=True, exact_viewers=exact_viewers)
     cols.insert(1, "window_end")
     return finalise(g).select(*cols)
 

@@ -1,10 +1,10 @@
 """Engagement and QoE measures: one list of aggregates plus a finalise step.
 
 Aggregates are built-in declarative functions, so Spark plans a map-side
-partial aggregate before every shuffle. Time is summed in integer
-microseconds: exact, order-independent (a replayed or re-partitioned batch
-gives bit-identical marts) and cheaper than decimal sums. The stored marts
-keep those integer sums and the startup sample count next to the published
+partial aggregate before every shuffle. Time is summed in whole
+microseconds (DECIMAL, which no sum of valid values overflows): exact, order-independent (a replayed or re-partitioned batch
+gives bit-identical marts) The stored marts
+keep those sums and the startup sample count next to the published
 measures, so rates can be recombined exactly at any coarser grain.
 """
 
@@ -17,14 +17,29 @@ from playlake import schema as S
 from playlake.functions.scalar import micros_sql, qoe_score_sql, ratio_or_zero_sql, round_half_even_sql
 
 
+#: Size of a viewers sketch: 2**12 buckets, about 1.6 % standard error once it is full.
+SKETCH_LG_K = 12
+SKETCH = "viewers_sketch"
+
+
+def viewers_bound(exact: str) -> str:
+    """SQL: how far a sketch's estimate may be off, four standard errors and never below 1."""
+
+    return f"greatest(1.0D, {4 * 1.04 / 2 ** (SKETCH_LG_K / 2)!r}D * {exact})"
+
+
 def measure_aggregates_sql(exact_viewers: bool = True) -> list[str]:
-    """Aggregates over Silver rows (A1, A2, A4/A5, A6, A7 parts), as SQL."""
+    """Aggregates over Silver rows (A1, A2, A4/A5, A6, A7 parts), as SQL.
 
-    viewers = "count(DISTINCT user_id)" if exact_viewers else "approx_count_distinct(user_id)"
+    Exact viewers are a distinct count; else they are a HyperLogLog sketch, which streams can
+    keep and which rolls up to coarser groups (``recombine``).
+    """
+
+    viewers = "count(DISTINCT user_id) AS unique_viewers" if exact_viewers else f"hll_sketch_agg(user_id, {SKETCH_LG_K}) AS {SKETCH}"
     return [
         "count(1) AS event_count",
         "count_if(event_type = 'playback_started') AS plays",
-        f"{viewers} AS unique_viewers",
+        viewers,
         "count_if(event_type = 'playback_completed') AS completes",
         "count_if(event_type = 'playback_error') AS playback_errors",
         f"coalesce(sum({micros_sql('watch_seconds')}), 0) AS watch_micros",
@@ -39,11 +54,11 @@ def measure_aggregates(exact_viewers: bool = True) -> list[Column]:
 
 
 FINALISE_SQL = [
-    "watch_micros / 3600000000.0D AS watch_hours",
+    "CAST(watch_micros AS DOUBLE) / 3600000000.0D AS watch_hours",
     f"{ratio_or_zero_sql('completes', 'plays')} AS completion_rate",
     f"{ratio_or_zero_sql('playback_errors', 'plays')} AS error_rate",
-    f"{ratio_or_zero_sql('rebuffer_micros', 'watch_micros')} AS rebuffer_ratio",
-    "CASE WHEN startup_samples > 0 THEN (startup_micros / 1000.0D) / startup_samples END AS avg_startup_ms",
+    f"{ratio_or_zero_sql('CAST(rebuffer_micros AS DOUBLE)', 'CAST(watch_micros AS DOUBLE)')} AS rebuffer_ratio",
+    "CASE WHEN startup_samples > 0 THEN (CAST(startup_micros AS DOUBLE) / 1000.0D) / startup_samples END AS avg_startup_ms",
 ]
 
 
@@ -53,15 +68,17 @@ def finalise(df: DataFrame) -> DataFrame:
 
     derived = {"watch_hours", "completion_rate", "error_rate", "rebuffer_ratio", "avg_startup_ms", "qoe_score"}
     keep = [f"`{c}`" for c in df.columns if c not in derived]
+    if SKETCH in df.columns and "unique_viewers" not in df.columns:
+        keep.append(f"hll_sketch_estimate({SKETCH}) AS unique_viewers")
     df = df.selectExpr(*keep, *FINALISE_SQL)
     return df.selectExpr("*", f"{qoe_score_sql('avg_startup_ms', 'rebuffer_ratio', 'error_rate')} AS qoe_score")
 
 
-def mart_columns(keys: tuple[str, ...], with_title: bool) -> list[str]:
+def mart_columns(keys: tuple[str, ...], with_title: bool, exact_viewers: bool = True) -> list[str]:
     cols = list(keys)
     if with_title:
         cols.insert(cols.index("content_id") + 1, "content_title")
-    return cols + list(S.MEASURES) + list(S.RECOMBINABLE)
+    return cols + list(S.MEASURES) + list(S.RECOMBINABLE) + ([] if exact_viewers else [SKETCH])
 
 
 def serve(mart: DataFrame) -> DataFrame:
@@ -85,14 +102,26 @@ def serve(mart: DataFrame) -> DataFrame:
     return out
 
 
+def serve_ordered(mart: DataFrame, keys: list[str]) -> DataFrame:
+    """The served form in key order (a sort by ranges of the key; T4)."""
+
+    return serve(mart).orderBy(*keys)
+
+
 def recombine(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Roll a stored mart up to coarser ``keys`` exactly (except viewers,
-    which are not additive and come out as a sum of segments)."""
+    """Roll a stored mart up to coarser ``keys`` exactly.
+
+    Viewers are not additive: with a sketch in the mart they are estimated from the union of
+    the sketches, which is kept for the next roll-up; without one they come out as a sum of
+    segments.
+    """
 
+    sketched = SKETCH in parts.columns
+    viewers = F.expr(f"hll_union_agg({SKETCH}) AS {SKETCH}") if sketched else F.sum("unique_viewers").alias("unique_viewers")
     agg = parts.groupBy(*keys).agg(
         F.sum("event_count").alias("event_count"),
         F.sum("plays").alias("plays"),
-        F.sum("unique_viewers").alias("unique_viewers"),
+        viewers,
         F.sum("completes").alias("completes"),
         F.sum("playback_errors").alias("playback_errors"),
         F.sum("watch_micros").alias("watch_micros"),

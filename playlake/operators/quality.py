@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake.functions.scalar import iso_ts_sql, sql_literal
+from playlake.operators.idfilter import not_stored
+from playlake.operators.quantiles import RANK_ERROR, estimates, exact_quantiles, quantile_sketches, rolled_up
+from playlake.session import materialize
 
 SUMMARY_REQUIRED = ("run_id", "input_records", "valid_records", "quarantined_records", "quality_pass_rate")
 DEFAULT_MIN_PASS_RATE = 0.98
@@ -227,28 +230,50 @@ def duplicate_rate(classified: DataFrame, silver: DataFrame) -> DataFrame:
     )
 
 
-def key_skew(silver: DataFrame, keys=("content_id", "country", "device_type", "subscription_tier"), top: int = 3) -> DataFrame:
+SKEW_KEYS = ("content_id", "country", "device_type", "subscription_tier")
+#: Values that a sketch of heavy values keeps; any value with more than about 1.4 / 4096 of
+#: all rows is among them.
+TRACKED = 4096
+
+
+def heavy_candidates(rows: DataFrame, keys=SKEW_KEYS, tracked: int = TRACKED) -> DataFrame:
+    """(key_name, key_value) of at most ``tracked`` values a key, all heavy ones among them.
+
+    One pass and no shuffle of values: each task keeps a frequent-items sketch for each key,
+    and the sketches are combined. NULL is a value.
+    """
+
+    coded = {k: f"coalesce(concat('=', CAST(`{k}` AS STRING)), '')" for k in keys}
+    sketches = rows.agg(*[F.expr(f"approx_top_k_accumulate({c}, {tracked}) AS `{k}`") for k, c in coded.items()])
+    named = [
+        f"transform(approx_top_k_estimate(`{k}`, {tracked}), x -> named_struct('key_name', {sql_literal(k)}, 'item', x.item))" for k in keys
+    ]
+    items = F.explode(F.expr(f"concat({', '.join(named)})"))
+    out = sketches.select(items.alias("c")).select("c.key_name", "c.item")
+    return out.select("key_name", F.when(F.col("item") != "", F.substr("item", F.lit(2), F.length("item"))).alias("key_value"))
+
+
+def key_skew(silver: DataFrame, keys=SKEW_KEYS, top: int = 3, tracked: int = TRACKED) -> DataFrame:
     """Top ``top`` values per key by share of events (a top-k report).
 
-    One pass over Silver: each row emits one (key, value) pair per key and a
-    single grouped aggregate counts them, combining map-side before the
-    shuffle, so a hot value costs one row per map task, not its row count.
+    Candidates come from sketches of bounded memory; a second pass counts them exactly. Each
+    row gives one (key, value) pair per key, and pairs that are no candidate leave before the
+    grouped count, so only candidates are shuffled and ranked (``tracked`` a key at most).
     """
 
     pairs = F.explode(
         F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).cast("string").alias("key_value")) for k in keys])
     )
-    per_key = (
-        silver.select(pairs.alias("_p"))
-        .select("_p.key_name", "_p.key_value")
-        .groupBy("key_name", "key_value")
-        .agg(F.count(F.lit(1)).alias("events"))
-    )
+    rows = silver.select(*keys)
+    flat = rows.select(pairs.alias("_p")).select("_p.key_name", "_p.key_value")
+    few = heavy_candidates(rows, keys, tracked).select(F.col("key_name").alias("_k"), F.col("key_value").alias("_v"))
+    # at most keys x tracked rows: a proven bound for the broadcast
+    candidate = (F.col("key_name") == F.col("_k")) & F.col("key_value").eqNullSafe(F.col("_v"))
+    per_key = flat.join(F.broadcast(few), candidate, "left_semi").groupBy("key_name", "key_value").agg(F.count(F.lit(1)).alias("events"))
+    total = flat.groupBy("key_name").agg(F.count(F.lit(1)).alias("total_events"))
     rank = F.row_number().over(Window.partitionBy("key_name").orderBy(F.col("events").desc(), F.col("key_value").asc_nulls_last()))
-    # Every key partitions all events, so the per-key sum is the total.
-    total = F.sum("events").over(Window.partitionBy("key_name"))
-    ranked = per_key.withColumn("total_events", total).withColumn("rank", rank).where(F.col("rank") <= top)
-    return ranked.select(
+    best = per_key.withColumn("rank", rank).where(F.col("rank") <= top)
+    return best.join(total, "key_name").select(
         "key_name",
         "key_value",
         "events",
@@ -261,16 +286,53 @@ def lag_seconds(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(1_000_000.0)
 
 
-def ingestion_lag(silver: DataFrame, accuracy: int = 1_000_000) -> DataFrame:
-    """Per event hour: client hand-off lag (ingestion_ts - event_ts)."""
+LAG_POINTS = (0.5, 0.95)
+
+
+def lag_rows(silver: DataFrame) -> DataFrame:
+    """window_start and lag_seconds (hand-off less event time) of each event."""
 
     lag = lag_seconds(F.col("source_ingestion_ts"), F.col("event_ts"))
-    return silver.groupBy(F.date_trunc("hour", "event_ts").alias("window_start")).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.avg(lag).alias("avg_lag_seconds"),
-        F.percentile_approx(lag, 0.5, accuracy).alias("p50_lag_seconds"),
-        F.percentile_approx(lag, 0.95, accuracy).alias("p95_lag_seconds"),
-        F.max(lag).alias("max_lag_seconds"),
+    return silver.select(F.date_trunc("hour", "event_ts").alias("window_start"), lag.alias("lag_seconds"))
+
+
+def ingestion_lag(silver: DataFrame) -> DataFrame:
+    """Per event hour: events, mean, median, 95th percentile and maximum of the client's
+    hand-off lag, exact. ``silver`` is read three times: pass a stored table."""
+
+    rows = lag_rows(silver)
+    plain = rows.groupBy("window_start").agg(
+        F.count(F.lit(1)).alias("events"), F.avg("lag_seconds").alias("avg_lag_seconds"), F.max("lag_seconds").alias("max_lag_seconds")
+    )
+    sketches = materialize(quantile_sketches(rows, ["window_start"], "lag_seconds"), "lag-sketches")
+    points = exact_quantiles(rows, ["window_start"], "lag_seconds", list(LAG_POINTS), sketches)
+    at = lambda p: F.max(F.when(F.col("probability") == p, F.col("exact"))).alias(f"p{round(100 * p)}_lag_seconds")
+    wide = points.groupBy("window_start").agg(*[at(p) for p in LAG_POINTS])
+    out = plain.join(wide, "window_start", "left")
+    return out.select("window_start", "events", "avg_lag_seconds", "p50_lag_seconds", "p95_lag_seconds", "max_lag_seconds")
+
+
+def lag_by_day(silver: DataFrame) -> DataFrame:
+    """Per event day and probability: events, the exact lag, and whether the estimate of the
+    day's sketch, merged from those of its hours, is within ``RANK_ERROR`` ranks of it.
+
+    ``silver`` is read three times: pass a stored table.
+    """
+
+    rows = lag_rows(silver)
+    hours = materialize(quantile_sketches(rows, ["window_start"], "lag_seconds"), "lag-hours")
+    days = materialize(rolled_up(hours.withColumn("event_date", F.to_date("window_start")), ["event_date"]), "lag-days")
+    daily = rows.withColumn("event_date", F.to_date("window_start"))
+    exact = exact_quantiles(daily, ["event_date"], "lag_seconds", list(LAG_POINTS), days)
+    guess = estimates(days, ["event_date"], list(LAG_POINTS))
+    # the estimate's true rank: values below it, and up to it
+    ranks = daily.join(guess, "event_date").groupBy("event_date", "probability").agg(
+        F.avg((F.col("lag_seconds") < F.col("estimate")).cast("double")).alias("below"),
+        F.avg((F.col("lag_seconds") <= F.col("estimate")).cast("double")).alias("upto"),
+    )
+    close = (F.col("below") - RANK_ERROR <= F.col("probability")) & (F.col("upto") + RANK_ERROR >= F.col("probability"))
+    return exact.join(ranks, ["event_date", "probability"]).select(
+        "event_date", "probability", F.col("values").alias("events"), F.col("exact").alias("lag_seconds"), close.alias("estimate_within_bound")
     )
 
 
@@ -282,17 +344,47 @@ def late_audit(classified: DataFrame, silver: DataFrame) -> DataFrame:
     return valid.join(silver.select("event_id"), "event_id", "left_anti")
 
 
-def freshness(silver: DataFrame, mart_updates: DataFrame, within_seconds: int = 300) -> DataFrame:
-    """Share of events visible in Gold within ``within_seconds`` of their
-    hand-off: each event joins the first update of its hour's mart row."""
+def late_audit_stored(valid: DataFrame, silver: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
+    """The same from stored tables (Silver layout), with the id filter in front: ids that it does
+    not know are missing for certain, the others are looked up in their days."""
+
+    return not_stored(valid, silver, filters, buckets)
+
 
-    first_update = mart_updates.groupBy("window_start", "content_id", "country", "subscription_tier", "device_type").agg(
-        F.min("last_updated_at").alias("first_visible_at")
+FRESHNESS_KEYS = ("window_start", "content_id", "country", "subscription_tier", "device_type")
+
+
+def freshness(
+    silver: DataFrame, update_log: DataFrame, within_seconds: int = 300, keys: tuple[str, ...] = FRESHNESS_KEYS
+) -> DataFrame:
+    """Per event day: events, how many their mart row showed within ``within_seconds`` of their
+    hand-off, how many it never showed, the share and the longest delay.
+
+    ``update_log`` is append-only: a row (keys, ``updated_at``) each time a mart row was
+    written. An event is visible from the first update *at or after* its hand-off; an earlier
+    one cannot hold it. Events are added up by mart row and hand-off time before the join, and
+    a mart row's updates are one sorted list (as many as batches wrote that hour), so a busy
+    mart row is neither a window nor a product. A NULL key is a key like any other.
+    """
+
+    handed = (
+        silver.withColumn("window_start", F.date_trunc("hour", "event_ts"))
+        .groupBy("event_date", *keys, F.col("source_ingestion_ts").alias("handed_at"))
+        .agg(F.count(F.lit(1)).alias("events"))
+    )
+    updates = update_log.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.array_sort(F.collect_set("updated_at")).alias("updates")
     )
-    ev = silver.withColumn("window_start", F.date_trunc("hour", "event_ts"))
-    joined = ev.join(first_update, ["window_start", "content_id", "country", "subscription_tier", "device_type"], "left")
-    visible = lag_seconds(F.col("first_visible_at"), F.col("source_ingestion_ts"))
-    return joined.agg(
-        F.count(F.lit(1)).alias("events"),
-        F.avg(F.when(visible <= within_seconds, 1.0).otherwise(0.0)).alias("share_within_target"),
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    joined = handed.join(updates, reduce(lambda a, b: a & b, same), "left")
+    # get: NULL beyond the end, and no error
+    shown = F.get(F.filter("updates", lambda u: u >= F.col("handed_at")), F.lit(0))
+    joined = joined.select("event_date", "events", lag_seconds(shown, F.col("handed_at")).alias("delay"))
+    in_time = F.sum(F.when(F.col("delay") <= within_seconds, F.col("events")).otherwise(0))
+    return joined.groupBy("event_date").agg(
+        F.sum("events").alias("events"),
+        in_time.alias("within_target"),
+        F.sum(F.when(F.col("delay").isNull(), F.col("events")).otherwise(0)).alias("never_visible"),
+        (in_time / F.sum("events")).alias("share_within_target"),
+        F.max("delay").alias("max_delay_seconds"),
     )

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlake.session import checkpoint_root
+from playlake.session import checkpoint_root, path_exists
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]):
@@ -47,13 +47,6 @@ def _delta_available() -> bool:
     return True
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def merge_into_path(
     spark: SparkSession,
     updates: DataFrame,
@@ -85,7 +78,7 @@ def merge_into_path(
     touched = [r[0] for r in updates.select(partition_by).distinct().collect()]
     if not touched:
         return
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         updates.write.format(fmt).partitionBy(partition_by).mode("overwrite").save(path)
         return
     current = spark.read.schema(updates.schema).format(fmt).load(path).where(F.col(partition_by).isin(touched))

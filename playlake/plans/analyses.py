@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from playlake import schema as S
 from playlake.functions.scalar import safe_ratio, weighted_mean
+from playlake.operators.quantiles import exact_quantiles, quantile_sketches
+from playlake.session import materialize
 
 
 def _date(value) -> F.Column:
@@ -61,11 +63,12 @@ def qoe_regression(
     ``time_true=True``: the previous 24 hours by the clock, whatever the gaps.
     """
 
+    since = dt.datetime.fromisoformat(str(as_of)) - dt.timedelta(hours=lookback_hours)
+    recent = platform_hourly.where(F.col("window_start") >= _ts(since))
+    if "event_date" in platform_hourly.columns:  # the stored mart's folders; the day follows from the hour
+        recent = recent.where(F.col("event_date") >= F.lit(since.date()))
     hourly = (
-        platform_hourly.where(
-            F.col("window_start") >= _ts(as_of) - F.make_dt_interval(hours=F.lit(lookback_hours))
-        )
-        .groupBy("window_start", "country", "device_type")
+        recent.groupBy("window_start", "country", "device_type")
         .agg(
             weighted_mean(F.col("qoe_score"), F.col("event_count")).alias("qoe_score"),
             safe_ratio(F.sum("playback_errors"), F.sum("plays")).alias("error_rate"),
@@ -106,12 +109,13 @@ def tier_comparison(content_daily: DataFrame, start: str, end: str) -> DataFrame
     )
 
 
-def session_funnel(silver: DataFrame, day: str, median_accuracy: int = 1_000_000) -> DataFrame:
+def session_funnel(silver: DataFrame, day: str) -> DataFrame:
     """Per device: sessions, how many started / progressed / completed /
     failed, and the median watch time per session, for one event day.
 
     Two chained aggregations (session, then device); both are partial
-    aggregates before their shuffle. The day filter is written on the
+    aggregates before their shuffle. The day's sessions are written once: the
+    counts, the sketch and the exact median (``operators.quantiles``) read them. The day filter is written on the
     ``event_date`` partition column and as an ``event_ts`` range, so stored
     Silver prunes partitions and row groups (``event_date`` is the UTC date
     of ``event_ts`` by construction).
@@ -134,25 +138,24 @@ def session_funnel(silver: DataFrame, day: str, median_accuracy: int = 1_000_000
         F.element_at(devices, F.min(F.array_position(devices, F.col("device_type"))).cast("int")).alias(
             "device_type"
         ),
-        F.min("event_ts").alias("session_started_at"),
         (F.count_if(et == "playback_started") > 0).alias("started"),
         (F.count_if(et == "playback_progress") > 0).alias("progressed"),
         (F.count_if(et == "playback_completed") > 0).alias("completed"),
         (F.count_if(et == "playback_error") > 0).alias("failed"),
         F.sum(F.coalesce(F.col("watch_seconds"), F.lit(0.0))).alias("watch_seconds"),
     )
-    return (
-        sessions.groupBy("device_type")
-        .agg(
-            F.count(F.lit(1)).alias("sessions"),
-            F.count_if("started").alias("starts"),
-            F.count_if("progressed").alias("progressed_sessions"),
-            F.count_if("completed").alias("completions"),
-            F.count_if("failed").alias("failed_sessions"),
-            F.percentile_approx("watch_seconds", 0.5, median_accuracy).alias("median_watch_seconds"),
-        )
-        .orderBy(F.col("sessions").desc(), "device_type")
+    sessions = materialize(sessions, "sessions")
+    counts = sessions.groupBy("device_type").agg(
+        F.count(F.lit(1)).alias("sessions"),
+        F.count_if("started").alias("starts"),
+        F.count_if("progressed").alias("progressed_sessions"),
+        F.count_if("completed").alias("completions"),
+        F.count_if("failed").alias("failed_sessions"),
     )
+    sketches = materialize(quantile_sketches(sessions, ["device_type"], "watch_seconds"), "session-sketches")
+    median = exact_quantiles(sessions, ["device_type"], "watch_seconds", [0.5], sketches)
+    median = median.select("device_type", F.col("exact").alias("median_watch_seconds"))
+    return counts.join(median, "device_type", "left").orderBy(F.col("sessions").desc(), "device_type")
 
 
 # ---- dashboard queries ------------------------------------------------------

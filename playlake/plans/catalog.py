@@ -9,6 +9,7 @@ engines print values alike: timestamps and dates as text, doubles rounded to
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,10 @@ from pyspark.sql import types as T
 
 from playlake import schema as S
 from playlake.functions.scalar import pseudonymous_id
-from playlake.operators import layers, marts, measures, quality
-from playlake.plans import analyses, sql_reports
+from playlake.operators import idfilter, layers, marts, measures, ordered, quality
+from playlake.plans import analyses, lake, sql_reports
 from playlake.sources.fixture import content_dimension_from_part, playback_raw, playback_typed
-from playlake.session import ensure_semantics, materialize
+from playlake.session import ensure_semantics, materialize, scratch_path
 from playlake.sources.tables import read_table, spread
 
 # Report parameters (constants so every run is reproducible).
@@ -28,10 +29,15 @@ AS_OF_DATE = "2024-01-31"
 AS_OF_TS = "2024-01-31 00:00:00"
 TIER_START, TIER_END = "2024-01-08", "2024-01-21"
 FUNNEL_DAY = "2024-01-15"
-DASHBOARD_COUNTRIES = ("US", "CA", "GB", "IN")
+DASHBOARD_COUNTRIES = ("BR", "JP", "NO", "PL")
 DASHBOARD_DEVICES = ("connected_tv", "mobile", "web")
 RUN_ID = "fixture-run"
 GATE_MIN_RATE = 0.98
+GATE_PASSES_AT = 0.75
+LOST_COUNTRY, LOST_EVERY = "ZA", 31
+IDS_PER_DAY = 4000
+RETRY_LATE_EVERY = 100
+LANDING_FILES = 1
 UPSERT_TARGET_BEFORE = "2024-01-20"
 UPSERT_UPDATES_FROM = "2024-01-15"
 
@@ -44,6 +50,8 @@ def checked(df: DataFrame) -> DataFrame:
             c = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
         elif isinstance(f.dataType, T.DateType):
             c = f"CAST({c} AS STRING)"
+        elif isinstance(f.dataType, T.DecimalType) and f.dataType.scale == 0:
+            c = f"CAST({c} AS BIGINT)"
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             c = f"round(CAST({c} AS DOUBLE), 6)"
         elif isinstance(f.dataType, T.ArrayType):
@@ -92,12 +100,6 @@ def content_daily_mart(spark, sf_dir):
     return marts.content_daily(silver(spark, sf_dir))
 
 
-def platform_hourly_mart(spark, sf_dir):
-    return marts.platform_hourly(silver_plan(spark, sf_dir))
-
-
-
-
 # ---- queries ---------------------------------------------------------------
 
 
@@ -175,7 +177,7 @@ def q_content_daily(spark, sf_dir):
 
 
 def q_platform_hourly(spark, sf_dir):
-    return checked(platform_hourly_mart(spark, sf_dir))
+    return checked(marts.platform_hourly(silver_plan(spark, sf_dir)))
 
 
 def q_content_hourly(spark, sf_dir):
@@ -224,44 +226,78 @@ def q_dim_join_part(spark, sf_dir):
                                  "watch_hours", "qoe_score"))
 
 
+def q_mart_ordered(spark, sf_dir):
+    """content_daily written in key order and read back with each row's place, taken from its
+    file's number and its place in the file; and what the files say about their order."""
+
+    keys = list(S.CONTENT_DAILY_KEYS)
+    path = scratch_path(spark, f"ordered-{uuid.uuid4().hex[:12]}")
+    ordered.write_ordered(measures.serve(lake.content_daily(spark, sf_dir)), path, keys)
+    proof = ordered.order_check(spark, path, keys).agg(
+        F.bool_and("rows_in_order").alias("rows_in_order"), F.bool_and("after_previous").alias("files_in_order")
+    )
+    rows = ordered.read_ordered(spark, path).select("position", *keys, "content_title", "event_count", "plays")
+    return checked(rows.join(F.broadcast(proof), F.lit(True)))  # proof is one row
+
+
+# The reports read stored tables that are partitioned by day: a filter on days reads only
+# their folders.
+
+
+def report_plans(spark, sf_dir) -> dict[str, DataFrame]:
+    """The reports on some days, with the table each of them reads."""
+
+    daily, hourly, events_ = lake.content_daily(spark, sf_dir), lake.platform_hourly(spark, sf_dir), lake.silver(spark, sf_dir)
+    return {
+        "top_content_by_day": analyses.top_content_by_day(daily, AS_OF_DATE),
+        "qoe_regression": analyses.qoe_regression(hourly, AS_OF_TS),
+        "qoe_regression_timeframe": analyses.qoe_regression(hourly, AS_OF_TS, time_true=True),
+        "tier_comparison": analyses.tier_comparison(daily, TIER_START, TIER_END),
+        "top_content_by_day_sql": sql_reports.top_content_by_day(spark, daily, AS_OF_DATE),
+        "qoe_regression_sql": sql_reports.qoe_regression(spark, hourly, AS_OF_TS),
+        "tier_comparison_sql": sql_reports.tier_comparison(spark, daily, TIER_START, TIER_END),
+        "session_funnel_sql": sql_reports.session_funnel(spark, events_, FUNNEL_DAY),
+    }
+
+
 def q_top_content_by_day(spark, sf_dir):
-    return checked(analyses.top_content_by_day(content_daily_mart(spark, sf_dir), AS_OF_DATE))
+    return checked(analyses.top_content_by_day(lake.content_daily(spark, sf_dir), AS_OF_DATE))
 
 
 def q_qoe_regression(spark, sf_dir):
-    return checked(analyses.qoe_regression(platform_hourly_mart(spark, sf_dir), AS_OF_TS))
+    return checked(analyses.qoe_regression(lake.platform_hourly(spark, sf_dir), AS_OF_TS))
 
 
 def q_qoe_regression_timeframe(spark, sf_dir):
-    return checked(analyses.qoe_regression(platform_hourly_mart(spark, sf_dir), AS_OF_TS, time_true=True))
+    return checked(analyses.qoe_regression(lake.platform_hourly(spark, sf_dir), AS_OF_TS, time_true=True))
 
 
 def q_tier_comparison(spark, sf_dir):
-    return checked(analyses.tier_comparison(content_daily_mart(spark, sf_dir), TIER_START, TIER_END))
+    return checked(analyses.tier_comparison(lake.content_daily(spark, sf_dir), TIER_START, TIER_END))
 
 
 def q_session_funnel(spark, sf_dir):
-    return checked(analyses.session_funnel(silver_plan(spark, sf_dir), FUNNEL_DAY))
+    return checked(analyses.session_funnel(lake.silver(spark, sf_dir), FUNNEL_DAY))
 
 
 def q_top_content_by_day_sql(spark, sf_dir):
-    return checked(sql_reports.top_content_by_day(spark, content_daily_mart(spark, sf_dir), AS_OF_DATE))
+    return checked(sql_reports.top_content_by_day(spark, lake.content_daily(spark, sf_dir), AS_OF_DATE))
 
 
 def q_qoe_regression_sql(spark, sf_dir):
-    return checked(sql_reports.qoe_regression(spark, platform_hourly_mart(spark, sf_dir), AS_OF_TS))
+    return checked(sql_reports.qoe_regression(spark, lake.platform_hourly(spark, sf_dir), AS_OF_TS))
 
 
 def q_tier_comparison_sql(spark, sf_dir):
-    return checked(sql_reports.tier_comparison(spark, content_daily_mart(spark, sf_dir), TIER_START, TIER_END))
+    return checked(sql_reports.tier_comparison(spark, lake.content_daily(spark, sf_dir), TIER_START, TIER_END))
 
 
 def q_session_funnel_sql(spark, sf_dir):
-    return checked(sql_reports.session_funnel(spark, silver_plan(spark, sf_dir), FUNNEL_DAY))
+    return checked(sql_reports.session_funnel(spark, lake.silver(spark, sf_dir), FUNNEL_DAY))
 
 
 def _dashboard(spark, sf_dir):
-    return analyses.dashboard_filter(content_daily_mart(spark, sf_dir), DASHBOARD_COUNTRIES, DASHBOARD_DEVICES)
+    return analyses.dashboard_filter(lake.content_daily(spark, sf_dir), DASHBOARD_COUNTRIES, DASHBOARD_DEVICES)
 
 
 def q_kpi_totals(spark, sf_dir):
@@ -277,11 +313,11 @@ def q_device_qoe(spark, sf_dir):
 
 
 def q_hourly_health(spark, sf_dir):
-    return checked(analyses.hourly_health(platform_hourly_mart(spark, sf_dir), DASHBOARD_COUNTRIES))
+    return checked(analyses.hourly_health(lake.platform_hourly(spark, sf_dir), DASHBOARD_COUNTRIES))
 
 
 def q_filter_values(spark, sf_dir):
-    return analyses.filter_values(content_daily_mart(spark, sf_dir))
+    return analyses.filter_values(lake.content_daily(spark, sf_dir))
 
 
 def q_mart_detail(spark, sf_dir):
@@ -297,29 +333,95 @@ def q_run_summary(spark, sf_dir):
 
 
 def q_quality_gate(spark, sf_dir):
-    g = quality.gate(_summary(spark, sf_dir), GATE_MIN_RATE)
-    return checked(g.drop("checked_at"))
+    """The same summary at two thresholds: it fails the published one and passes a lower."""
+
+    summary = materialize(_summary(spark, sf_dir), "summary")
+    strict, low = (quality.gate(summary, rate) for rate in (GATE_MIN_RATE, GATE_PASSES_AT))
+    return checked(strict.unionByName(low).drop("checked_at"))
 
 
 def q_reconciliation(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    """Stored marts against stored Silver, and one mart that lost a country: the check finds it."""
+
+    s, daily = lake.silver(spark, sf_dir), lake.content_daily(spark, sf_dir)
     out = quality.reconciliation(
         s,
         {
-            "content_daily": marts.content_daily(s),
-            "platform_hourly": marts.platform_hourly(s),
+            "content_daily": daily,
+            "platform_hourly": lake.platform_hourly(spark, sf_dir),
             "content_hourly": marts.content_hourly(s),
+            "content_daily_with_loss": daily.where(F.col("country") != LOST_COUNTRY),
         },
     )
     return checked(out)
 
 
 def q_key_skew(spark, sf_dir):
-    return checked(quality.key_skew(silver_plan(spark, sf_dir)))
+    return checked(quality.key_skew(lake.silver(spark, sf_dir)))
 
 
 def q_ingestion_lag(spark, sf_dir):
-    return checked(quality.ingestion_lag(silver_plan(spark, sf_dir)))
+    return checked(quality.ingestion_lag(lake.silver(spark, sf_dir)))
+
+
+def q_lag_by_day(spark, sf_dir):
+    """Hourly lag sketches merged to days, next to the exact quantiles of the days."""
+
+    return checked(quality.lag_by_day(lake.silver(spark, sf_dir)))
+
+
+def update_log(silver_rows: DataFrame) -> DataFrame:
+    """An append-only log of mart updates, derived from Silver: a batch ends every ten minutes
+    and writes the mart rows whose events were handed over in it. One batch in seven ends ten
+    minutes late, one in 97 writes nothing."""
+
+    slot = F.floor(F.unix_seconds("source_ingestion_ts") / 600)
+    rows = silver_rows.select(
+        F.date_trunc("hour", "event_ts").alias("window_start"), *quality.FRESHNESS_KEYS[1:], slot.alias("slot")
+    ).where(F.col("slot") % 97 != 0)
+    end = (F.col("slot") + F.when(F.col("slot") % 7 == 0, 2).otherwise(1)) * 600
+    return rows.distinct().select(*quality.FRESHNESS_KEYS, F.timestamp_seconds(end).alias("updated_at"))
+
+
+def q_freshness(spark, sf_dir):
+    s = lake.silver(spark, sf_dir)
+    return checked(quality.freshness(s, update_log(s)))
+
+
+def _split_runs(spark, sf_dir):
+    """Silver stored by a first run (with its id filter), and the arrivals of a second that
+    repeats some of its days."""
+
+    buckets = idfilter.buckets_for(IDS_PER_DAY)
+    all_ = lake.silver(spark, sf_dir)
+    path = scratch_path(spark, f"run-one-{uuid.uuid4().hex[:12]}")
+    lake.write_by_day(all_.where(F.col("event_date") < F.lit(UPSERT_TARGET_BEFORE).cast("date")), path)
+    one = spark.read.parquet(path)
+    filters = materialize(idfilter.id_filter(one, buckets), "ids")
+    two = all_.where(F.col("event_date") >= F.lit(UPSERT_UPDATES_FROM).cast("date"))
+    return one, filters, two, buckets
+
+
+def q_incremental_dedupe(spark, sf_dir):
+    """A second run whose input overlaps the first by five days adds its new ids only."""
+
+    one, filters, two, buckets = _split_runs(spark, sf_dir)
+    new = idfilter.not_stored(two, one, filters, buckets)
+    cols = ["event_id", "event_ts", "event_date", "event_type"]
+    return checked(one.select(*cols, F.lit(1).alias("run_no")).unionByName(new.select(*cols, F.lit(2).alias("run_no"))))
+
+
+def q_late_audit(spark, sf_dir):
+    """Valid events that a stored Silver lacks: here it lost every 31st offset."""
+
+    path = scratch_path(spark, f"lossy-{uuid.uuid4().hex[:12]}")
+    valid = lake.silver(spark, sf_dir)
+    lake.write_by_day(valid.where(F.col("offset") % LOST_EVERY != 0), path)
+    lossy = spark.read.parquet(path)
+    buckets = idfilter.buckets_for(IDS_PER_DAY)
+    filters = materialize(idfilter.id_filter(lossy, buckets), "ids")
+    missing = quality.late_audit_stored(valid, lossy, filters, buckets)
+    return checked(missing.select("event_id", "topic", "partition", "offset", "event_ts", "event_date"))
 
 
 def q_upsert_result(spark, sf_dir):
@@ -334,45 +436,65 @@ def q_upsert_result(spark, sf_dir):
     return checked(upsert_frame(target, updates, list(S.CONTENT_HOURLY_KEYS)))
 
 
+def _viewers_checked(sketched: DataFrame, exact: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact viewers of each group and whether the sketch's estimate is within its bound."""
+
+    real = exact.select(*keys, F.col("unique_viewers").alias("viewers"))
+    near = F.expr(f"abs(unique_viewers - viewers) <= {measures.viewers_bound('viewers')}")
+    return sketched.join(real, keys).withColumn("estimate_within_bound", near)
+
+
 def q_approx_viewers(spark, sf_dir):
-    """Stream-form content_hourly (approximate viewers); rows-only check."""
+    """Stream-form content_hourly (a viewers sketch) next to the exact viewers."""
+
+    s, keys = lake.silver(spark, sf_dir), list(S.CONTENT_HOURLY_KEYS)
+    out = _viewers_checked(marts.content_hourly(s, exact_viewers=False), marts.content_hourly(s), keys)
+    return checked(out.drop("unique_viewers", measures.SKETCH))
 
-    return checked(marts.content_hourly(silver(spark, sf_dir), exact_viewers=False))
+
+def q_viewers_rollup(spark, sf_dir):
+    """Hourly viewer sketches rolled up twice, to days and to the days of a country, next to
+    the exact distinct viewers of those groups."""
+
+    s = lake.silver(spark, sf_dir)
+    hourly = materialize(marts.content_hourly(s, exact_viewers=False).withColumn("event_date", F.to_date("window_start")), "sketched")
+    daily = measures.recombine(hourly, list(S.CONTENT_DAILY_KEYS))
+    country = measures.recombine(daily, ["event_date", "country"])
+    out = []
+    for level, rolled, keys in (("content", daily, list(S.CONTENT_DAILY_KEYS)), ("country", country, ["event_date", "country"])):
+        exact = s.groupBy(*keys).agg(F.count_distinct("user_id").alias("unique_viewers"))
+        shown = _viewers_checked(rolled, exact, keys)
+        none = [F.lit(None).cast("string").alias(c) for c in S.CONTENT_DAILY_KEYS if c not in keys]
+        out.append(shown.select(F.lit(level).alias("level"), *keys, *none, "event_count", "viewers", "estimate_within_bound"))
+    return checked(out[0].unionByName(out[1]))
 
 
 # ---- streaming queries -------------------------------------------------------
 
 
 def _stream_settings(spark: SparkSession, sf_dir: str):
-    """Land the raw fixture events as NDJSON files, one per event week in time
-    order, the retried copies last; return settings reading them one file
-    per micro-batch (availableNow)."""
+    """Land the raw fixture events as NDJSON files, one step per event week in time order.
 
-    import uuid
+    Half of the retried copies land with their week, the others in a last step after all
+    weeks. Each step is ``LANDING_FILES`` files and one micro-batch (availableNow).
+    """
 
     from playlake.config import Settings
-    from playlake.session import scratch_path
-    from playlake.sources.files import write_raw_ndjson
+    from playlake.sources.files import land_in_order
 
     root = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
-    # Group number: the event week (epoch weeks, rising with time) for first
-    # copies, the retried copies after every week.
-    staged = bronze(spark, sf_dir).selectExpr(
-        "raw_payload",
-        "CASE WHEN `partition` = 0 THEN floor(unix_seconds(broker_timestamp) / 604800) "
-        "ELSE 9223372036854775807 END AS _grp",
-    )
-    staged.select("raw_payload", "_grp").write.partitionBy("_grp").parquet(f"{root}/staged")
-    groups = sorted(r[0] for r in spark.read.parquet(f"{root}/staged").select("_grp").distinct().collect())
-    for i, g in enumerate(groups):
-        part = spark.read.parquet(f"{root}/staged").where(F.col("_grp") == g)
-        write_raw_ndjson(part.coalesce(1), f"{root}/landing/{i:04d}")
+    week = "floor(unix_seconds(broker_timestamp) / 604800)"
+    last = f"`partition` = 1 AND `offset` % {RETRY_LATE_EVERY} = 0"
+    staged = bronze(spark, sf_dir).selectExpr("raw_payload", f"CASE WHEN {last} THEN 9999999 ELSE {week} END AS step")
+    land_in_order(spark, staged, f"{root}/landing", "step", LANDING_FILES)
     return Settings(
         landing_path=f"{root}/landing/*",
         checkpoint_root=f"{root}/checkpoints",
         trigger_interval=None,
-        max_files_per_trigger=1,
+        max_files_per_trigger=LANDING_FILES,
+        bronze_path=f"{root}/bronze",
         silver_path=f"{root}/silver",
+        quarantine_path=f"{root}/quarantine",
         gold_paths={"platform_hourly": f"{root}/gold_platform_hourly"},
         source_partitions=spark.sparkContext.defaultParallelism,
     )
@@ -382,20 +504,49 @@ def q_stream_dedupe(spark, sf_dir):
     """Silver stream (strict contract, dedupe within a 15-minute watermark)
     over the landing files; equals the batch first-arrival Silver."""
 
+    st = _stream_settings(spark, sf_dir)
+    _silver_query(spark, st)
+    out = spark.read.parquet(st.silver_path)
+    return checked(out.select("event_id", "event_ts", "event_date", "user_id", "content_id", "event_type"))
+
+
+def _silver_query(spark, st):
     from playlake.streaming import jobs
 
-    st = _stream_settings(spark, sf_dir)
-    silver_s = jobs.silver_stream(jobs.bronze_source(spark, st), st)
     q = (
-        silver_s.writeStream.format("parquet")
+        jobs.silver_stream(jobs.bronze_source(spark, st), st)
+        .writeStream.format("parquet")
         .option("checkpointLocation", jobs.checkpoint_for(spark, st, "silver"))
         .outputMode("append")
         .trigger(availableNow=True)
         .start(st.silver_path)
     )
     q.awaitTermination()
-    out = spark.read.parquet(st.silver_path)
-    return checked(out.select("event_id", "event_ts", "event_date", "user_id", "content_id", "event_type"))
+    return q
+
+
+def q_stream_run_summary(spark, sf_dir):
+    """The Silver stream's own counts, batch by batch, from its observed metrics: no second
+    pass over any layer."""
+
+    from playlake.streaming import jobs
+
+    q = _silver_query(spark, _stream_settings(spark, sf_dir))
+    return checked(jobs.batch_summaries(spark, q, RUN_ID).drop("late_records"))
+
+
+def q_stream_fan_out(spark, sf_dir):
+    """One query that parses a batch once and writes Silver and quarantine from it; the rows of
+    both, with the batch that wrote them."""
+
+    from playlake.streaming import jobs
+
+    st = _stream_settings(spark, sf_dir)
+    jobs.start_fan_out(spark, st, idfilter.buckets_for(IDS_PER_DAY)).awaitTermination()
+    ok = spark.read.parquet(st.silver_path).select(F.lit("silver").alias("layer"), "event_id", F.lit(None).cast("string").alias("errors"), "source_batch_id")
+    bad = spark.read.parquet(st.quarantine_path)
+    bad = bad.select(F.lit("quarantine").alias("layer"), F.get_json_object("raw_payload", "$.event_id").alias("event_id"), F.concat_ws(",", "errors").alias("errors"), "source_batch_id")
+    return checked(ok.unionByName(bad).withColumnRenamed("source_batch_id", "batch_no"))
 
 
 def q_stream_platform_hourly(spark, sf_dir):
@@ -453,6 +604,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingestion_lag": q_ingestion_lag,
     "upsert_result": q_upsert_result,
     "approx_viewers": q_approx_viewers,
+    "viewers_rollup": q_viewers_rollup,
+    "mart_ordered": q_mart_ordered,
+    "lag_by_day": q_lag_by_day,
+    "freshness": q_freshness,
+    "incremental_dedupe": q_incremental_dedupe,
+    "late_audit": q_late_audit,
     "stream_dedupe": q_stream_dedupe,
+    "stream_run_summary": q_stream_run_summary,
+    "stream_fan_out": q_stream_fan_out,
     "stream_platform_hourly": q_stream_platform_hourly,
 }

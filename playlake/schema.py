@@ -46,6 +46,11 @@ UNKNOWN_TITLE = "Unknown"
 QOE_STARTUP_DIVISOR, QOE_STARTUP_CAP = 100.0, 30.0
 QOE_REBUFFER_WEIGHT, QOE_REBUFFER_CAP = 500.0, 40.0
 QOE_ERROR_WEIGHT, QOE_ERROR_CAP = 100.0, 30.0
+# Largest number the strict contract takes; beyond it, and for infinity, a row goes to
+# quarantine with the code of its number field. The lenient profile has no such rule and
+# takes what the marts can sum exactly (``functions.scalar.micros_sql``).
+MAX_NUMBER = 9.0e12
+MAX_SUMMED = 1.0e21
 # Serving precision of the marts.
 ROUND_RATE, ROUND_HOURS, ROUND_STARTUP, ROUND_SCORE = 4, 4, 2, 2
 # ---------------------------------------------------------------------------
@@ -166,7 +171,7 @@ MEASURES = (
     "qoe_score",
 )
 # Kept after the published measures so rates can be recombined exactly:
-# integer microseconds of watch, rebuffer and startup time, startup samples.
+# whole microseconds of watch, rebuffer and startup time, startup samples.
 RECOMBINABLE = ("watch_micros", "rebuffer_micros", "startup_micros", "startup_samples")
 
 CONTENT_DAILY_KEYS = ("event_date", "content_id", "country", "subscription_tier", "device_type")
@@ -189,10 +194,5 @@ def mart_schema(keys: tuple[str, ...], with_title: bool = False) -> T.StructType
         is_count = m in ("event_count", "plays", "unique_viewers", "completes", "playback_errors")
         fields.append(T.StructField(m, T.LongType() if is_count else T.DoubleType()))
     for m in RECOMBINABLE:
-        fields.append(T.StructField(m, T.LongType()))
+        fields.append(T.StructField(m, T.LongType() if m == "startup_samples" else T.DecimalType(38, 0)))
     return T.StructType(fields)
-
-# Largest number the contract takes: its micro-units fit a BIGINT, so that no
-# mart ever has to leave a value out. Beyond it, and for infinity, a row goes
-# to quarantine with the code of its number field.
-MAX_NUMBER = 9.0e12

@@ -100,7 +100,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if root:
         sc.setCheckpointDir(root)
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS, S3, ABFS, GCS) that every executor can reach"
@@ -110,6 +110,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it takes it."""
+
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, where = file_system(spark, path)
+    return fs.exists(where)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written intermediate."""
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlake.functions.scalar import BLANK
-from playlake.session import checkpoint_root
+from playlake.session import checkpoint_root, file_system
 
 
 # One row per input split (~128 MB of text): 1M rows is ~100 MB, enough for
@@ -76,16 +76,39 @@ def write_raw_ndjson(bronze: DataFrame, path: str, partitions: int | None = None
     df.write.mode("overwrite").text(path)
 
 
+def land_in_order(spark: SparkSession, rows: DataFrame, path: str, order: str, files: int = 1) -> None:
+    """Raw payloads as NDJSON files, ``files`` of them for each value of ``order``, in one
+    distributed write; a file stream reads them in that order.
+
+    A file stream takes files by their time of change, which says nothing after a parallel
+    write. So the times are set afterwards, a millisecond apart in the order of the values
+    (a call for each file on the driver; no data passes there).
+    """
+
+    dealt = rows.select(F.col("raw_payload").alias("value"), F.col(order).alias("step"))
+    deal = F.pmod(F.xxhash64("value"), F.lit(files))
+    dealt.repartition(F.col("step"), deal).write.mode("overwrite").partitionBy("step").text(path)
+    fs, where = file_system(spark, path)
+    steps = sorted((s.getPath() for s in fs.listStatus(where) if s.isDirectory()), key=lambda p: int(p.getName().split("=")[1]))
+    begin = 1_000_000_000_000
+    for at, f in enumerate(f for step in steps for f in fs.listStatus(step)):
+        fs.setTimes(f.getPath(), begin + 1000 * at, -1)
+
+
 def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Compact JSON per row, keys sorted, nulls kept as ``null``."""
 
     df.select(*sorted(df.columns)).write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header; an empty frame gives an empty output."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", keys: list[str] | None = None) -> None:
+    """CSV with a header; an empty frame gives an empty output. With ``keys`` the files
+    follow each other in key order (``operators.ordered``)."""
+
+    from playlake.operators.ordered import in_order
 
-    df.write.mode(mode).option("header", "true").csv(path)
+    out = in_order(df, keys) if keys else df
+    out.write.mode(mode).option("header", "true").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playlake import schema as S
 from playlake.functions.scalar import sql_literal
 
 # Fixed values of the fixture mapping (FIXTURES.md §2). The titles are our
@@ -33,15 +34,21 @@ CATALOGUE_TITLES = (
     "The Long Relay",
     "Paper Comets",
     "Northbound",
+    "A Field of Clocks",
+    "Understudy",
+    "Seven Tin Bridges",
+    "Low Tide Radio",
+    "The Glass Orchard",
+    "Winter Keys",
+    "Copper Saints",
+    "Ferry to Nowhere",
 )
-DEVICES_BY_USER = ("connected_tv", "mobile", "tablet", "web")
-COUNTRIES_BY_USER = ("US", "CA", "GB", "IN", "MX")
-TIERS_BY_USER = ("ad_supported", "standard", "premium")
-BITRATES = (800, 1500, 2500, 4000, 6000)
-ERROR_CODES = ("NETWORK_TIMEOUT", "DECODER_ERROR", "DRM_FAILURE")
+MARKETS = ("DE", "BR", "JP", "ZA", "NO", "PH", "PL")
+BITRATES = (450, 1200, 2200, 3600, 5200)
+ERROR_CODES = ("MANIFEST_GONE", "BUFFER_STALLED", "LICENSE_EXPIRED")
 DUPLICATE_EVERY = 50
 BAD_VERSION_EVERY = 97
-CONTENT_BASE = 101
+CONTENT_BASE = 7001
 
 
 def _pick(values: tuple, index_sql: str) -> str:
@@ -53,7 +60,7 @@ def _pick(values: tuple, index_sql: str) -> str:
 def playback_typed(events: DataFrame, content_key: str = "catalogue") -> DataFrame:
     """Typed playback rows (contract field types) plus arrival coordinates.
 
-    ``content_key='catalogue'`` maps ``k`` onto six titled contents;
+    ``content_key='catalogue'`` maps ``k`` onto the titled contents;
     ``content_key='part'`` uses ``k`` itself as the content key (title left
     NULL, to be joined from a content dimension). One narrow projection per
     step, written as SQL expressions; no shuffle.
@@ -68,8 +75,8 @@ def playback_typed(events: DataFrame, content_key: str = "catalogue") -> DataFra
     if content_key == "part":
         content_id, title = "concat('cnt_', CAST(k AS STRING))", "CAST(NULL AS STRING)"
     else:
-        content_id = f"concat('cnt_', CAST({CONTENT_BASE} + k % 6 AS STRING))"
-        title = _pick(CATALOGUE_TITLES, "k % 6")
+        content_id = f"concat('cnt_', CAST({CONTENT_BASE} + k % {len(CATALOGUE_TITLES)} AS STRING))"
+        title = _pick(CATALOGUE_TITLES, f"k % {len(CATALOGUE_TITLES)}")
     iso = sql_literal("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     session = "concat('ses_', CAST(user_id AS STRING), '_', date_format(ts_utc, 'yyyyMMdd'))"
     watch = "CASE WHEN event_type = 'click' THEN value ELSE 0.0D END"
@@ -83,9 +90,9 @@ def playback_typed(events: DataFrame, content_key: str = "catalogue") -> DataFra
         f"{session} AS session_id",
         f"{content_id} AS content_id",
         f"{title} AS content_title",
-        f"{_pick(DEVICES_BY_USER, 'user_id % 4')} AS device_type",
-        f"{_pick(COUNTRIES_BY_USER, 'user_id % 5')} AS country",
-        f"{_pick(TIERS_BY_USER, 'user_id % 3')} AS subscription_tier",
+        f"{_pick(S.DEVICE_TYPES, f'user_id % {len(S.DEVICE_TYPES)}')} AS device_type",
+        f"{_pick(MARKETS, f'user_id % {len(MARKETS)}')} AS country",
+        f"{_pick(S.SUBSCRIPTION_TIERS, f'user_id % {len(S.SUBSCRIPTION_TIERS)}')} AS subscription_tier",
         f"{watch} AS position_seconds",
         f"{watch} AS watch_seconds",
         "CASE WHEN event_type = 'view' THEN 150.0D + 20.0D * value END AS startup_ms",
@@ -109,8 +116,6 @@ def playback_raw(events: DataFrame, run_id: str = "fixture") -> DataFrame:
     the optional numbers and strings).
     """
 
-    from playlake import schema as S
-
     typed = playback_typed(events)
     payload = f"to_json(struct({', '.join(S.EVENT_FIELDS)}), map('ignoreNullFields', 'false'))"
     return typed.selectExpr(

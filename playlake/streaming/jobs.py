@@ -25,8 +25,9 @@ from pyspark.sql.streaming import StreamingQuery
 from playlake import schema as S
 from playlake.config import Settings
 from playlake.operators import layers, marts
+from playlake.operators.idfilter import combined, id_filter, not_stored
 from playlake.operators.upsert import batch_upsert_writer
-from playlake.session import checkpoint_root, ensure_semantics
+from playlake.session import checkpoint_root, ensure_semantics, file_system, materialize, path_exists
 
 MART_KEYS = {
     "content_hourly": list(S.CONTENT_HOURLY_KEYS),
@@ -73,11 +74,9 @@ def _ensure_dir(spark: SparkSession, path: str) -> None:
     """Create an upstream table folder if it does not exist yet, so a
     downstream query can start before the upstream one has committed."""
 
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        fs.mkdirs(hpath)
+    fs, where = file_system(spark, path)
+    if not fs.exists(where):
+        fs.mkdirs(where)
 
 
 def table_stream(spark: SparkSession, path: str, schema, settings: Settings, max_files: int | None = None) -> DataFrame:
@@ -99,12 +98,65 @@ def with_ingest_date(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("ingest_date", F.to_date("bronze_ingested_at"))
 
 
+#: Names of the metrics that a Silver stream reports with each micro-batch.
+OBSERVED_CONTRACT, OBSERVED_SILVER = "contract", "silver"
+
+
 def silver_stream(bronze: DataFrame, settings: Settings) -> DataFrame:
-    """classify -> valid -> typed Silver -> watermark -> dedupe within it."""
+    """classify -> valid -> typed Silver -> watermark -> dedupe within it.
 
-    classified = layers.classify(bronze, settings.contract_profile)
+    Two observations count on the way, in the pass that writes Silver: what came in and how
+    the contract judged it, and what was new. ``batch_summaries`` reads them.
+    """
+
+    classified = layers.classify(bronze, settings.contract_profile).observe(
+        OBSERVED_CONTRACT,
+        F.count(F.lit(1)).alias("input_records"),
+        F.count_if("is_valid").alias("valid_arrivals"),
+        F.count_if(~F.col("is_valid")).alias("quarantined_records"),
+    )
     typed = layers.to_silver_columns(layers.valid_rows(classified), profile=settings.contract_profile)
-    return dedupe_stream(typed, settings.watermark_delay)
+    deduped = dedupe_stream(typed, settings.watermark_delay)
+    return deduped.observe(OBSERVED_SILVER, F.count(F.lit(1)).alias("valid_records"))
+
+
+def batch_summaries(spark: SparkSession, query: StreamingQuery, run_id: str | None = None) -> DataFrame:
+    """Per micro-batch with input: batch_no, input_records, valid_records, duplicate_records
+    (repeats, late ones included), late_records (of those, dropped behind the watermark),
+    quarantined_records and the pass rate. Nothing is read again: the counts come with the
+    query's progress. A batch that was run twice counts once, by its last run.
+
+    Spark keeps the progress of the last ``spark.sql.streaming.numRecentProgressUpdates``
+    batches; a query that has run more is refused rather than summed up in part.
+    """
+
+    by_batch = {p["batchId"]: p for p in query.recentProgress}
+    if by_batch and sorted(by_batch) != list(range(max(by_batch) + 1)):
+        raise ValueError("progress of some batches is gone; raise spark.sql.streaming.numRecentProgressUpdates")
+    rows = []
+    for _, progress in sorted(by_batch.items()):
+        seen = progress["observedMetrics"]
+        if OBSERVED_CONTRACT not in seen or not seen[OBSERVED_CONTRACT]["input_records"]:
+            continue
+        contract, new = seen[OBSERVED_CONTRACT], seen[OBSERVED_SILVER]["valid_records"]
+        late = sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in progress.get("stateOperators", []))
+        rows.append((
+            run_id, len(rows), contract["input_records"], new, contract["valid_arrivals"] - new, late,
+            contract["quarantined_records"], round(new / contract["input_records"], 4),
+        ))
+    return spark.createDataFrame(
+        rows,
+        "run_id string, batch_no bigint, input_records bigint, valid_records bigint, duplicate_records bigint, "
+        "late_records bigint, quarantined_records bigint, quality_pass_rate double",
+    )
+
+
+def summary_of_batches(batches: DataFrame) -> DataFrame:
+    """The run summary of a stream: the sums of its batches."""
+
+    counts = ("input_records", "valid_records", "duplicate_records", "late_records", "quarantined_records")
+    total = batches.groupBy("run_id").agg(*[F.sum(c).alias(c) for c in counts])
+    return total.withColumn("quality_pass_rate", F.round(F.col("valid_records") / F.col("input_records"), 4))
 
 
 def dedupe_stream(silver_rows: DataFrame, watermark_delay: str) -> DataFrame:
@@ -192,6 +244,63 @@ def start_silver(spark: SparkSession, settings: Settings) -> tuple[StreamingQuer
     return valid_q, invalid_q
 
 
+def fan_out_writer(settings: Settings, buckets: int = 1):
+    """``foreachBatch`` callback: parse a batch once, write quarantine and Silver from it.
+
+    The classified batch is written once and both outputs are read from that copy. Each
+    output of a batch is a folder of its own (``source_batch_id=N``) that a replay replaces,
+    and ids of the same batch do not count as stored, so running a batch twice adds nothing.
+    Silver keeps the first arrival of each id ever, not of those in a horizon: ids stored by
+    earlier batches are found by the bitmaps of ``operators.idfilter`` and looked up in their
+    days only. ``buckets``: bitmaps a day, see ``idfilter.buckets_for``; fixed for a table.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mine = f"source_batch_id={int(batch_id)}"
+        ids_path = f"{settings.silver_path.rstrip('/')}_ids"
+        copy = materialize(layers.classify(batch.drop("ingest_date"), settings.contract_profile), f"classified-{batch_id}")
+        layers.quarantine(copy).write.mode("overwrite").parquet(f"{settings.quarantine_path}/{mine}")
+        arrivals = layers.dedupe_first_arrival(layers.valid_rows(copy), ("broker_timestamp", *S.ARRIVAL_ORDER))
+        rows = materialize(layers.to_silver_columns(arrivals, profile=settings.contract_profile), f"arrivals-{batch_id}")
+        earlier = _stored(spark, settings.silver_path, S.silver_schema(), batch_id)
+        if earlier is not None:
+            filters = _stored(spark, ids_path, "event_date date, bucket int, bitmap binary", batch_id)
+            rows = not_stored(rows, earlier, combined(filters), buckets)
+        ids = f"{ids_path}/{mine}"
+        # ids first: a filter may know too much, never too little
+        id_filter(rows, buckets).write.mode("overwrite").parquet(ids)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_date").parquet(
+            f"{settings.silver_path}/{mine}"
+        )
+
+    return write
+
+
+def _stored(spark: SparkSession, path: str, schema, batch_id: int) -> DataFrame | None:
+    """A table of batch folders without those of this batch, None before its first one."""
+
+    if not path_exists(spark, path):
+        return None
+    rows = spark.read.schema(schema).parquet(path)
+    if "source_batch_id" not in rows.columns:
+        rows = spark.read.parquet(path)
+    return rows.where(F.col("source_batch_id") != int(batch_id)).drop("source_batch_id")
+
+
+def start_fan_out(spark: SparkSession, settings: Settings, buckets: int = 1) -> StreamingQuery:
+    """One query from the source to Silver and quarantine: the source is read once a batch."""
+
+    ensure_semantics(spark)
+    w = (
+        bronze_source(spark, settings)
+        .writeStream.queryName("fan_out_playback_events")
+        .foreachBatch(fan_out_writer(settings, buckets))
+        .option("checkpointLocation", checkpoint_for(spark, settings, "fan_out"))
+    )
+    return _trigger(w, settings).start()
+
+
 def start_gold(spark: SparkSession, settings: Settings, mart: str = "content_hourly") -> StreamingQuery:
     """Stateful mart over the Silver table, upserted per micro-batch."""
 
@@ -240,10 +349,3 @@ def await_any(spark: SparkSession, queries: list[StreamingQuery]) -> None:
         for q in queries:
             if q.isActive:
                 q.stop()
-
-
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Late rows dropped by the query's stateful operators (last progress)."""
-
-    p = query.lastProgress or {}
-    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
