@@ -50,12 +50,19 @@ class Settings:
 
     @classmethod
     def from_env(cls, prefix: str = "PLAYLAKE_") -> Settings:
-        """Settings from ``PLAYLAKE_*`` variables (unset ones keep defaults)."""
+        """Settings from ``PLAYLAKE_*`` variables (unset ones keep defaults).
+
+        A mart's path is ``PLAYLAKE_GOLD_<MART>_PATH``, e.g. ``PLAYLAKE_GOLD_CONTENT_HOURLY_PATH``.
+        """
 
         kw: dict = {}
         for name, f in cls.__dataclass_fields__.items():
+            if name == "gold_paths":
+                paths = {m: os.environ.get(f"{prefix}GOLD_{m.upper()}_PATH", p) for m, p in f.default_factory().items()}
+                kw[name] = paths
+                continue
             raw = os.environ.get(prefix + name.upper())
-            if raw is None or name == "gold_paths":
+            if raw is None:
                 continue
             if name in ("max_offsets_per_trigger", "max_files_per_trigger", "source_partitions"):
                 kw[name] = int(raw)

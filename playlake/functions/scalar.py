@@ -68,10 +68,13 @@ def micros_sql(value: str, factor: float = 1_000_000.0) -> str:
     """Non-negative time value -> whole micro-units (NULL -> 0), DECIMAL(28,0).
 
     Any value up to ``schema.MAX_SUMMED`` fits, and a sum (DECIMAL(38,0)) has room for
-    10^10 of the largest: no value is ever left out and no sum overflows.
+    10^10 of the largest: no sum overflows. Beyond it are only infinity, NaN and times of
+    more than 3 * 10^13 years, which the strict contract rejects; an event that the lenient
+    gate lets in with such a value is counted and adds no time.
     """
 
-    return f"CAST(round(coalesce({value}, 0.0D) * {dbl(factor)}) AS DECIMAL(28, 0))"
+    amount = f"coalesce({value}, 0.0D)"
+    return f"CAST(CASE WHEN abs({amount}) <= {S.MAX_SUMMED!r}D THEN round({amount} * {dbl(factor)}) ELSE 0.0D END AS DECIMAL(28, 0))"
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

@@ -20,7 +20,8 @@ from playlake import schema as S
 from playlake.functions.scalar import pseudonymous_id
 from playlake.operators import idfilter, layers, marts, measures, ordered, quality
 from playlake.plans import analyses, lake, sql_reports
-from playlake.sources.fixture import content_dimension_from_part, playback_raw, playback_typed
+from playlake.sources import files
+from playlake.sources.fixture import content_dimension_from_part, playback_broken, playback_raw, playback_typed
 from playlake.session import ensure_semantics, materialize, scratch_path
 from playlake.sources.tables import read_table, spread
 
@@ -123,6 +124,19 @@ def q_contract_errors_raw(spark, sf_dir):
     return checked(c.select("event_id", "topic", "partition", "offset", "errors", "is_valid"))
 
 
+def q_contract_broken(spark, sf_dir):
+    """Payloads broken in every way the contract knows: the strict errors, and what the lenient
+    gate makes of those that are one JSON object."""
+
+    rows = playback_broken(events(spark, sf_dir))
+    at = ["topic", "partition", "offset"]
+    strict = layers.classify(rows, "strict").select(*at, "way", "errors", "is_valid")
+    lenient = layers.classify(rows, "lenient").select(*at, F.col("is_valid").alias("ok"))
+    object_ = ~F.col("way").isin(1, 2, 12, 13)
+    joined = strict.join(lenient, at).withColumn("lenient_valid", F.when(object_, F.col("ok")))
+    return checked(joined.drop("ok", "topic"))
+
+
 def q_silver_strict(spark, sf_dir):
     """Full strict path from raw JSON: variant contract -> dedupe -> Silver."""
 
@@ -340,6 +354,35 @@ def q_quality_gate(spark, sf_dir):
     return checked(strict.unionByName(low).drop("checked_at"))
 
 
+def q_sinks(spark, sf_dir):
+    """The served daily mart through each file sink and back: rows, sums, and whether the rows
+    that were read are those that were written; the run summary likewise."""
+
+    keys = list(S.CONTENT_DAILY_KEYS)
+    mart = measures.serve(lake.content_daily(spark, sf_dir))
+    root = scratch_path(spark, f"sinks-{uuid.uuid4().hex[:12]}")
+    schema = S.mart_schema(S.CONTENT_DAILY_KEYS, with_title=True)
+    mart = mart.select(*schema.fieldNames())
+    files.write_csv(mart, f"{root}/csv", keys=keys)
+    files.write_ndjson(mart, f"{root}/ndjson")
+    back = {"csv": files.read_csv(spark, f"{root}/csv", schema), "ndjson": spark.read.schema(schema).json(f"{root}/ndjson").select(*schema.fieldNames())}
+    out = []
+    for sink, rows in back.items():
+        # equal multisets: every row as often on one side as on the other
+        row = F.to_json(F.struct(*schema.fieldNames()), {"ignoreNullFields": "false"})
+        both = mart.select(row.alias("r"), F.lit(1).alias("n")).unionAll(rows.select(row.alias("r"), F.lit(-1).alias("n")))
+        off = both.groupBy("r").agg(F.sum("n").alias("n")).agg(F.count_if(F.col("n") != 0).alias("off"))
+        sums = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("event_count").alias("events"), F.sum("plays").alias("plays"))
+        out.append(sums.join(F.broadcast(off), F.lit(True)).select(F.lit(sink).alias("sink"), "rows", "events", "plays", (F.col("off") == 0).alias("same_rows")))
+    files.write_summary(_summary(spark, sf_dir), f"{root}/summary")
+    kept = files.read_summary(spark, f"{root}/summary", files.summary_schema())
+    out.append(kept.select(
+        F.lit("run_summary").alias("sink"), F.lit(1).cast("long").alias("rows"), F.col("input_records").alias("events"),
+        F.col("valid_records").alias("plays"), (F.col("run_id") == RUN_ID).alias("same_rows"),
+    ))
+    return checked(out[0].unionByName(out[1]).unionByName(out[2]))
+
+
 def q_reconciliation(spark, sf_dir):
     """Stored marts against stored Silver, and one mart that lost a country: the check finds it."""
 
@@ -556,8 +599,10 @@ def q_stream_platform_hourly(spark, sf_dir):
     from playlake.streaming import jobs
 
     st = _stream_settings(spark, sf_dir)
+    from playlake.operators.upsert import read_current
+
     jobs.start_direct_gold(spark, st, "platform_hourly").awaitTermination()
-    gold = spark.read.parquet(st.gold_paths["platform_hourly"])
+    gold = read_current(spark, st.gold_paths["platform_hourly"])
     cols = [c for c in S.PLATFORM_HOURLY_KEYS + S.MEASURES + S.RECOMBINABLE if c != "unique_viewers"]
     return checked(gold.select(*cols))
 
@@ -566,6 +611,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_projection": q_bronze_projection,
     "contract_errors_typed": q_contract_errors_typed,
     "contract_errors_raw": q_contract_errors_raw,
+    "contract_broken": q_contract_broken,
     "silver_strict": q_silver_strict,
     "quarantine_strict": q_quarantine_strict,
     "quarantine_replay": q_quarantine_replay,
@@ -606,6 +652,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "approx_viewers": q_approx_viewers,
     "viewers_rollup": q_viewers_rollup,
     "mart_ordered": q_mart_ordered,
+    "sinks": q_sinks,
     "lag_by_day": q_lag_by_day,
     "freshness": q_freshness,
     "incremental_dedupe": q_incremental_dedupe,

@@ -47,8 +47,8 @@ QOE_STARTUP_DIVISOR, QOE_STARTUP_CAP = 100.0, 30.0
 QOE_REBUFFER_WEIGHT, QOE_REBUFFER_CAP = 500.0, 40.0
 QOE_ERROR_WEIGHT, QOE_ERROR_CAP = 100.0, 30.0
 # Largest number the strict contract takes; beyond it, and for infinity, a row goes to
-# quarantine with the code of its number field. The lenient profile has no such rule and
-# takes what the marts can sum exactly (``functions.scalar.micros_sql``).
+# quarantine with the code of its number field. The lenient profile has no such rule; the
+# marts sum any value up to MAX_SUMMED exactly (``functions.scalar.micros_sql``).
 MAX_NUMBER = 9.0e12
 MAX_SUMMED = 1.0e21
 # Serving precision of the marts.

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from importlib.util import find_spec
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. They are applied only where the session does
 # not already carry a value, so a cluster's spark-submit configuration wins.
@@ -46,6 +50,18 @@ def ensure_semantics(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def delta_conf() -> dict[str, str]:
+    """Extension and catalog of Delta tables, where the connector is installed; without them a
+    Delta table can neither be merged into nor created by name."""
+
+    if find_spec("delta") is None:
+        return {}
+    return {
+        "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
+        "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+    }
+
+
 def build_session(
     app_name: str = "playlake",
     master: str | None = None,
@@ -62,7 +78,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(SESSION_DEFAULTS)
+    conf = {**SESSION_DEFAULTS, **delta_conf()}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -139,8 +155,6 @@ def materialize(df, name: str, partition_by: str | None = None):
     writes a fresh folder (concurrent callers never share one).
     """
 
-    import uuid
-
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     writer = df.write.mode("overwrite")
@@ -148,3 +162,22 @@ def materialize(df, name: str, partition_by: str | None = None):
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, where = file_system(spark, path)
+    fs.delete(where, True)
+
+
+@contextmanager
+def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared checkpoint folder and read back, for as long as the block
+    runs: for a frame that several actions read and nobody needs afterwards."""
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(spark, path)

@@ -10,14 +10,12 @@ offset plus its position in the split.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlake.functions.scalar import BLANK
-from playlake.session import checkpoint_root, file_system
+from playlake.session import checkpoint_root, file_system, written
 
 
 # One row per input split (~128 MB of text): 1M rows is ~100 MB, enough for
@@ -145,33 +143,56 @@ def read_summary(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.json(path)
 
 
-def compact(spark: SparkSession, path: str, partition_by: str, fmt: str = "parquet", files_per_partition: int = 1) -> None:
-    """Rewrite a partitioned table with ``files_per_partition`` files per
-    partition value (dynamic overwrite: only partitions present are replaced).
+#: Size that compaction aims at, and how many files below half of it make a partition worth it.
+TARGET_BYTES, MANY_SMALL = 256 << 20, 4
+
 
-    The rows are first written to a staging folder next to the table, so the
-    overwrite never reads the files it replaces; a lost executor during the
-    rewrite recomputes from the staging copy.
+def compaction_plan(
+    spark: SparkSession, path: str, partition_by: str, target_bytes: int = TARGET_BYTES, many_small: int = MANY_SMALL
+) -> DataFrame:
+    """Partitions with at least ``many_small`` files below half the target: their value, files,
+    bytes, and ``new_files``, the number of files that brings them near the target.
+
+    Only names and sizes are listed (in parallel), no row is read.
     """
 
-    from playlake.session import scratch_path
-
-    # A folder of its own for each call: tables of one name must not meet.
-    staging = scratch_path(spark, f"compact-{uuid.uuid4().hex}")
-    spark.read.format(fmt).load(path).write.format(fmt).partitionBy(partition_by).save(staging)
-    staged = spark.read.format(fmt).load(staging)
-    (
-        # Deterministic bucket per row, so a retried map task routes rows the
-        # same way (a random key would not survive task re-execution).
-        staged.repartition(
-            F.col(partition_by), F.pmod(F.xxhash64(*[F.col(c) for c in staged.columns]), F.lit(files_per_partition))
-        )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .format(fmt)
-        .partitionBy(partition_by)
-        .save(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(partition_by, "length")
+    per = files.groupBy(partition_by).agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("length").alias("bytes"),
+        F.count_if(F.col("length") < target_bytes / 2).alias("small_files"),
     )
+    out = per.withColumn("new_files", F.greatest(F.lit(1), F.round(F.col("bytes") / target_bytes)).cast("int"))
+    return out.where((F.col("small_files") >= many_small) & (F.col("new_files") < F.col("files")))
+
+
+def compact(
+    spark: SparkSession, path: str, partition_by: str, target_bytes: int = TARGET_BYTES, many_small: int = MANY_SMALL
+) -> DataFrame:
+    """Rewrite the partitions that ``compaction_plan`` names, others stay as they are; returns the plan.
+
+    The chosen partitions are copied to a staging folder first, so the overwrite (of those
+    partitions only) never reads the files that it replaces and a lost executor starts again
+    from the copy. A row's file follows from a hash of the row, so a repeated task deals rows
+    the same way; each new file is one task. The staging folder is deleted at the end.
+    """
+
+    with written(compaction_plan(spark, path, partition_by, target_bytes, many_small), "compaction-plan") as stored_plan:
+        plan = spark.createDataFrame(stored_plan.collect(), stored_plan.schema)  # a row for each partition to rewrite
+        total = plan.agg(F.sum("new_files")).first()[0]
+        if not total:
+            return plan
+        first = F.sum("new_files").over(Window.orderBy(partition_by)) - F.col("new_files")
+        bins = plan.select(F.col(partition_by).alias("_part"), F.col("new_files").alias("_files"), first.alias("_first"))
+        table = spark.read.parquet(path)
+        # the plan has a row for each partition: a bound for the broadcast, and Spark prunes the others
+        chosen = table.join(F.broadcast(bins), F.col(partition_by) == F.col("_part"))
+        with written(chosen, "compaction") as staged:
+            file_no = F.col("_first") + F.pmod(F.xxhash64(*[F.col(c) for c in table.columns]), F.col("_files"))
+            dealt = staged.repartitionById(int(total), file_no.cast("int")).select(*table.columns)
+            writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(partition_by).parquet(path)
+        return plan
 
 
 def bronze_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

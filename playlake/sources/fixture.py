@@ -130,6 +130,44 @@ def playback_raw(events: DataFrame, run_id: str = "fixture") -> DataFrame:
     )
 
 
+#: Ways to break a payload (fixed values of the fixture): number of the way -> the changed
+#: column as SQL, for those that change a value before the payload is written ...
+BROKEN_COLUMNS = {
+    3: ("country", "' '"),
+    4: ("user_id", "CAST(NULL AS STRING)"),
+    5: ("event_ts", "replace(event_ts, 'Z', '')"),
+    6: ("watch_seconds", "-1.0D"),
+    9: ("device_type", "'fridge'"),
+    10: ("ingestion_ts", "'yesterday'"),
+    11: ("position_seconds", "1.0E13D"),
+    15: ("subscription_tier", "CAST(NULL AS STRING)"),
+    16: ("rebuffer_seconds", "watch_seconds + 5.0D"),
+}
+#: ... and the payload as SQL, for those that change its text.
+BROKEN_TEXTS = {
+    1: "substr(p, 1, length(p) - 3)",
+    2: "concat('[', p, ']')",
+    7: "regexp_replace(p, '\"bitrate_kbps\":([0-9.]+)', '\"bitrate_kbps\":\"$1\"')",
+    8: "regexp_replace(p, '\"schema_version\":[0-9]+', '\"schema_version\":true')",
+    12: "concat(p, '}')",
+    13: "'\"just text\"'",
+    14: "regexp_replace(p, '\"profile_id\":\"[^\"]*\"', '\"profile_id\":12')",
+}
+BROKEN_WAYS = 17  # 0: unbroken
+
+
+def playback_broken(events: DataFrame) -> DataFrame:
+    """Bronze rows whose payloads break the contract in way ``way`` = source event_id % 17."""
+
+    typed = playback_typed(events).withColumn("way", F.col("offset") % BROKEN_WAYS)
+    changed = {c: f"CASE WHEN way = {n} THEN {sql} ELSE `{c}` END" for n, (c, sql) in BROKEN_COLUMNS.items()}
+    typed = typed.selectExpr(*[f"{changed[c]} AS `{c}`" if c in changed else f"`{c}`" for c in typed.columns])
+    payload = f"to_json(struct({', '.join(S.EVENT_FIELDS)}), map('ignoreNullFields', 'false'))"
+    rows = typed.selectExpr("topic", "`partition`", "`offset`", "CAST(way AS INT) AS way", f"{payload} AS p")
+    text = " ".join(f"WHEN {n} THEN {sql}" for n, sql in BROKEN_TEXTS.items())
+    return rows.selectExpr("topic", "`partition`", "`offset`", "way", f"CASE way {text} ELSE p END AS raw_payload")
+
+
 def content_dimension_from_part(part: DataFrame) -> DataFrame:
     """Content dimension (content_id, content_title) from the ``part`` table."""
 

@@ -27,7 +27,7 @@ from playlake.config import Settings
 from playlake.operators import layers, marts
 from playlake.operators.idfilter import combined, id_filter, not_stored
 from playlake.operators.upsert import batch_upsert_writer
-from playlake.session import checkpoint_root, ensure_semantics, file_system, materialize, path_exists
+from playlake.session import checkpoint_root, ensure_semantics, file_system, path_exists, written
 
 MART_KEYS = {
     "content_hourly": list(S.CONTENT_HOURLY_KEYS),
@@ -259,33 +259,33 @@ def fan_out_writer(settings: Settings, buckets: int = 1):
         spark = batch.sparkSession
         mine = f"source_batch_id={int(batch_id)}"
         ids_path = f"{settings.silver_path.rstrip('/')}_ids"
-        copy = materialize(layers.classify(batch.drop("ingest_date"), settings.contract_profile), f"classified-{batch_id}")
-        layers.quarantine(copy).write.mode("overwrite").parquet(f"{settings.quarantine_path}/{mine}")
-        arrivals = layers.dedupe_first_arrival(layers.valid_rows(copy), ("broker_timestamp", *S.ARRIVAL_ORDER))
-        rows = materialize(layers.to_silver_columns(arrivals, profile=settings.contract_profile), f"arrivals-{batch_id}")
-        earlier = _stored(spark, settings.silver_path, S.silver_schema(), batch_id)
-        if earlier is not None:
-            filters = _stored(spark, ids_path, "event_date date, bucket int, bitmap binary", batch_id)
-            rows = not_stored(rows, earlier, combined(filters), buckets)
-        ids = f"{ids_path}/{mine}"
-        # ids first: a filter may know too much, never too little
-        id_filter(rows, buckets).write.mode("overwrite").parquet(ids)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_date").parquet(
-            f"{settings.silver_path}/{mine}"
-        )
+        classified = layers.classify(batch.drop("ingest_date"), settings.contract_profile)
+        with written(classified, f"classified-{batch_id}") as copy:
+            layers.quarantine(copy).write.mode("overwrite").parquet(f"{settings.quarantine_path}/{mine}")
+            arrivals = layers.dedupe_first_arrival(layers.valid_rows(copy), ("broker_timestamp", *S.ARRIVAL_ORDER))
+            with written(layers.to_silver_columns(arrivals, profile=settings.contract_profile), f"arrivals-{batch_id}") as rows:
+                earlier = _other_batches(spark, settings.silver_path, batch_id)
+                if earlier is not None:
+                    filters = combined(_other_batches(spark, ids_path, batch_id))
+                    rows = not_stored(rows, earlier, filters, buckets)
+                # ids first: a filter may know too much, never too little
+                id_filter(rows, buckets).write.mode("overwrite").parquet(f"{ids_path}/{mine}")
+                (
+                    rows.write.mode("overwrite")
+                    .option("partitionOverwriteMode", "static")
+                    .partitionBy("event_date")
+                    .parquet(f"{settings.silver_path}/{mine}")
+                )
 
     return write
 
 
-def _stored(spark: SparkSession, path: str, schema, batch_id: int) -> DataFrame | None:
-    """A table of batch folders without those of this batch, None before its first one."""
+def _other_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """A table of batch folders without that of this batch, None before the first one."""
 
     if not path_exists(spark, path):
         return None
-    rows = spark.read.schema(schema).parquet(path)
-    if "source_batch_id" not in rows.columns:
-        rows = spark.read.parquet(path)
-    return rows.where(F.col("source_batch_id") != int(batch_id)).drop("source_batch_id")
+    return spark.read.parquet(path).where(F.col("source_batch_id") != int(batch_id)).drop("source_batch_id")
 
 
 def start_fan_out(spark: SparkSession, settings: Settings, buckets: int = 1) -> StreamingQuery:

@@ -56,17 +56,6 @@ def test_late_audit_finds_missing_ids(spark):
     assert [r[0] for r in missing] == [victim]
 
 
-def test_freshness_share(spark):
-    silver = catalog.silver_plan(spark, SF)
-    keys = ["content_id", "country", "subscription_tier", "device_type"]
-    updates = silver.groupBy(F.date_trunc("hour", "event_ts").alias("window_start"), *keys).agg(
-        (F.max("source_ingestion_ts") + F.expr("INTERVAL 1 MINUTE")).alias("last_updated_at")
-    )
-    r = quality.freshness(silver, updates, within_seconds=300).first()
-    assert r["events"] == silver.count()
-    assert 0.0 < r["share_within_target"] <= 1.0
-
-
 def test_ndjson_numbering_across_files(spark, tmp_path):
     lines_a = ["{}", "", "  ", "[1]"]
     lines_b = ['{"a": 1}', "not json"]

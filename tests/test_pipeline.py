@@ -16,7 +16,7 @@ EXPECTED = {
     "valid_records": 793,
     "duplicate_records": 16,
     "quarantined_records": 211,
-    "gold_content_daily_rows": 686,
+    "gold_content_daily_rows": 734,
     "gold_platform_hourly_rows": 759,
     "quality_pass_rate": 0.7775,
 }
@@ -58,7 +58,7 @@ def test_layers_written(run):
     q = spark.read.parquet(f"{out}/quarantine")
     assert q.count() == 211
     assert q.where(F.size("errors") == 0).count() == 0
-    assert spark.read.parquet(f"{out}/content_daily").count() == 686
+    assert spark.read.parquet(f"{out}/content_daily").count() == 734
 
 
 def test_gate(run):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from playlake.config import Settings
 from playlake.operators import layers, marts
-from playlake.operators.upsert import batch_upsert_writer
+from playlake.operators.upsert import batch_upsert_writer, read_current
 from playlake.plans import catalog
 from playlake.sources import files
 from playlake.streaming import jobs
@@ -101,10 +101,10 @@ def test_upsert_replay_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "gold")
     write = batch_upsert_writer(path, jobs.MART_KEYS["content_hourly"], "event_date")
     write(mart, 0)
-    first = spark.read.parquet(path).drop("last_updated_at", "source_batch_id")
+    first = read_current(spark, path).drop("last_updated_at", "source_batch_id")
     snap = sorted(tuple(r) for r in first.collect())
     write(mart, 0)  # the same batch delivered again
-    again = spark.read.parquet(path).drop("last_updated_at", "source_batch_id")
+    again = read_current(spark, path).drop("last_updated_at", "source_batch_id")
     assert sorted(tuple(r) for r in again.collect()) == snap
     assert len(snap) == mart.count()
 
@@ -135,9 +135,9 @@ def test_stream_equals_batch_across_restart(spark, tmp_path):
     # First run sees all files; a second run on the same checkpoint must
     # find nothing new and leave the mart unchanged.
     jobs.start_direct_gold(spark, st, "platform_hourly").awaitTermination()
-    first = spark.read.parquet(str(tmp_path / "gold_ph")).count()
+    first = read_current(spark, str(tmp_path / "gold_ph")).count()
     jobs.start_direct_gold(spark, st, "platform_hourly").awaitTermination()
-    gold = spark.read.parquet(str(tmp_path / "gold_ph"))
+    gold = read_current(spark, str(tmp_path / "gold_ph"))
     assert gold.count() == first
     cols = ["window_start", "country", "device_type", "event_count", "plays", "completes", "playback_errors",
             "watch_micros", "rebuffer_micros", "startup_micros", "startup_samples", "qoe_score"]
@@ -175,7 +175,7 @@ def test_multi_hop_jobs(spark, tmp_path):
     bronze = spark.read.parquet(st.bronze_path)
     silver = spark.read.parquet(st.silver_path)
     quarantine = spark.read.parquet(st.quarantine_path)
-    gold = spark.read.parquet(st.gold_paths["content_hourly"])
+    gold = read_current(spark, st.gold_paths["content_hourly"])
     assert bronze.count() == sum(len(s) for s in steps) + 2
     assert quarantine.count() == 2
     assert sorted(r[0] for r in quarantine.selectExpr("concat_ws(',', errors)").collect()) == [
@@ -185,10 +185,121 @@ def test_multi_hop_jobs(spark, tmp_path):
     assert gold.agg(F.sum("event_count")).first()[0] == silver.count()
     snapshot = sorted(tuple(r) for r in gold.drop("last_updated_at", "source_batch_id").collect())
     run_all_hops()  # nothing new: every hop finds its checkpoint up to date
-    gold2 = spark.read.parquet(st.gold_paths["content_hourly"]).drop("last_updated_at", "source_batch_id")
+    gold2 = read_current(spark, st.gold_paths["content_hourly"]).drop("last_updated_at", "source_batch_id")
     assert sorted(tuple(r) for r in gold2.collect()) == snapshot
 
 
+def test_batch_summaries_equal_the_batch_run(spark, tmp_path):
+    """Counts observed by the Silver stream, batch by batch: late rows are repeats that the
+    watermark drops, and the sums are those of the batch summary."""
+
+    from playlake.operators import quality
+
+    st = catalog._stream_settings(spark, SF)
+    q = catalog._silver_query(spark, st)
+    batches = jobs.batch_summaries(spark, q, "r")
+    total = jobs.summary_of_batches(batches).first()
+    want = quality.run_summary(catalog.classified_raw(spark, SF), "r").first()
+    for c in ("input_records", "valid_records", "duplicate_records", "quarantined_records", "quality_pass_rate"):
+        assert total[c] == want[c], c
+    rows = batches.orderBy("batch_no").collect()
+    # half of the retries come with their week and meet live state, the others come late
+    assert sum(r["duplicate_records"] for r in rows[:-1]) > 0 and rows[-1]["late_records"] > 0
+    assert rows[-1]["valid_records"] == 0
+
+
+def test_summaries_refuse_lost_progress(spark):
+    class Query:
+        recentProgress = [{"batchId": 3, "observedMetrics": {}}]
+
+    with pytest.raises(ValueError):
+        jobs.batch_summaries(spark, Query())
+
+
+def _rows(spark, path, *cols):
+    return sorted(tuple(r) for r in spark.read.parquet(path).selectExpr(*cols).collect())
+
+
+def test_fan_out_replay_adds_nothing(spark, tmp_path):
+    """A batch that is delivered again replaces its own folders; a repeat far beyond any
+    watermark is found by the id bitmaps."""
+
+    st = _settings(tmp_path).with_(silver_path=str(tmp_path / "silver"), quarantine_path=str(tmp_path / "quarantine"))
+    write = jobs.fan_out_writer(st)
+
+    def batch(rows):
+        payloads = [(None, p, "t", 0, i, None, None, None) for i, p in enumerate(rows)]
+        from playlake import schema as S
+
+        return spark.createDataFrame(payloads, S.bronze_schema())
+
+    one = batch([_event("a", "2026-07-01T00:00:00Z"), _event("a", "2026-07-01T00:00:00Z"), "not json", _event("b", "2026-07-02T00:00:00Z")])
+    two = batch([_event("a", "2026-07-01T00:00:00Z"), _event("c", "2026-07-09T00:00:00Z"), "[]"])
+    ids = lambda: _rows(spark, st.silver_path, "event_id", "source_batch_id")
+    bad = lambda: _rows(spark, st.quarantine_path, "raw_payload", "source_batch_id")
+    write(one, 0)
+    write(one, 0)
+    assert ids() == [("a", 0), ("b", 0)] and bad() == [("not json", 0)]
+    write(two, 1)
+    write(two, 1)
+    assert ids() == [("a", 0), ("b", 0), ("c", 1)] and bad() == [("[]", 1), ("not json", 0)]
+    write(one, 0)  # a late replay of the first batch
+    assert ids() == [("a", 0), ("b", 0), ("c", 1)]
+
+
+def test_fan_out_reads_the_source_once_a_batch(spark, tmp_path):
+    _land(str(tmp_path / "landing"), STEPS)
+    st = _settings(tmp_path).with_(silver_path=str(tmp_path / "silver"), quarantine_path=str(tmp_path / "quarantine"))
+    q = jobs.start_fan_out(spark, st)
+    q.awaitTermination()
+    assert q.recentProgress and all(p["numInputRows"] == len(rows) for p, rows in zip(q.recentProgress, STEPS))
+    assert [r[0] for r in _rows(spark, st.silver_path, "event_id")] == ["a", "b", "c", "d", "e", "late", "later"]
+
+
+def test_state_survives_a_restart_and_shrinks(spark, tmp_path):
+    """A second run on the same checkpoint, with new files: a retry inside the horizon still
+    meets its state, a late one is dropped, and the state store holds only ids behind the
+    watermark's horizon."""
+
+    landing = tmp_path / "landing"
+    _land(str(landing), [[("a", "00:00"), ("b", "00:01")], [("c", "02:00")]])
+    st = _settings(tmp_path).with_(silver_path=str(tmp_path / "silver"))
+    checkpoint = jobs.checkpoint_for(spark, st, "silver")
+
+    def run():
+        q = (jobs.silver_stream(jobs.bronze_source(spark, st), st).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(st.silver_path))
+        q.awaitTermination()
+        return q
+
+    def state_ids():
+        rows = spark.read.format("statestore").load(checkpoint).selectExpr("key.event_id").collect()
+        return sorted(r[0] for r in rows)
+
+    run()
+    assert state_ids() == ["c"]  # a and b left the state behind the watermark
+    for i, rows in enumerate([[("c", "02:00"), ("d", "02:05")], [("b", "00:01"), ("e", "03:00")], [("f", "05:00")]], start=2):
+        path = landing / f"step-{i:02d}.json"
+        path.write_text("".join(_event(e, f"2026-07-01T{hm}:00Z") + "\n" for e, hm in rows))
+        os.utime(path, (1_700_000_000 + i * 10,) * 2)
+    q = run()
+    got = sorted(r[0] for r in spark.read.parquet(st.silver_path).select("event_id").collect())
+    assert got == ["a", "b", "c", "d", "e", "f"]  # the retry of c met its state, that of b was late
+    assert sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p["stateOperators"]) == 1
+    assert state_ids() == ["f"]
+
+
+def test_one_query_ends_all(spark, tmp_path):
+    _land(str(tmp_path / "landing"), STEPS[:1])
+    st = _settings(tmp_path).with_(bronze_path=str(tmp_path / "bronze"))
+    spark.streams.resetTerminated()
+    ends = jobs.start_bronze(spark, st)
+    waits = st.with_(trigger_interval="1 second", silver_path=str(tmp_path / "silver"), gold_paths={"platform_hourly": str(tmp_path / "gold")})
+    stays = jobs.start_gold(spark, waits, "platform_hourly")
+    jobs.await_any(spark, [ends, stays])
+    assert not stays.isActive
+
+
 def test_downstream_starts_before_upstream_exists(spark, tmp_path):
     """run_all order: Gold may start before Silver has written anything."""
 
