@@ -19,11 +19,20 @@ TURNS = "array<struct<role:string,text:string>>"
 
 @dataclass(frozen=True)
 class Layout:
-    """Field paths of a record and how to read its turns, as SQL over ``r`` (the parsed record)."""
+    """Field paths that a record must have, those it may have, and how to read its turns, as
+    SQL over ``r`` (the parsed record)."""
 
     name: str
     paths: tuple[str, ...]
     turns: str
+    optional: tuple[str, ...] = ()
+
+    def fingerprints(self) -> list[Column]:
+        """One for each set of paths that the layout allows."""
+        sets = [self.paths]
+        for p in self.optional:
+            sets += [(*s, p) for s in sets]
+        return [fingerprint(F.array(*[F.lit(p) for p in sorted(s)])) for s in sets]
 
 
 def _fields(*pairs: tuple[str, str]) -> str:
@@ -35,22 +44,35 @@ RECORD = (
     "struct<messages:array<struct<role:string,content:string>>,conversations:array<struct<from:string,value:string>>,"
     "prompt:string,completion:string,system:string,instruction:string,input:string,output:string>"
 )
+#: A system text beside the list of turns is its first turn.
+_SYSTEM = "if(r.system is null, array(), array(named_struct('role', 'system', 'text', r.system)))"
 LAYOUTS = (
-    Layout("messages", ("messages[].content", "messages[].role"), "transform(r.messages, m -> named_struct('role', m.role, 'text', m.content))"),
+    Layout(
+        "messages",
+        ("messages[].content", "messages[].role"),
+        f"concat({_SYSTEM}, transform(r.messages, m -> named_struct('role', m.role, 'text', m.content)))",
+        ("system",),
+    ),
     Layout(
         "conversations",
         ("conversations[].from", "conversations[].value"),
-        "transform(r.conversations, m -> named_struct('role', case m.from when 'human' then 'user' when 'gpt' then 'assistant' else m.from end, 'text', m.value))",
+        f"concat({_SYSTEM}, transform(r.conversations, m -> named_struct('role', case m.from when 'human' then 'user' when 'gpt' then 'assistant' else m.from end, 'text', m.value)))",
+        ("system",),
     ),
-    Layout("prompt", ("completion", "prompt"), _fields(("user", "prompt"), ("assistant", "completion"))),
+    Layout("no_messages", ("messages",), "array()", ("system",)),
+    Layout("no_conversations", ("conversations",), "array()", ("system",)),
+    Layout("prompt", ("completion", "prompt"), _fields(("system", "system"), ("user", "prompt"), ("assistant", "completion")), ("system",)),
     Layout("instruction", ("instruction", "output"), _fields(("user", "instruction"), ("assistant", "output"))),
     Layout("system_instruction", ("instruction", "output", "system"), _fields(("system", "system"), ("user", "instruction"), ("assistant", "output"))),
     Layout(
         "instruction_input",
         ("input", "instruction", "output"),
-        "array(named_struct('role', 'user', 'text', concat_ws('\\n\\n', r.instruction, r.input)), named_struct('role', 'assistant', 'text', r.output))",
+        f"concat({_SYSTEM}, array(named_struct('role', 'user', 'text', concat_ws('\\n\\n', r.instruction, nullif(r.input, ''))), named_struct('role', 'assistant', 'text', r.output)))",
+        ("system",),
     ),
 )
+#: Paths that some layout reads.  Others (ids, names, tags) say nothing about the turns.
+KNOWN = sorted({p for x in LAYOUTS for p in (*x.paths, *x.optional)})
 
 
 def field_paths(record: Column) -> Column:
@@ -76,20 +98,28 @@ def fingerprint(paths: Column) -> Column:
 
 def canonical(records: DataFrame, record: str = "record") -> DataFrame:
     """``records`` with ``layout`` (name, ``unknown`` if no mapping has the fingerprint),
-    ``fingerprint`` and ``turns``; null roles and texts become empty, an unknown or null
-    record has no turns."""
-    named = records.withColumn("fingerprint", fingerprint(field_paths(F.col(record))))
-    parsed = named.withColumn("r", F.from_json(record, RECORD))
-    keys = {x.name: fingerprint(F.array(*[F.lit(p) for p in sorted(x.paths)])) for x in LAYOUTS}
+    ``fingerprint`` (of the paths that layouts know; further fields do not count) and
+    ``turns``; null roles and texts become empty.  An unknown or null record has no turns:
+    ``unmapped`` returns those.  ``records`` may not have a column of these three names."""
+    if {"layout", "fingerprint", "turns"} & set(records.columns):
+        raise ValueError("a column of the records has the name of a result")
+    known = F.array(*[F.lit(p) for p in KNOWN])
+    named = records.withColumn("fingerprint", fingerprint(F.array_intersect(field_paths(F.col(record)), known)))
+    parsed = named.withColumn("__r", F.from_json(record, RECORD))
     layout, turns = F.lit("unknown"), F.array().cast(TURNS)
     for x in LAYOUTS:
-        layout = F.when(F.col("fingerprint") == keys[x.name], x.name).otherwise(layout)
-        turns = F.when(F.col("layout") == x.name, F.expr(x.turns)).otherwise(turns)
-    out = parsed.withColumn("layout", layout).withColumn("turns", turns).drop("r")
+        layout = F.when(F.col("fingerprint").isin(*x.fingerprints()), x.name).otherwise(layout)
+        turns = F.when(F.col("layout") == x.name, F.expr(x.turns.replace("r.", "__r.")).cast(TURNS)).otherwise(turns)
+    out = parsed.withColumn("layout", layout).withColumn("turns", turns).drop("__r")
     clean = F.transform("turns", lambda t: F.struct(F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text")))
     return out.withColumn("turns", F.coalesce(clean, F.array().cast(TURNS)))
 
 
+def unmapped(records: DataFrame) -> DataFrame:
+    """Rows of ``canonical`` that no mapping reads: the error output, with the whole record."""
+    return records.where("layout = 'unknown'")
+
+
 def escape(text: Column) -> Column:
     """One backslash more between ``<`` and ``|``: no control string is left, and nothing is lost."""
     return F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")

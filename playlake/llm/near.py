@@ -8,8 +8,9 @@ A *unit* is anything with a text: a document (``ngram_join``) or a paragraph
 2. ``distinct`` units: one representative text per class key, with the number of copies.
 3. ``candidates``: units that share a band bucket are compared by signature inside
    the bucket.  A bucket is cut into blocks, each pair of blocks is one group, and a
-   group returns a spanning forest of its likely pairs, so neither rows nor memory
-   grow with the square of a bucket.
+   group returns a spanning forest of its likely pairs.  A task's memory and the rows
+   returned do not grow with the square of a bucket; the signatures that are dealt out
+   and the comparisons do (a bucket of m different texts sends each m / 256 times).
 4. ``verified``: the candidates' components bring the full texts together, again in
    pairs of blocks; exact Jaccard similarity of the whole n-gram sets decides, link
    counts are added up per unit, and a spanning forest of the links is returned.
@@ -23,11 +24,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
-from playlake.llm.common import connected_components, hash_filter, join_hot, materialize, ship
+from playlake.llm.common import connected_components, drop_tables, hash_filter, join_hot, materialize, recording, ship
 
 #: Units of one block, and bytes of text of one block; a group is two blocks at most.
 BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20
@@ -163,11 +164,12 @@ def likely_pairs(hashes: int, threshold: float) -> Callable:
 def candidates(units: DataFrame, bands: int, rows: int, threshold: float) -> DataFrame:
     """Edges (a, b) of keys that connect all units of a common bucket which may be similar."""
     # one long per band, and one for the key: a clash makes a candidate more, not a link
-    cut = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.substring("bands", i * 4 + 1, F.lit(4)), i))
+    cut = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.substring("bands", i * 8 + 1, F.lit(8)), i))
     units = units.withColumn("k", F.xxhash64("key"))
     flat = units.where("n > 0").select("k", F.explode(cut).alias("bucket"))
-    shared = flat.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    members = flat.join(shared, "bucket").join(units.select("k", "key", "sig"), "k")
+    # two longs a row, shuffled once: a window counts a bucket, and only those of shared buckets go on
+    shared = flat.withColumn("m", F.count("*").over(Window.partitionBy("bucket"))).where("m > 1")
+    members = shared.join(units.select("k", "key", "sig"), "k")
     split = in_blocks(members, "bucket", F.ceil(F.col("m") / BLOCK_ROWS).cast("int"))
     return by_group(split.select("bucket", "bi", "bj", "key", "sig"), "bucket").mapInArrow(
         likely_pairs(bands * rows, threshold), "a binary, b binary"
@@ -236,19 +238,33 @@ def verified_links(ngram: int, threshold: float) -> Callable:
     return run
 
 
+def keyed(sig: DataFrame, unit_ids: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written tables in place of the signatures of all units: (ids, key) of every unit;
+    (key, copies, n, size, rep) and (key, n, bands, sig) of every distinct one.  The
+    signatures of all are deleted: what is large stays on disk for distinct units only.
+    """
+    spark = sig.sparkSession
+    whole: list[str] = []
+    with recording(whole):
+        sig = materialize(sig, "signatures")
+    best = F.min(F.struct(*unit_ids)).alias("rep")
+    distinct = sig.groupBy("key").agg(F.count("*").alias("copies"), F.max("n").alias("n"), F.max("size").alias("size"), best, F.min("bands").alias("bands"), F.min("sig").alias("sig"))
+    distinct = materialize(distinct, "units")
+    units = materialize(sig.select(*unit_ids, "key"), "keys")
+    drop_tables(spark, whole)
+    return units, distinct.select("key", "copies", "n", "size", "rep"), distinct.select("key", "n", "bands", "sig")
+
+
 def linked_groups(
-    sig: DataFrame, units: DataFrame, unit_ids: list[str], text: str, ngram: int, threshold: float, bands: int, rows: int
+    distinct: DataFrame, prints: DataFrame, units: DataFrame, unit_ids: list[str], text: str, ngram: int, threshold: float, bands: int, rows: int
 ) -> DataFrame:
     """(key, copies, links, root) of each distinct unit.
 
-    sig: ``signatures`` of the units, written; units: the units with their texts.
+    distinct, prints: see ``keyed``; units: the units with their texts.
     links counts the other units whose n-gram sets have the similarity, copies
     included; root is the least key of the unit's group.
     """
-    best = F.min(F.struct(*unit_ids)).alias("rep")
-    distinct = sig.groupBy("key").agg(F.count("*").alias("copies"), F.max("n").alias("n"), F.max("size").alias("size"), best, F.min("bands").alias("bands"), F.min("sig").alias("sig"))
-    distinct = materialize(distinct, "units")
-    comp = connected_components(candidates(distinct.select("key", "n", "bands", "sig"), bands, rows, threshold))
+    comp = connected_components(candidates(prints, bands, rows, threshold))
     members = comp.join(distinct.select("key", "copies", "size", "rep"), F.col("node") == F.col("key"))
     total = members.groupBy("root").agg(F.count("*").alias("m"), F.sum("size").alias("b"))
     nb = F.ceil(F.greatest(F.col("m") / BLOCK_ROWS, F.col("b") / BLOCK_BYTES)).cast("int")

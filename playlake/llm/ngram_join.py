@@ -35,9 +35,9 @@ def ngram_join(
     """
     bands, rows = W.choose_bands(threshold, recall)
     units = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    sig = materialize(near.signatures(units, ["id", "h"], "text", ngram, bands, rows), "signatures")
-    classes = near.linked_groups(sig, units, ["id", "h"], "text", ngram, threshold, bands, rows)
-    rows_ = sig.select("id", "h", "key").join(classes, "key")
+    keys, distinct, prints = near.keyed(near.signatures(units, ["id", "h"], "text", ngram, bands, rows), ["id", "h"])
+    classes = near.linked_groups(distinct, prints, units, ["id", "h"], "text", ngram, threshold, bands, rows)
+    rows_ = join_hot(keys, classes, "key")
     rows_ = materialize(rows_.select("id", "h", "key", "copies", "links", "root"), "classes")
     first = rows_.groupBy("root").agg(F.min("id").alias("class_id"), F.min(F.struct("id", "h")).alias("first"))
     # a group of null ids and others: the nulls come first in the struct, class_id ignores them

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
-from playlake.llm.common import hash_filter, materialize, ship
+from playlake.llm.common import hash_filter, join_hot, materialize, ship
 
 #: Words of a window, and neighbouring windows of which the least is sampled (a power of two):
 #: any run of WINDOW + SPAN - 1 words that repeats shares a sampled window.
@@ -110,7 +110,7 @@ def passages(docs: DataFrame, id_col: str, text: str, n: int = WINDOW, span: int
     # 28 bits a row: the sum cannot overflow
     place = F.sum(F.xxhash64("id", "h").bitwiseAND(F.lit((1 << 28) - 1))).alias("where")
     often = found.groupBy("hash").agg(F.count("*").alias("times"), place).where("times > 1").drop("times")
-    hits = found.join(often, "hash").groupBy("id", "h").agg(F.collect_set(F.struct("pos", "where")).alias("hits"))
+    hits = join_hot(found, often, "hash").groupBy("id", "h").agg(F.collect_set(F.struct("pos", "where")).alias("hits"))
     hits = materialize(hits.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "hits"), "hits")
     held = hash_filter(hits.select(F.xxhash64("__id", "__h").alias("x")), "x")
     whole = src.where(held(F.xxhash64("id", "h"))).join(hits, F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")))

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
@@ -376,7 +376,7 @@ def fit(
     spark: SparkSession = docs.sparkSession
     ship(spark)
     model = Model(char_model(docs, text), np.zeros(0, np.uint64), np.zeros(0), np.array([-3.0, 0.0, 0.0]))
-    known = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label).alias("y"))
+    known = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
@@ -395,7 +395,7 @@ def fit(
     order = np.argsort(feature)
     feature, toxic = feature[order], got.column("n").to_numpy().astype(np.float64)[order]
     shared = spark.sparkContext.broadcast(Model(model.chars, feature, np.zeros(0), model.curve))
-    rows = sample.select("id", "y", "text").mapInArrow(marked_documents(shared), "id bigint, y int, f array<bigint>")
+    rows = sample.select("y", "text").mapInArrow(marked_documents(shared), "y int, f array<bigint>")
     per = rows.groupBy("y").agg(F.count("*").alias("n")).collect()
     size = {r["y"]: r["n"] for r in per}
     other = rows.where("y = 0").select(F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("n")).toArrow()
@@ -442,16 +442,31 @@ def score(docs: DataFrame, model: Model, id_cols: list[str], text: str = "text")
     """id_cols, score (0 to 1) and predicted (1 from CUTOFF on) of each row of ``docs``.
 
     A null or empty text gets the score of a text without marks.  Rows that repeat get
-    equal scores; other columns are ignored.
+    equal scores; other columns are ignored.  ``id_cols`` may hold any names but those two.
     """
+    if {"score", "predicted"} & set(id_cols):
+        raise ValueError("a column to keep has the name of a result")
+    names, rows = _scored(docs, model, id_cols, text)
+    return rows.select(*names, F.col("__score").alias("score"), (F.col("__score") >= CUTOFF).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not predicted as toxic, with all their columns, whatever their names."""
+    names, rows = _scored(docs, model, docs.columns, text)
+    return rows.where(F.col("__score") < CUTOFF).select(*names)
+
+
+def _scored(docs: DataFrame, model: Model, id_cols: list[str], text: str) -> tuple[list[Column], DataFrame]:
+    """The columns ``id_cols`` of a frame with ``__score``, which holds them under names of its own."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    src = docs.select(*id_cols, F.col(text).alias("__text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
+    own = [f"__k{i}" for i in range(len(id_cols))]
+    src = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(id_cols, own)], F.col(f"`{text}`").alias("__text"))
+    kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in src.schema.fields[:-1])
     if not len(model.feature):
-        rows = src.select(*id_cols, F.lit(0.0).alias("top"), F.lit(0.0).alias("marks"))
+        rows = src.select(*own, F.lit(0.0).alias("top"), F.lit(0.0).alias("marks"))
     else:
-        rows = src.mapInArrow(marked_documents(shared), f"{kinds}, top double, marks double")
+        rows = src.mapInArrow(marked_documents(shared), f"{kinds}top double, marks double")
     a, b, c = (float(x) for x in model.curve)
     p = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.col("top") + F.lit(c) * F.log1p("marks"))))
-    return rows.select(*id_cols, p.alias("score")).withColumn("predicted", (F.col("score") >= CUTOFF).cast("int"))
+    return [F.col(k).alias(c) for c, k in zip(id_cols, own)], rows.select(*own, p.alias("__score"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 K, WINDOW, PIECE = 5, 16, 8
 #: A hash takes 32 bits and a position 31 of a long, so that the least long of a window
@@ -80,9 +81,15 @@ def with_next(df: DataFrame, id_col: str, carry: list[str], tie: str | None = No
     of ``tie`` (the first carried column, if none is given), and null ids come last.
     """
     ids = df.select(F.col(id_col).alias("id"))
-    at = ids.agg(F.percentile_approx("id", [x / blocks for x in range(1, blocks)], 10_000).alias("p"), F.max("id").alias("top"), F.count("*").alias("n")).first()
-    points = sorted({x for x in (at["p"] or []) if x != at["top"]}, reverse=True)
+    if isinstance(ids.schema["id"].dataType, T.NumericType):
+        cuts = F.percentile_approx("id", [x / blocks for x in range(1, blocks)], 10_000)
+    else:  # ids of any other order: the quantiles of about 16 ids a block, taken by their hash
+        every = max(1, ids.agg(F.approx_count_distinct("id")).first()[0] // (16 * blocks))
+        some = F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("id"), F.lit(every)) == 0, F.col("id"))))
+        cuts = F.transform(F.sequence(F.lit(1), F.lit(blocks - 1)), lambda i: F.get(some, F.floor(i * F.size(some) / blocks).cast("int")))
+    at = ids.agg(cuts.alias("p"), F.max("id").alias("top")).first()
     top = at["top"]
+    points = sorted({x for x in (at["p"] or []) if x is not None and x != top}, reverse=True)
     # range number of an id: how many points are at least as great
     below = F.lit(0) if not points else F.size(F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p >= F.col(id_col)))
     block = F.when(F.col(id_col).isNull(), F.lit(len(points))).otherwise(below).cast("int")

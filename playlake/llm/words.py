@@ -161,21 +161,24 @@ def unit_hash(values: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
 
 def choose_bands(threshold: float, recall: float, most: int = 80) -> tuple[int, int]:
     """(bands, rows): the most selective banding that finds a pair of similarity
-    ``threshold`` with probability ``recall`` using at most ``most`` hashes."""
-    best = (most, 1)
+    ``threshold`` with probability ``recall`` using at most ``most`` hashes; an error
+    where no such banding exists."""
+    best = None
     for rows in range(1, most + 1):
         p = threshold**rows
         bands = 1 if p >= 1 else int(np.ceil(np.log1p(-recall) / np.log1p(-p)))
         if bands * rows <= most:
             best = (bands, rows)
+    if best is None:
+        raise ValueError(f"no banding of {most} hashes finds pairs of similarity {threshold} with probability {recall}")
     return best
 
 
 def minhash(h: np.ndarray, at: np.ndarray, bands: int, rows: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit band hashes (units x bands) of each unit's set of hashes, and one byte of each
+    """64-bit band hashes (units x bands) of each unit's set of hashes, and one byte of each
     MinHash value (units x bands*rows); a unit without any hash gets zeros."""
     units = len(at) - 1
-    out, sig = np.zeros((units, bands), np.uint32), np.zeros((units, bands * rows), np.uint8)
+    out, sig = np.zeros((units, bands), np.uint64), np.zeros((units, bands * rows), np.uint8)
     some = np.flatnonzero(np.diff(at) > 0)
     if len(some) == 0:
         return out, sig
@@ -193,5 +196,5 @@ def minhash(h: np.ndarray, at: np.ndarray, bands: int, rows: int, seed: int = 1)
             least = np.minimum.reduceat(buf, starts).astype(np.uint64)
             acc = mix(acc * _BASE + least)
             sig[some, band * rows + row] = (mix(least) >> np.uint64(56)).astype(np.uint8)
-        out[some, band] = (acc >> np.uint64(32)).astype(np.uint32)
+        out[some, band] = acc
     return out, sig

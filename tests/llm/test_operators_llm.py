@@ -427,3 +427,55 @@ def test_revisits_equal_brute_force(spark):
 def test_revisits_of_nothing(spark):
     schema = "capture_id bigint, url string, ts bigint, kind string, etag string, last_modified string, headers map<string,string>"
     assert revisits.resolve(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_toxicity_takes_any_id_and_label_type(spark):
+    from playlake.llm import toxicity
+
+    bad, good = "you are a wretched idiot and a stupid clown", "the garden is full of flowers and light"
+    texts = [(f"d{i}", (bad if i % 2 else good) + f" w{i % 7}") for i in range(80)]
+    docs = spark.createDataFrame(texts, "doc_id string, text string").selectExpr("*", "1.5 AS score", "'x' AS top", "7.0 AS predicted", "2 AS marks", "3 AS __text")
+    labels = spark.createDataFrame([(f"d{i}", i % 2) for i in range(60)], "doc_id string, toxic bigint")
+    model = toxicity.fit(docs, labels)
+    kept = toxicity.keep_clean(docs, model)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert {r["doc_id"] for r in rows} == {f"d{i}" for i in range(0, 80, 2)}
+    assert all((float(r["score"]), r["top"], float(r["predicted"]), r["marks"], r["__text"]) == (1.5, "x", 7.0, 2, 3) for r in rows)
+    with pytest.raises(ValueError):
+        toxicity.score(docs, model, docs.columns)
+    assert toxicity.score(docs, model, ["doc_id", "top"]).count() == 80
+
+
+def test_fingerprint_order_takes_string_ids(spark):
+    from playlake.llm import winnowing
+
+    ids = [f"k{i:04d}" for i in range(3000)]
+    df = spark.createDataFrame([(i, f"t{i}") for i in ids] + [(None, "null")], "id string, text string")
+    got = {r["id"]: r["__next"]["text"] for r in winnowing.with_next(df, "id", ["text"]).collect()}
+    want = {ids[i]: f"t{ids[i - 1]}" for i in range(1, 3000)} | {"k0000": "null", None: "tk2999"}
+    assert got == want
+
+
+@pytest.mark.parametrize(
+    ("record", "layout", "turns"),
+    [
+        ({"prompt": "p", "completion": "c", "id": 7, "tags": ["x"]}, "prompt", [("user", "p"), ("assistant", "c")]),
+        ({"system": "s", "messages": [{"role": "user", "content": "u", "name": "n"}]}, "messages", [("system", "s"), ("user", "u")]),
+        ({"system": "s", "conversations": [{"from": "gpt", "value": "v", "weight": 1}]}, "conversations", [("system", "s"), ("assistant", "v")]),
+        ({"messages": []}, "no_messages", []),
+        ({"system": "s", "instruction": "i", "input": "", "output": "o"}, "instruction_input", [("system", "s"), ("user", "i"), ("assistant", "o")]),
+        ({"text": "free"}, "unknown", []),
+        ({"prompt": "p"}, "unknown", []),
+    ],
+)
+def test_layouts_allow_further_fields(spark, record, layout, turns):
+    import json
+
+    from playlake.llm import chat
+
+    rows = spark.createDataFrame([(json.dumps(record), "kept")], "record string, r string")
+    out = chat.canonical(rows)
+    r = out.first()
+    assert (r["layout"], [tuple(t) for t in r["turns"]], r["r"]) == (layout, turns, "kept")
+    assert chat.unmapped(out).count() == (layout == "unknown")
