@@ -43,7 +43,7 @@ def like(docs: DataFrame, out: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model predicts as toxic go."""
     model = queries.toxicity_model(spark, sf_dir, docs)
-    return toxicity.score(docs, model, docs.columns).where("predicted = 0").select(*docs.columns)
+    return toxicity.keep_clean(docs, model)
 
 
 @stage
