@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
-from playlake.llm.common import connected_components, drop_tables, hash_filter, join_hot, materialize, recording, ship
+from playlake.llm.common import connected_components, drop_tables, hash_filter, join_hot, lean, materialize, recording, ship
 
 #: Units of one block, and bytes of text of one block; a group is two blocks at most.
 BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20
@@ -74,7 +74,7 @@ def signatures(units: DataFrame, ids: list[str], text: str, ngram: int, bands: i
     ship(units.sparkSession)
     src = units.select(*ids, F.coalesce(text, F.lit("")).alias("__text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInArrow(signature_batches(ngram, bands, rows), f"{kinds}, key binary, n bigint, size bigint, bands binary, sig binary")
+    return src.mapInArrow(lean(signature_batches(ngram, bands, rows)), f"{kinds}, key binary, n bigint, size bigint, bands binary, sig binary")
 
 
 def in_blocks(df: DataFrame, group: str, nb: Column) -> DataFrame:
@@ -172,7 +172,7 @@ def candidates(units: DataFrame, bands: int, rows: int, threshold: float) -> Dat
     members = shared.join(units.select("k", "key", "sig"), "k")
     split = in_blocks(members, "bucket", F.ceil(F.col("m") / BLOCK_ROWS).cast("int"))
     return by_group(split.select("bucket", "bi", "bj", "key", "sig"), "bucket").mapInArrow(
-        likely_pairs(bands * rows, threshold), "a binary, b binary"
+        lean(likely_pairs(bands * rows, threshold)), "a binary, b binary"
     )
 
 
@@ -212,12 +212,13 @@ def verified_links(ngram: int, threshold: float) -> Callable:
                 continue
             raw = t.column("text").cast(pa.binary()).to_pylist()
             key = t.column("key").to_pylist()
-            own = unit_keys(W.word_batch(raw), raw)
+            own, h, at = W.grams_of(raw, ngram, unit_keys)
             # ids may repeat with other texts: keep the text that has the key, once
             keep = [i for i in range(n) if own[i] == key[i] and (i == 0 or key[i] != key[i - 1] or own[i - 1] != key[i])]
-            t, raw, key, n = t.take(keep), [raw[i] for i in keep], [key[i] for i in keep], len(keep)
-            b = W.word_batch(raw)
-            h, at = W.grams(b, ngram)
+            if len(keep) < n:
+                h = np.concatenate([np.zeros(0, np.uint64), *(h[at[i] : at[i + 1]] for i in keep)])
+                at = np.concatenate([[0], np.cumsum(np.diff(at)[keep])]).astype(np.int64)
+            t, key, n = t.take(keep), [key[i] for i in keep], len(keep)
             linked = jaccard(h, at) >= threshold - 1e-12
             blk = t.column("blk").to_numpy()
             bi, bj = t.column("bi")[0].as_py(), t.column("bj")[0].as_py()
@@ -278,7 +279,7 @@ def linked_groups(
     maybe = hash_filter(placed.select(F.xxhash64(*[f"__{c}" for c in unit_ids]).alias("x")), "x")
     texts = placed.alias("p").join(texts.where(maybe(F.xxhash64(*unit_ids))).alias("u"), on)
     split = in_blocks(texts, "root", nb).select("root", "bi", "bj", "blk", "key", "copies", "text")
-    found = by_group(split, "root").mapInArrow(verified_links(ngram, threshold), "a binary, b binary, links bigint")
+    found = by_group(split, "root").mapInArrow(lean(verified_links(ngram, threshold)), "a binary, b binary, links bigint")
     found = materialize(found, "links")
     links = found.where("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("linked"))
     final = connected_components(found.where("b is not null").select("a", "b"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
-from playlake.llm.common import materialize, ship
+from playlake.llm.common import lean, materialize, ship
 
 WINDOW, END_ID = 2048, 1
 #: Lengths that form combinations of three and four, and combinations in all.
@@ -59,7 +59,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text
     src = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
     schema = f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<bigint>" * with_ids
-    return src.mapInArrow(piece_batches(path, window, end_id, with_ids), schema)
+    return src.mapInArrow(lean(piece_batches(path, window, end_id, with_ids)), schema)
 
 
 Pattern = tuple[tuple[int, int], ...]  # (length, times) of the pieces of a window

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
-from playlake.llm.common import hash_filter, join_hot, materialize, ship
+from playlake.llm.common import hash_filter, join_hot, lean, materialize, ship
 
 #: Words of a window, and neighbouring windows of which the least is sampled (a power of two):
 #: any run of WINDOW + SPAN - 1 words that repeats shares a sampled window.
@@ -102,10 +102,10 @@ def passages(docs: DataFrame, id_col: str, text: str, n: int = WINDOW, span: int
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text")).where(F.length("text") >= 2 * n - 1)
     kind = src.schema["id"].dataType.simpleString()
-    counted = src.select("text").mapInArrow(window_rows(n, span), "pos int, hash bigint").groupBy("hash").agg(F.count("*").alias("times"))
+    counted = src.select("text").mapInArrow(lean(window_rows(n, span)), "pos int, hash bigint").groupBy("hash").agg(F.count("*").alias("times"))
     often = materialize(counted.where("times > 1"), "windows")
     maybe = hash_filter(often.select(F.xxhash64("hash").alias("x")), "x")
-    found = src.mapInArrow(window_rows(n, span), f"id {kind}, h bigint, pos int, hash bigint").where(maybe(F.xxhash64("hash")))
+    found = src.mapInArrow(lean(window_rows(n, span)), f"id {kind}, h bigint, pos int, hash bigint").where(maybe(F.xxhash64("hash")))
     found = materialize(found, "found")
     # 28 bits a row: the sum cannot overflow
     place = F.sum(F.xxhash64("id", "h").bitwiseAND(F.lit((1 << 28) - 1))).alias("where")
@@ -114,5 +114,5 @@ def passages(docs: DataFrame, id_col: str, text: str, n: int = WINDOW, span: int
     hits = materialize(hits.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "hits"), "hits")
     held = hash_filter(hits.select(F.xxhash64("__id", "__h").alias("x")), "x")
     whole = src.where(held(F.xxhash64("id", "h"))).join(hits, F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")))
-    runs = whole.select("id", "h", "hits", "text").mapInArrow(run_rows(n, span), f"id {kind}, h bigint, pos int, end int, text string")
+    runs = whole.select("id", "h", "hits", "text").mapInArrow(lean(run_rows(n, span)), f"id {kind}, h bigint, pos int, end int, text string")
     return runs

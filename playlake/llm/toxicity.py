@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
-from playlake.llm.common import ship
+from playlake.llm.common import lean, ship
 
 # Look-alike characters and the letters that they stand for.
 LOOKALIKE = {
@@ -78,7 +78,7 @@ LETTER = _letters()
 def char_model(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Log-probabilities of BUCKETS hashed trigrams, from all documents."""
     ship(docs.sparkSession)
-    rows = docs.select(text).mapInArrow(trigram_batches, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    rows = docs.select(text).mapInArrow(lean(trigram_batches), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
     got = rows.toArrow()  # 2 * BUCKETS rows at most
     n = np.zeros(2 * BUCKETS)
     n[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
@@ -388,14 +388,14 @@ def fit(
     # about max_toxic + max_other rows of an id and a label: small for any table
     sample = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(picked), "id").where("text is not null")
     shared = spark.sparkContext.broadcast(model)
-    counted = sample.where("y = 1").select("text").mapInArrow(toxic_features(shared), "feature bigint, n bigint")
+    counted = sample.where("y = 1").select("text").mapInArrow(lean(toxic_features(shared)), "feature bigint, n bigint")
     counted = counted.groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS)
     got = counted.toArrow()  # bounded by the sample: each row stands for LEAST_DOCS documents' words
     feature = got.column("feature").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(feature)
     feature, toxic = feature[order], got.column("n").to_numpy().astype(np.float64)[order]
     shared = spark.sparkContext.broadcast(Model(model.chars, feature, np.zeros(0), model.curve))
-    rows = sample.select("y", "text").mapInArrow(marked_documents(shared), "y int, f array<bigint>")
+    rows = sample.select("y", "text").mapInArrow(lean(marked_documents(shared)), "y int, f array<bigint>")
     per = rows.groupBy("y").agg(F.count("*").alias("n")).collect()
     size = {r["y"]: r["n"] for r in per}
     other = rows.where("y = 0").select(F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("n")).toArrow()
@@ -411,7 +411,7 @@ def fit(
     if not keep.any():
         return model
     shared = spark.sparkContext.broadcast(model)
-    seen = sample.select("y", "text").mapInArrow(marked_documents(shared), "y int, top double, marks double").toArrow()
+    seen = sample.select("y", "text").mapInArrow(lean(marked_documents(shared)), "y int, top double, marks double").toArrow()
     y = seen.column("y").to_numpy().astype(np.float64)
     x = curve_input(seen.column("top").to_numpy(), seen.column("marks").to_numpy())
     # the sample's shares differ from the labels': shift the curve back to their odds
@@ -466,7 +466,7 @@ def _scored(docs: DataFrame, model: Model, id_cols: list[str], text: str) -> tup
     if not len(model.feature):
         rows = src.select(*own, F.lit(0.0).alias("top"), F.lit(0.0).alias("marks"))
     else:
-        rows = src.mapInArrow(marked_documents(shared), f"{kinds}top double, marks double")
+        rows = src.mapInArrow(lean(marked_documents(shared)), f"{kinds}top double, marks double")
     a, b, c = (float(x) for x in model.curve)
     p = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.col("top") + F.lit(c) * F.log1p("marks"))))
     return [F.col(k).alias(c) for c, k in zip(id_cols, own)], rows.select(*own, p.alias("__score"))

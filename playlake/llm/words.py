@@ -9,7 +9,7 @@ document, if that is longer), which bounds the memory of a task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -148,6 +148,20 @@ def grams(b: Batch, n: int, first: np.ndarray | None = None) -> tuple[np.ndarray
     return mix(h + length.astype(np.uint64)), at
 
 
+def grams_of(texts: list[bytes], n: int, keys: Callable[[Batch, list[bytes]], list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """``keys`` and ``grams`` of texts of any total size, a part of about CHUNK_BYTES at a time:
+    only the n-grams' hashes are held for all of them."""
+    own, hashes, ends = [], [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for i, j in chunks(pa.array(texts, pa.binary())):
+        part = texts[i:j]
+        b = word_batch(part)
+        h, at = grams(b, n)
+        own += keys(b, part)
+        hashes.append(h)
+        ends.append(at[1:] + ends[-1][-1])
+    return own, np.concatenate(hashes), np.concatenate(ends)
+
+
 def unit_hash(values: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
     """Order-dependent 64-bit hash of each unit's values."""
     base = np.uint64((0x9E3779B97F4A7C15 * (2 * seed + 3)) & ((1 << 64) - 1) | 1)
