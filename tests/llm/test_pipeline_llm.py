@@ -66,11 +66,11 @@ def test_columns_and_full_cover(stages):
 
 def test_registered_queries_and_oracles(spark):
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "conversations"):
+    for t in ("documents", "benchmark", "pages", "conversations", "labels"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
-    for name in ("op6_chat_format", "op7_decontaminate", "op9_revisits"):
+    for name in ("op6_chat_format", "op7_decontaminate", "op9_revisits", "op12_filter_audit", "op13_merkle"):
         got = names[name](spark, SF)
         table = con.execute(__spark_entry__.oracle_sql()[name]).to_arrow_table()
         assert sorted(table.column_names) == sorted(got.columns)
