@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
-from playlake.llm.common import connected_components, drop_tables, hash_filter, join_hot, lean, materialize, recording, ship
+from playlake.llm.common import connected_components, hash_filter, join_hot, lean, materialize, ship
 
 #: Units of one block, and bytes of text of one block; a group is two blocks at most.
 BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20
@@ -240,20 +240,22 @@ def verified_links(ngram: int, threshold: float) -> Callable:
 
 
 def keyed(sig: DataFrame, unit_ids: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Written tables in place of the signatures of all units: (ids, key) of every unit;
-    (key, copies, n, size, rep) and (key, n, bands, sig) of every distinct one.  The
-    signatures of all are deleted: what is large stays on disk for distinct units only.
+    """From the signatures of all units: (ids, key) of every unit; (key, copies, n, size,
+    rep) and (key, n, bands, sig) of every distinct one.
+
+    Only keys and ids are shuffled to count the copies.  A unit without a copy is the only
+    one of its key, so its bands and signature stay where they were written; those of the
+    others, which a filter of the copied keys finds, are grouped.
     """
-    spark = sig.sparkSession
-    whole: list[str] = []
-    with recording(whole):
-        sig = materialize(sig, "signatures")
+    sig = materialize(sig, "signatures")
     best = F.min(F.struct(*unit_ids)).alias("rep")
-    distinct = sig.groupBy("key").agg(F.count("*").alias("copies"), F.max("n").alias("n"), F.max("size").alias("size"), best, F.min("bands").alias("bands"), F.min("sig").alias("sig"))
+    distinct = sig.groupBy("key").agg(F.count("*").alias("copies"), F.max("n").alias("n"), F.max("size").alias("size"), best)
     distinct = materialize(distinct, "units")
-    units = materialize(sig.select(*unit_ids, "key"), "keys")
-    drop_tables(spark, whole)
-    return units, distinct.select("key", "copies", "n", "size", "rep"), distinct.select("key", "n", "bands", "sig")
+    copied = hash_filter(distinct.where("copies > 1").select(F.xxhash64("key").alias("x")), "x")
+    prints = sig.select("key", "n", "bands", "sig").withColumn("__copied", copied(F.xxhash64("key")))
+    once = prints.where("not __copied").drop("__copied")
+    more = prints.where("__copied").groupBy("key").agg(F.max("n").alias("n"), F.min("bands").alias("bands"), F.min("sig").alias("sig"))
+    return sig.select(*unit_ids, "key"), distinct, once.unionAll(materialize(more, "copied"))
 
 
 def linked_groups(
