@@ -168,8 +168,9 @@ def candidates(units: DataFrame, bands: int, rows: int, threshold: float) -> Dat
     units = units.withColumn("k", F.xxhash64("key"))
     flat = units.where("n > 0").select("k", F.explode(cut).alias("bucket"))
     # two longs a row, shuffled once: a window counts a bucket, and only those of shared buckets go on
-    shared = flat.withColumn("m", F.count("*").over(Window.partitionBy("bucket"))).where("m > 1")
-    members = shared.join(units.select("k", "key", "sig"), "k")
+    shared = materialize(flat.withColumn("m", F.count("*").over(Window.partitionBy("bucket"))).where("m > 1"), "shared")
+    maybe = hash_filter(shared.select("k"), "k")
+    members = shared.join(units.where(maybe("k")).select("k", "key", "sig"), "k")
     split = in_blocks(members, "bucket", F.ceil(F.col("m") / BLOCK_ROWS).cast("int"))
     return by_group(split.select("bucket", "bi", "bj", "key", "sig"), "bucket").mapInArrow(
         lean(likely_pairs(bands * rows, threshold)), "a binary, b binary"
@@ -267,8 +268,10 @@ def linked_groups(
     links counts the other units whose n-gram sets have the similarity, copies
     included; root is the least key of the unit's group.
     """
-    comp = connected_components(candidates(prints, bands, rows, threshold))
-    members = comp.join(distinct.select("key", "copies", "size", "rep"), F.col("node") == F.col("key"))
+    comp = materialize(connected_components(candidates(prints, bands, rows, threshold)), "components")
+    near_one = hash_filter(comp.select(F.xxhash64("node").alias("x")), "x")
+    some = distinct.where(near_one(F.xxhash64("key"))).select("key", "copies", "size", "rep")
+    members = comp.join(some, F.col("node") == F.col("key"))
     total = members.groupBy("root").agg(F.count("*").alias("m"), F.sum("size").alias("b"))
     nb = F.ceil(F.greatest(F.col("m") / BLOCK_ROWS, F.col("b") / BLOCK_BYTES)).cast("int")
     placed = join_hot(members, total, "root").select("root", "key", "copies", "m", "b", *[F.col("rep")[c].alias(f"__{c}") for c in unit_ids])
@@ -284,9 +287,14 @@ def linked_groups(
     found = by_group(split, "root").mapInArrow(lean(verified_links(ngram, threshold)), "a binary, b binary, links bigint")
     found = materialize(found, "links")
     links = found.where("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("linked"))
+    links = materialize(links, "counts")
     final = connected_components(found.where("b is not null").select("a", "b"))
-    return (
-        distinct.select("key", "copies", "n")
+    # a unit without a link to another text takes no part in the joins
+    linked = hash_filter(links.select(F.xxhash64("key").alias("x")), "x")
+    units_ = distinct.select("key", "copies", "n", linked(F.xxhash64("key")).alias("__linked"))
+    alone = units_.where("not __linked").select("key", "copies", "n", (F.col("copies") - 1).alias("links"), F.col("key").alias("root"))
+    return alone.unionAll(
+        units_.where("__linked")
         .join(links, "key", "left")
         .join(final.withColumnRenamed("node", "key"), "key", "left")
         .select("key", "copies", "n", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("root", "key").alias("root"))

@@ -34,7 +34,9 @@ def repeats(units: DataFrame, ngram: int, threshold: float, recall: float, min_w
     sig = sig.where(F.col("n") >= max(1, min_words - ngram + 1))
     keys, distinct, prints = near.keyed(sig, ["id", "h", "pos"])
     classes = near.linked_groups(distinct, prints, units, ["id", "h", "pos"], "text", ngram, threshold, bands, rows)
-    found = join_hot(keys, classes.where("links > 0").select("key", "root"), "key")
+    classes = materialize(classes.where("links > 0").select("key", "root"), "linked")
+    maybe = hash_filter(classes.select(F.xxhash64("key").alias("x")), "x")
+    found = join_hot(keys.where(maybe(F.xxhash64("key"))), classes, "key")
     found = materialize(found.select("id", "h", "pos", "root"), "classes")
     first = found.groupBy("root").agg(F.min(F.struct("id", "h", "pos")).alias("first"))
     return join_hot(found, first, "root").select("id", "h", "pos", (F.struct("id", "h", "pos") != F.col("first")).alias("gone"), F.col("first.id").alias("kept"))
