@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
-from playlake.llm.common import hash_filter, join_hot, lean, materialize, ship
+from playlake.llm.common import drop_tables, hash_filter, join_hot, lean, materialize, recording, ship
 
 #: Words of a window, and neighbouring windows of which the least is sampled (a power of two):
 #: any run of WINDOW + SPAN - 1 words that repeats shares a sampled window.
@@ -102,11 +102,13 @@ def passages(docs: DataFrame, id_col: str, text: str, n: int = WINDOW, span: int
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text")).where(F.length("text") >= 2 * n - 1)
     kind = src.schema["id"].dataType.simpleString()
-    counted = src.select("text").mapInArrow(lean(window_rows(n, span)), "pos int, hash bigint").groupBy("hash").agg(F.count("*").alias("times"))
-    often = materialize(counted.where("times > 1"), "windows")
-    maybe = hash_filter(often.select(F.xxhash64("hash").alias("x")), "x")
-    found = src.mapInArrow(lean(window_rows(n, span)), f"id {kind}, h bigint, pos int, hash bigint").where(maybe(F.xxhash64("hash")))
-    found = materialize(found, "found")
+    working: list[str] = []
+    with recording(working):
+        every = materialize(src.mapInArrow(lean(window_rows(n, span)), f"id {kind}, h bigint, pos int, hash bigint"), "sampled")
+        often = materialize(every.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1"), "windows")
+        maybe = hash_filter(often.select(F.xxhash64("hash").alias("x")), "x")
+    found = materialize(every.where(maybe(F.xxhash64("hash"))), "found")
+    drop_tables(docs.sparkSession, working)
     # 28 bits a row: the sum cannot overflow
     place = F.sum(F.xxhash64("id", "h").bitwiseAND(F.lit((1 << 28) - 1))).alias("where")
     often = found.groupBy("hash").agg(F.count("*").alias("times"), place).where("times > 1").drop("times")
