@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,10 @@ from playlake.llm.common import connected_components, hash_filter, join_hot, lea
 
 #: Units of one block, and bytes of text of one block; a group is two blocks at most.
 BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20
+#: Units of a group whose signatures are compared together with other groups', and whose texts are.
+SMALL, FEW = 32, 8
+#: Bytes of text of the groups that are verified together, if it is not one group.
+TOGETHER = 1 << 20
 #: Standard errors that a pair's estimated similarity may fall short of the threshold.
 SLACK = 5.0
 
@@ -90,27 +95,51 @@ def by_group(df: DataFrame, group: str) -> DataFrame:
     return df.repartition(group, "bi", "bj").sortWithinPartitions(group, "bi", "bj", "key")
 
 
-def groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]:
-    """Tables of whole groups (equal first ``width`` columns) out of sorted batches."""
+def starts(columns: list) -> np.ndarray:
+    """Rows at which the values of some column change, and row 0."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        v = c.to_numpy(zero_copy_only=False) if isinstance(c, pa.Array) else c.to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(new)
+
+
+def stretches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups (equal first ``width`` columns) out of sorted batches, and the rows
+    at which their groups begin with the number of rows at the end.  A table holds the groups that
+    end in one batch."""
     rest: list[pa.RecordBatch] = []
+
+    def table(parts: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        t = pa.Table.from_batches(parts)
+        return t, np.append(starts(t.columns[:width]), t.num_rows)
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        same = np.ones(batch.num_rows - 1, bool)
-        for c in batch.columns[:width]:
-            v = c.to_numpy(zero_copy_only=False)
-            same &= v[1:] == v[:-1]
-        cuts = [0, *(np.flatnonzero(~same) + 1).tolist(), batch.num_rows]
-        if rest and any(rest[-1].column(k)[-1].as_py() != batch.column(k)[0].as_py() for k in range(width)):
-            yield pa.Table.from_batches(rest)
+        first = starts(batch.columns[:width])
+        if rest and all(rest[-1].column(k)[-1].as_py() == batch.column(k)[0].as_py() for k in range(width)):
+            first = first[1:]  # its first rows go on with the group before
+        if len(first):
+            last = int(first[-1])
+            if rest or last:
+                yield table([*rest, batch.slice(0, last)] if last else rest)
             rest = []
-        for i, j in zip(cuts[:-1], cuts[1:]):
-            if i and rest:
-                yield pa.Table.from_batches(rest)
-                rest = []
-            rest.append(batch.slice(i, j - i))
+            batch = batch.slice(last)
+        rest.append(batch)
     if rest:
-        yield pa.Table.from_batches(rest)
+        yield table(rest)
+
+
+def small_pairs(at: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows i < j within each group of at most ``most`` rows."""
+    size = np.diff(at)
+    left = np.repeat(at[1:], size) - np.arange(at[-1]) - 1  # rows after each one in its group
+    left[np.repeat(size > most, size)] = 0
+    i = np.repeat(np.arange(at[-1]), left)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(left) - left, left)
+    return i, j
 
 
 def forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,32 +160,30 @@ def forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
 
 def likely_pairs(hashes: int, threshold: float) -> Callable:
     """Per group of a bucket: spanning forest of the pairs whose signatures agree in as
-    many bytes as the threshold lets expect, less ``SLACK`` standard errors."""
+    many bytes as the threshold lets expect, less ``SLACK`` standard errors.
+
+    Pairs of small groups are compared together, those of larger ones group by group."""
     least = hashes * threshold - SLACK * np.sqrt(hashes * threshold * (1 - threshold))
 
+    def large(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        equal = np.zeros((len(sig), len(sig)), np.int16)
+        for k in range(hashes):
+            equal += sig[:, k][:, None] == sig[:, k][None, :]
+        return np.nonzero(np.triu(equal >= least, 1))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = [], []
-        for t in groups(batches, 3):
-            n = t.num_rows
-            if n < 2:
-                continue
-            key = t.column("key").to_pylist()
-            sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(n, hashes)
-            if n <= 32:
-                equal = (sig[:, None, :] == sig[None, :, :]).sum(2)
-            else:
-                equal = np.zeros((n, n), np.int16)
-                for k in range(hashes):
-                    equal += sig[:, k][:, None] == sig[:, k][None, :]
-            i, j = np.nonzero(np.triu(equal >= least, 1))
-            if len(i):
-                node, root = forest(i, j, n)
-                a += [key[x] for x in node]
-                b += [key[x] for x in root]
-            if len(a) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
-                a, b = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+        for t, at in stretches(batches, 3):
+            sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(t.num_rows, hashes)
+            i, j = small_pairs(at, SMALL)
+            good = (sig[i] == sig[j]).sum(1) >= least
+            pairs = [(i[good], j[good])]
+            for g in np.flatnonzero(np.diff(at) > SMALL):
+                i, j = large(sig[at[g] : at[g + 1]])
+                pairs.append((i + at[g], j + at[g]))
+            node, root = forest(*(np.concatenate(x) for x in zip(*pairs)), t.num_rows)
+            if len(node):
+                key = t.column("key")
+                yield pa.RecordBatch.from_arrays([key.take(pa.array(x)).combine_chunks().cast(pa.binary()) for x in (node, root)], names=["a", "b"])
 
     return run
 
@@ -198,44 +225,96 @@ def jaccard(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.where(union > 0, common / np.maximum(union, 1), 1.0)
 
 
+def small_links(h: np.ndarray, at: np.ndarray, group: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of units i < j within small groups (rows ``group`` to the next) whose sets of hashes
+    have the similarity: the groups' shared hashes are counted for all pairs in one go."""
+    n = len(at) - 1
+    unit = np.repeat(np.arange(n), np.diff(at))
+    value, code = np.unique(h, return_inverse=True)
+    of = np.searchsorted(group, unit, "right") - 1
+    # sets, in the order group, hash, unit: within a group a hash's units stand together
+    order = np.lexsort((unit, code, of))
+    unit, code, of = unit[order], code[order], of[order]
+    new = np.ones(len(unit), bool)
+    new[1:] = (unit[1:] != unit[:-1]) | (code[1:] != code[:-1])
+    unit, code, of = unit[new], code[new], of[new]
+    size = np.bincount(unit, minlength=n)
+    new = np.ones(len(unit), bool)
+    new[1:] = (code[1:] != code[:-1]) | (of[1:] != of[:-1])
+    i, j = small_pairs(np.append(np.flatnonzero(new), len(unit)), n)
+    pair, common = np.unique(unit[i] * n + unit[j], return_counts=True)
+    i, j = pair // n, pair % n
+    good = common / (size[i] + size[j] - common) >= threshold - 1e-12
+    return i[good], j[good]
+
+
 def verified_links(ngram: int, threshold: float) -> Callable:
     """Per group of a candidate component: link counts of each unit and a spanning forest of the links.
 
     Rows in: comp, bi, bj, blk, key, copies, text.  Rows out: (a, b, 0) for a forest
     edge and (key, null, copies linked) for a count.  A pair of units within one block
-    is judged where bi = bj, other pairs where their two blocks meet.
+    is judged where bi = bj, other pairs where their two blocks meet.  Groups of up to
+    ``FEW`` units are judged together, a part of about ``TOGETHER`` bytes at a time.
     """
 
+    def links(t: pa.Table, at: np.ndarray) -> pa.RecordBatch:
+        raw = t.column("text").cast(pa.binary()).to_pylist()
+        key = t.column("key").to_pylist()
+        own, h, ends = W.grams_of(raw, ngram, unit_keys)
+        group = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        # ids may repeat with other texts: keep the text that has the key, once
+        held: set = set()
+        keep = []
+        for i, k in enumerate(key):
+            if own[i] == k and (group[i], k) not in held:
+                held.add((group[i], k))
+                keep.append(i)
+        if len(keep) < len(key):
+            h = np.concatenate([np.zeros(0, np.uint64), *(h[ends[i] : ends[i + 1]] for i in keep)])
+            ends = np.concatenate([[0], np.cumsum(np.diff(ends)[keep])]).astype(np.int64)
+            t, key, group = t.take(pa.array(keep, pa.int64())), [key[i] for i in keep], group[keep]
+        n = len(key)
+        blk, bi, bj, copies = (t.column(c).to_numpy() for c in ("blk", "bi", "bj", "copies"))
+        at = np.append(np.flatnonzero(np.diff(group, prepend=-1)), n)
+        size = np.diff(at)
+        pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        few = np.repeat(size <= FEW, size)
+        if few.any():
+            own_ = np.flatnonzero(few)
+            hs = h[np.repeat(few, np.diff(ends))]
+            to = np.concatenate([[0], np.cumsum(np.diff(ends)[few])])
+            i, j = small_links(hs, to, np.concatenate([[0], np.cumsum(size[size <= FEW])[:-1]]), threshold)
+            pairs.append((own_[i], own_[j]))
+        for g in np.flatnonzero(size > FEW):
+            p, q = at[g], at[g + 1]
+            i, j = np.nonzero(np.triu(jaccard(h[ends[p] : ends[q]], ends[p : q + 1] - ends[p]) >= threshold - 1e-12, 1))
+            pairs.append((i + p, j + p))
+        i, j = (np.concatenate(x) for x in zip(*pairs))
+        ours = (bi[i] == bj[i]) | (blk[i] != blk[j])
+        i, j = i[ours], j[ours]
+        count = np.zeros(n, np.int64)
+        np.add.at(count, i, copies[j])
+        np.add.at(count, j, copies[i])
+        node, root = forest(i, j, n)
+        some = np.flatnonzero(count)
+        out = [
+            pa.array([key[x] for x in node] + [key[x] for x in some], pa.binary()),
+            pa.array([key[x] for x in root] + [None] * len(some), pa.binary()),
+            pa.array([0] * len(node) + count[some].tolist(), pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(out, names=["a", "b", "links"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in groups(batches, 3):
-            n = t.num_rows
-            if n < 2:
-                continue
-            raw = t.column("text").cast(pa.binary()).to_pylist()
-            key = t.column("key").to_pylist()
-            own, h, at = W.grams_of(raw, ngram, unit_keys)
-            # ids may repeat with other texts: keep the text that has the key, once
-            keep = [i for i in range(n) if own[i] == key[i] and (i == 0 or key[i] != key[i - 1] or own[i - 1] != key[i])]
-            if len(keep) < n:
-                h = np.concatenate([np.zeros(0, np.uint64), *(h[at[i] : at[i + 1]] for i in keep)])
-                at = np.concatenate([[0], np.cumsum(np.diff(at)[keep])]).astype(np.int64)
-            t, key, n = t.take(keep), [key[i] for i in keep], len(keep)
-            linked = jaccard(h, at) >= threshold - 1e-12
-            blk = t.column("blk").to_numpy()
-            bi, bj = t.column("bi")[0].as_py(), t.column("bj")[0].as_py()
-            if bi != bj:
-                linked &= blk[:, None] != blk[None, :]
-            np.fill_diagonal(linked, False)
-            copies = t.column("copies").to_numpy()
-            count = linked @ copies
-            node, root = forest(*np.nonzero(np.triu(linked, 1)), n)
-            some = np.flatnonzero(count)
-            out = [
-                pa.array([key[x] for x in node] + [key[x] for x in some], pa.binary()),
-                pa.array([key[x] for x in root] + [None] * len(some), pa.binary()),
-                pa.array([0] * len(node) + count[some].tolist(), pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(out, names=["a", "b", "links"])
+        for t, at in stretches(batches, 3):
+            size = pc.binary_length(t.column("text")).to_numpy()
+            ends = np.concatenate([[0], np.cumsum(size.astype(np.int64))])[at[1:]]
+            g = 0
+            while g < len(at) - 1:
+                base = ends[g - 1] if g else 0
+                to = max(g + 1, int(np.searchsorted(ends, base + TOGETHER, "right")))
+                if at[to] - at[g] > 1:
+                    yield links(t.slice(at[g], at[to] - at[g]), at[g : to + 1] - at[g])
+                g = to
 
     return run
 
@@ -244,19 +323,24 @@ def keyed(sig: DataFrame, unit_ids: list[str]) -> tuple[DataFrame, DataFrame, Da
     """From the signatures of all units: (ids, key) of every unit; (key, copies, n, size,
     rep) and (key, n, bands, sig) of every distinct one.
 
-    Only keys and ids are shuffled to count the copies.  A unit without a copy is the only
-    one of its key, so its bands and signature stay where they were written; those of the
-    others, which a filter of the copied keys finds, are grouped.
+    Only a 64-bit hash of each key is shuffled to find the keys that may have copies.  The
+    units of all others are written and read as they stand; those of these few are grouped
+    by the whole key, so that two keys of one hash stay apart.
     """
     sig = materialize(sig, "signatures")
-    best = F.min(F.struct(*unit_ids)).alias("rep")
-    distinct = sig.groupBy("key").agg(F.count("*").alias("copies"), F.max("n").alias("n"), F.max("size").alias("size"), best)
-    distinct = materialize(distinct, "units")
-    copied = hash_filter(distinct.where("copies > 1").select(F.xxhash64("key").alias("x")), "x")
-    prints = sig.select("key", "n", "bands", "sig").withColumn("__copied", copied(F.xxhash64("key")))
-    once = prints.where("not __copied").drop("__copied")
-    more = prints.where("__copied").groupBy("key").agg(F.max("n").alias("n"), F.min("bands").alias("bands"), F.min("sig").alias("sig"))
-    return sig.select(*unit_ids, "key"), distinct, once.unionAll(materialize(more, "copied"))
+    hashed = F.xxhash64("key")
+    twice = materialize(sig.groupBy(hashed.alias("x")).agg(F.count("*").alias("c")).where("c > 1").select("x"), "twice")
+    copied = hash_filter(twice, "x")
+    ids = F.struct(*unit_ids)
+    more = sig.where(copied(hashed)).groupBy("key").agg(
+        F.count("*").alias("copies"), F.max("n").alias("n"), F.max("size").alias("size"), F.min(ids).alias("rep"), F.min("bands").alias("bands"), F.min("sig").alias("sig")
+    )
+    more = materialize(more, "copied")
+    once = sig.where(~copied(hashed))
+    columns = ["key", "copies", "n", "size", "rep"]
+    distinct = once.select("key", F.lit(1).cast("bigint").alias("copies"), "n", "size", ids.alias("rep")).unionAll(more.select(columns))
+    prints = ["key", "n", "bands", "sig"]
+    return sig.select(*unit_ids, "key"), materialize(distinct, "units"), once.select(prints).unionAll(more.select(prints))
 
 
 def linked_groups(

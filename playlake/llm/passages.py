@@ -72,20 +72,23 @@ def run_rows(n: int, span: int) -> Callable:
                 b = W.word_batch(raw)
                 # code points before each byte: all bytes but the continuing ones
                 points = np.concatenate([[0], np.cumsum((b.raw & 0xC0) != 0x80)])
-                row, pos, end, texts = [], [], [], []
-                for r, hits in enumerate(batch.column("hits").slice(i, j - i).to_pylist()):
-                    first, last, where = None, None, None
-                    for x in [*sorted((x["pos"], x["where"]) for x in hits), (None, None)]:
-                        if first is not None and (x[0] is None or x[1] != where or x[0] > last + span):
-                            p, q = int(b.start[b.first[r] + first]), int(b.end[b.first[r] + last + n - 1])
-                            row.append(i + r)
-                            pos.append(int(points[p] - points[b.at[r]]))
-                            end.append(int(points[q] - points[b.at[r]]))
-                            texts.append(b.raw[p:q].tobytes().decode("utf-8", "replace"))
-                            first = None
-                        if x[0] is not None:
-                            first, last, where = x[0] if first is None else first, x[0], x[1]
-                at = pa.array(row, pa.int64())
+                hits = batch.column("hits").slice(i, j - i)
+                pos, where = (x.to_numpy(zero_copy_only=False) for x in hits.flatten().flatten())
+                row = np.repeat(np.arange(j - i), hits.value_lengths().to_numpy(zero_copy_only=False))
+                order = np.lexsort((where, pos, row))
+                row, pos, where = row[order], pos[order].astype(np.int64), where[order]
+                # a run ends with its text, where the copies change, or before a gap
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (where[1:] != where[:-1]) | (pos[1:] > pos[:-1] + span)
+                first = np.flatnonzero(new)
+                last = np.append(first[1:], len(row))[: len(first)] - 1
+                row = row[first]
+                p, q = b.start[b.first[row] + pos[first]], b.end[b.first[row] + pos[last] + n - 1]
+                whole = b.raw.tobytes()
+                texts = [whole[x:y].decode("utf-8", "replace") for x, y in zip(p.tolist(), q.tolist())]
+                base = points[b.at[row]]
+                pos, end = (points[p] - base).astype(np.int32), (points[q] - base).astype(np.int32)
+                at = pa.array(row + i, pa.int64())
                 out = [batch.column("id").take(at), batch.column("h").take(at), pa.array(pos, pa.int32()), pa.array(end, pa.int32()), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(out, names=["id", "h", "pos", "end", "text"])
 
