@@ -51,7 +51,7 @@ def window_rows(n: int, span: int) -> Callable:
             text = batch.column(batch.num_columns - 1)
             for i, j in W.chunks(text):
                 b = W.word_batch([t or b"" for t in text.slice(i, j - i).cast(pa.binary()).to_pylist()])
-                h, at = W.grams(b, n)
+                h, at = W.rolled(b, n)
                 pick = sampled(h, at, span)
                 unit = np.searchsorted(at, pick, "right") - 1
                 kept = [batch.column(k).slice(i, j - i).take(pa.array(unit)) for k in range(batch.num_columns - 1)]

@@ -148,6 +148,19 @@ def grams(b: Batch, n: int, first: np.ndarray | None = None) -> tuple[np.ndarray
     return mix(h + length.astype(np.uint64)), at
 
 
+def rolled(b: Batch, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of n words within a document, and each document's range of them;
+    each is taken from prefix sums, so that its cost does not grow with n."""
+    words = np.diff(b.first)
+    count = np.maximum(words - n + 1, 0)
+    at = np.zeros(len(words) + 1, np.int64)
+    np.cumsum(count, out=at[1:])
+    begin = np.arange(at[-1]) + np.repeat(b.first[:-1] - at[:-1], count)
+    pre = np.zeros(len(b.hash) + 1, np.uint64)
+    np.cumsum(b.hash * powers(_BASE, len(b.hash)), out=pre[1:], dtype=np.uint64)
+    return mix((pre[begin + n] - pre[begin]) * powers(_INVERSE, len(b.hash))[begin]), at
+
+
 def grams_of(texts: list[bytes], n: int, keys: Callable[[Batch, list[bytes]], list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """``keys`` and ``grams`` of texts of any total size, a part of about CHUNK_BYTES at a time:
     only the n-grams' hashes are held for all of them."""
@@ -200,13 +213,14 @@ def minhash(h: np.ndarray, at: np.ndarray, bands: int, rows: int, seed: int = 1)
     key = (h >> np.uint64(32)).astype(np.uint32)
     low = h.astype(np.uint32)
     rng = np.random.default_rng(seed)
-    buf = np.empty(len(key), np.uint32)
+    buf, more = np.empty(len(key), np.uint32), np.empty(len(key), np.uint32)
     for band in range(bands):
         acc = np.full(len(some), band + 1, np.uint64)
         for row in range(rows):
             a, c = (np.uint32(x) for x in rng.integers(0, 1 << 32, 2, dtype=np.uint64))
             np.multiply(key, a | np.uint32(1), out=buf)
-            buf ^= low * (c | np.uint32(1))
+            np.multiply(low, c | np.uint32(1), out=more)
+            buf ^= more
             least = np.minimum.reduceat(buf, starts).astype(np.uint64)
             acc = mix(acc * _BASE + least)
             sig[some, band * rows + row] = (mix(least) >> np.uint64(56)).astype(np.uint8)
