@@ -132,3 +132,24 @@ def test_reclassify_classified_rows(spark):
         a = once.select("partition", "offset", "errors")
         b = twice.select("partition", "offset", "errors")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_spread_follows_rows_not_files(spark, tmp_path, monkeypatch):
+    """One row group of many rows, in files of any number, is dealt out by its rows."""
+
+    from playlake.sources import tables
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 4000, 1, 1).selectExpr("id AS event_id", "id % 7 AS user_id", "nullif(concat('x', id % 3), 'x0') AS props")
+    rows = rows.unionAll(rows.where("event_id < 50")).coalesce(1)
+    rows.write.parquet(str(tmp_path / "one"))
+    rows.sparkSession.range(0, cores * 3, 1, cores * 3).selectExpr("id AS event_id", "id % 7 AS user_id", "'x' AS props").write.parquet(str(tmp_path / "many"))
+    table = spark.read.parquet(str(tmp_path / "one"), str(tmp_path / "many"))
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 100)
+    out = tables.spread(table)
+    sizes = [n for n in out.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()]
+    assert len(sizes) == -(-(4050 + cores * 3) // 100)
+    assert max(sizes) < 300
+    assert out.exceptAll(table).isEmpty() and table.exceptAll(out).isEmpty()
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 10**9)
+    assert tables.spread(table).rdd.getNumPartitions() == cores
