@@ -74,23 +74,44 @@ def write_raw_ndjson(bronze: DataFrame, path: str, partitions: int | None = None
     df.write.mode("overwrite").text(path)
 
 
-def land_in_order(spark: SparkSession, rows: DataFrame, path: str, order: str, files: int = 1) -> None:
-    """Raw payloads as NDJSON files, ``files`` of them for each value of ``order``, in one
-    distributed write; a file stream reads them in that order.
+#: Rows of a landing file, about.
+ROWS_PER_FILE = 100_000
+
+
+def land_in_order(
+    spark: SparkSession, rows: DataFrame, path: str, order: str, files: int = 1, rows_per_file: int = ROWS_PER_FILE
+) -> int:
+    """Raw payloads as NDJSON files, in one distributed write; a file stream reads them in the
+    order of the values of ``order``. Returns the number of files that each value has: ``files``,
+    or as many as the largest value needs to keep each file near ``rows_per_file``.
+
+    Each file is written by a task of its own, so no task sorts a whole value's rows. A stream
+    counts files, so a value that needs fewer of them gets empty ones.
 
     A file stream takes files by their time of change, which says nothing after a parallel
-    write. So the times are set afterwards, a millisecond apart in the order of the values
+    write. So the times are set afterwards, a second apart in the order of the values
     (a call for each file on the driver; no data passes there).
     """
 
-    dealt = rows.select(F.col("raw_payload").alias("value"), F.col(order).alias("step"))
-    deal = F.pmod(F.xxhash64("value"), F.lit(files))
-    dealt.repartition(F.col("step"), deal).write.mode("overwrite").partitionBy("step").text(path)
+    with written(rows.groupBy(F.col(order).alias("step")).agg(F.count(F.lit(1)).alias("_rows")), "landing-steps") as counted:
+        need = F.greatest(F.lit(files), F.ceil(F.col("_rows") / rows_per_file)).cast("int")
+        first = F.sum("_files").over(Window.orderBy("step")) - F.col("_files")  # a row for each value
+        steps = counted.withColumn("_files", need).withColumn("_first", first)
+        total, most = steps.agg(F.sum("_files"), F.max("_files")).first()
+        payloads = rows.select(F.col("raw_payload").alias("value"), F.col(order).alias("_step"))
+        dealt = payloads.join(F.broadcast(steps), F.col("_step").eqNullSafe(F.col("step")))
+        file_no = F.col("_first") + F.pmod(F.xxhash64("value"), F.col("_files"))
+        landed = dealt.repartitionById(int(total or 1), file_no.cast("int")).select("value", "step")
+        landed.write.mode("overwrite").partitionBy("step").text(path)
     fs, where = file_system(spark, path)
-    steps = sorted((s.getPath() for s in fs.listStatus(where) if s.isDirectory()), key=lambda p: int(p.getName().split("=")[1]))
+    folders = sorted((s.getPath() for s in fs.listStatus(where) if s.isDirectory()), key=lambda p: int(p.getName().split("=")[1]))
+    for folder in folders:
+        for at in range(len(fs.listStatus(folder)), most):
+            fs.createNewFile(file_system(spark, f"{folder}/part-none-{at:05d}.txt")[1])
     begin = 1_000_000_000_000
-    for at, f in enumerate(f for step in steps for f in fs.listStatus(step)):
+    for at, f in enumerate(f for folder in folders for f in fs.listStatus(folder)):
         fs.setTimes(f.getPath(), begin + 1000 * at, -1)
+    return most or files
 
 
 def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:

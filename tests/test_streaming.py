@@ -308,3 +308,44 @@ def test_downstream_starts_before_upstream_exists(spark, tmp_path):
     q = jobs.start_gold(spark, st, "platform_hourly")
     q.awaitTermination()
     assert q.exception() is None
+
+
+def test_steps_of_several_files_are_one_batch_each(spark, tmp_path):
+    """A large step lands in files of bounded size, a small one in as many (some empty), and
+    each step is still one micro-batch, in order."""
+
+    sizes = {3: 40, 7: 1, 20: 900}
+    rows = spark.createDataFrame([(json.dumps({"n": n, "s": s}), s) for s, size in sizes.items() for n in range(size)], "raw_payload string, step long")
+    path = str(tmp_path / "landing")
+    most = files.land_in_order(spark, rows, path, "step", rows_per_file=100)
+    assert most == 9
+    for s, size in sizes.items():
+        lines = [sum(1 for _ in open(f"{path}/step={s}/{f}")) for f in os.listdir(f"{path}/step={s}") if f.startswith("part-")]
+        assert len(lines) == most and sum(lines) == size and max(lines) < 200
+    seen = []
+
+    def note(batch, _):
+        seen.append({r["s"]: r["n"] for r in batch.selectExpr("get_json_object(raw_payload, '$.s') AS s").groupBy("s").agg(F.count("*").alias("n")).collect()})
+
+    stream = files.bronze_file_stream(spark, f"{path}/*", most)
+    stream.writeStream.foreachBatch(note).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert seen == [{"3": 40}, {"7": 1}, {"20": 900}]
+
+
+def test_landing_of_a_large_step_keeps_its_batches(spark, monkeypatch):
+    """The stream's batch counts do not depend on the number of files."""
+
+    def batches():
+        st = catalog._stream_settings(spark, SF)
+        rows = jobs.batch_summaries(spark, catalog._silver_query(spark, st), "r").orderBy("batch_no").collect()
+        return st.max_files_per_trigger, [tuple(r) for r in rows]
+
+    few, want = batches()
+    monkeypatch.setattr(files, "ROWS_PER_FILE", 100)
+    many, got = batches()
+    assert few == 1 and many == 3 and got == want
+
+
+def test_landing_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "raw_payload string, step long")
+    assert files.land_in_order(spark, none, str(tmp_path / "landing"), "step") == 1
