@@ -55,14 +55,30 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
+#: What a Python worker keeps from one task to the next: module of the operator that needs it ->
+#: how to let go of it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def release_others(owner: str) -> None:
+    """Let go of what this worker keeps for operators of other modules."""
+    for other in [m for m in KEPT if m != owner]:
+        KEPT.pop(other)()
+
+
 def lean(run: Callable) -> Callable:
     """A function of Arrow batches that gives back the memory it has freed when it ends.
 
     Python workers serve one task after another, and what NumPy and Arrow have freed stays
-    with the process, so that an executor's workers would keep the peak of every stage.
+    with the process, so that an executor's workers would keep the peak of every stage. What
+    another operator keeps in the worker (``KEPT``) is given up when this one begins.
     """
+    owner = run.__module__
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from playlake.llm import common  # the worker's own module, not a pickled copy
+
+        common.release_others(owner)
         try:
             yield from run(batches)
         finally:

@@ -31,8 +31,10 @@ RANKED_ROWS = 100_000
 
 def piece_batches(path: str, window: int, end_id: int, with_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from playlake.llm.common import KEPT  # the worker's own, not a pickled copy
         from playlake.llm.tokens import encoder
 
+        KEPT[__name__] = encoder.cache_clear
         ids_of = encoder(path).encode
         for batch in batches:
             text = batch.column(1)

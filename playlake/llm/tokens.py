@@ -123,7 +123,7 @@ class BatchEncoder:
 
 @lru_cache(4)
 def encoder(path: str) -> BatchEncoder:
-    """One encoder for each worker: its memory outlives the tasks."""
+    """One encoder for each worker: its memory outlives the tasks, until another operator begins (``common.KEPT``)."""
     return BatchEncoder(path)
 
 
